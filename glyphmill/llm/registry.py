@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from glyphmill.llm.language_id import op1_language_bitmask
+from glyphmill.llm.quality import op10_quality_ftrl
 from glyphmill.llm.sharding import op5_jump_shards
 
 QUERIES = {
+    "op1_language_bitmask": op1_language_bitmask,
     "op5_jump_shards": op5_jump_shards,
+    "op10_quality_ftrl": op10_quality_ftrl,
 }
 
 ORACLES: dict[str, str] = {}
