@@ -132,7 +132,7 @@ def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(start - before, length)
 
 
-def slices(table: pa.Table | pa.RecordBatch, column: str, limit: int = 8 << 20):
+def slices(table: pa.Table | pa.RecordBatch, column: str, limit: int = 4 << 20):
     """Parts of the rows that hold about `limit` bytes of `column` each; one row is never cut."""
     n = table.num_rows
     if not n:

@@ -22,7 +22,7 @@ from glyphmill.llm._bytes import grams, hash_words, mix, repeat_index, slices, s
 @dataclass(frozen=True)
 class QualityParams:
     #: Labelled rows used for fitting, at most: those with the smallest hash of the key.
-    max_train: int = 10_000
+    max_train: int = 4_000
     epochs: int = 2
     #: log2 of the number of weights.
     weight_bits: int = 18
@@ -77,17 +77,20 @@ def hashed_features(data: np.ndarray, offsets: np.ndarray, bits: int):
 
 def fit_ftrl(rows, params: QualityParams) -> tuple[np.ndarray, float]:
     """Weights and bias from (weight indices, counts, label) rows, taken in the given order, `epochs` times."""
-    size = (1 << params.weight_bits) + 1  # the last weight is the bias
-    z, n, w = np.zeros(size), np.zeros(size), np.zeros(size)
+    size = 1 << params.weight_bits
+    z, n = np.zeros(size + 1), np.zeros(size + 1)  # the last weight is the bias
+
+    def weight(zi, ni):
+        return np.where(np.abs(zi) <= params.l1, 0.0, -(zi - np.sign(zi) * params.l1) / ((params.beta + np.sqrt(ni)) / params.alpha + params.l2))
+
     for _ in range(params.epochs):
         for index, value, label in rows:
+            index, value = np.append(index, size), np.append(value, 1.0)
             zi, ni = z[index], n[index]
-            wi = np.where(np.abs(zi) <= params.l1, 0.0, -(zi - np.sign(zi) * params.l1) / ((params.beta + np.sqrt(ni)) / params.alpha + params.l2))
-            p = 1.0 / (1.0 + np.exp(-np.clip(wi @ value, -35, 35)))
-            g = (p - label) * value
-            sigma = (np.sqrt(ni + g * g) - np.sqrt(ni)) / params.alpha
-            z[index], n[index] = zi + g - sigma * wi, ni + g * g
-    w = np.where(np.abs(z) <= params.l1, 0.0, -(z - np.sign(z) * params.l1) / ((params.beta + np.sqrt(n)) / params.alpha + params.l2))
+            wi = weight(zi, ni)
+            g = (1.0 / (1.0 + np.exp(-np.clip(wi @ value, -35, 35))) - label) * value
+            z[index], n[index] = zi + g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / params.alpha * wi, ni + g * g
+    w = weight(z, n)
     return w[:-1].astype(np.float32), float(w[-1])
 
 
@@ -124,11 +127,10 @@ def train_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = Qu
     rows = sample.mapInArrow(extract, "key string, label double, index array<int>, value array<float>")
 
     def fit(table: pa.Table) -> pa.Table:
-        table = table.sort_by("order")
-        index, value, label = (table.column(c).combine_chunks() for c in ("index", "value", "label"))
-        bias = 1 << bits
-        data = [(np.append(i.values.to_numpy(), bias), np.append(v.values.to_numpy().astype(np.float64), 1.0), y) for i, v, y in zip(index, value, label.to_pylist())]
-        weights, b = fit_ftrl(data, params)
+        order = np.argsort(np.array(table.column("order").to_pylist()), kind="stable")
+        index, value = ([row.values.to_numpy() for row in table.column(c)] for c in ("index", "value"))
+        label = table.column("label").to_numpy()
+        weights, b = fit_ftrl([(index[i], value[i], label[i]) for i in order], params)
         return pa.table({"weights": pa.array([weights.tobytes()], pa.binary()), "bias": [b]})
 
     fitted = rows.withColumn("order", F.md5("key")).withColumn("one", F.lit(0)).groupBy("one").applyInArrow(fit, "weights binary, bias double").collect()
