@@ -5,7 +5,8 @@ place before a space that stands in front of an ASCII letter, digit or sign or
 of a Latin letter (lead byte 0xC3): whatever precedes such a space, the
 pattern starts a new piece there. Texts are cut at these places, equal units
 are found with Arrow's dictionary encoding, each distinct unit of a batch is
-encoded once with the tokenizers library, and ids are gathered back.
+encoded once with the tokenizers library and remembered, and ids are gathered
+back.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ _SAFE_NEXT = np.zeros(256, dtype=bool)
 _SAFE_NEXT[0x21:0x7F] = True
 _SAFE_NEXT[0xC3] = True
 _JOIN_BYTES = 1 << 15
+#: Distinct units that a worker remembers; beyond this it starts anew.
+CACHE_UNITS = 500_000
 
 
 class UnitTokenizer:
@@ -37,6 +40,7 @@ class UnitTokenizer:
         self.width = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each id: one character of a piece stands for one byte
         for piece, i in vocab.items():
             self.width[i] = len(piece)
+        self._forget()
 
     def _encode_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, first) of distinct units. Units that begin with a space are encoded many at a time and cut apart by bytes."""
@@ -68,6 +72,26 @@ class UnitTokenizer:
         size_of[order], start_of[order] = counts, first_sorted[:-1]
         return ids[ranges(start_of, size_of)], np.concatenate(([0], np.cumsum(size_of)))
 
+    def _look_up(self, units: pa.Array) -> np.ndarray:
+        """Each distinct unit's place in the pool; units not seen before are encoded and join it."""
+        names = units.to_pylist()
+        if len(self.known) + len(names) > CACHE_UNITS:
+            self._forget()
+        where = np.array([self.known.get(u, -1) for u in names], np.int64)
+        new = np.flatnonzero(where < 0)
+        if len(new):
+            ids, first = self._encode_units(units.take(pa.array(new)))
+            where[new] = len(self.starts) + np.arange(len(new))
+            self.known.update(zip([names[i] for i in new], where[new].tolist()))
+            self.starts = np.concatenate((self.starts, len(self.pool) + first[:-1]))
+            self.sizes = np.concatenate((self.sizes, np.diff(first).astype(np.int32)))
+            self.pool = np.concatenate((self.pool, ids.astype(np.uint32)))
+        return where
+
+    def _forget(self) -> None:
+        self.known, self.pool = {}, np.zeros(0, np.uint32)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int32)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids as uint32, first): text d's ids are ids[first[d]:first[d + 1]]; an empty text has none."""
         texts = len(offsets) - 1
@@ -82,9 +106,9 @@ class UnitTokenizer:
         units = pa.BinaryArray.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
         found = units.dictionary_encode()
         which = found.indices.to_numpy()
-        ids, first = self._encode_units(found.dictionary)
-        counts = np.diff(first)[which]
-        out = ids.astype(np.uint32)[ranges(first[:-1][which], counts)]
+        where = self._look_up(found.dictionary)
+        counts = self.sizes[where][which].astype(np.int64)
+        out = self.pool[ranges(self.starts[where][which], counts)]
         before = np.concatenate(([0], np.cumsum(counts)))
         return out, before[np.searchsorted(edges, offsets)]
 
