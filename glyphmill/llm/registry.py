@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from glyphmill.llm.language_id import op1_language_bitmask
+from glyphmill.llm.packing import op6_retrieval_packing
 from glyphmill.llm.quality import op10_quality_ftrl
 from glyphmill.llm.sharding import op5_jump_shards
+from glyphmill.llm.token_store import op8_token_bits
 
 QUERIES = {
     "op1_language_bitmask": op1_language_bitmask,
     "op5_jump_shards": op5_jump_shards,
+    "op6_retrieval_packing": op6_retrieval_packing,
+    "op8_token_bits": op8_token_bits,
     "op10_quality_ftrl": op10_quality_ftrl,
 }
 

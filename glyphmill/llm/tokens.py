@@ -3,7 +3,9 @@
 A byte-level BPE with the usual splitting pattern never merges across the
 place before a space that stands in front of an ASCII letter, digit or sign or
 of a Latin letter (lead byte 0xC3): whatever precedes such a space, the
-pattern starts a new piece there. Texts are cut at these places, equal units
+pattern starts a new piece there. The same holds between an ASCII letter and
+an ASCII sign, and on both sides of a single line feed between a sign or
+letter and an ASCII letter. Texts are cut at these places, equal units
 are found with Arrow's dictionary encoding, each distinct unit of a batch is
 encoded once with the tokenizers library and remembered, and ids are gathered
 back.
@@ -21,6 +23,11 @@ from glyphmill.llm._bytes import ranges
 _SAFE_NEXT = np.zeros(256, dtype=bool)
 _SAFE_NEXT[0x21:0x7F] = True
 _SAFE_NEXT[0xC3] = True
+_ASCII_LETTER, _SIGN = 1, 2
+_KIND = np.zeros(256, np.uint8)
+_KIND[0x21:0x7F] = _SIGN
+_KIND[48:58] = 0
+_KIND[[*range(65, 91), *range(97, 123)]] = _ASCII_LETTER
 _JOIN_BYTES = 1 << 15
 #: Distinct units that a worker remembers; beyond this it starts anew.
 CACHE_UNITS = 500_000
@@ -98,8 +105,12 @@ class UnitTokenizer:
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(texts + 1, np.int64)
         cut = np.zeros(len(data) + 1, dtype=bool)
-        inner = np.flatnonzero((data[:-1] == 0x20) & _SAFE_NEXT[data[1:]])
-        cut[inner] = True
+        kind = _KIND[data]
+        a, b = kind[:-1], kind[1:]
+        cut[:-2] |= (data[:-1] == 0x20) & _SAFE_NEXT[data[1:]]
+        cut[1:-1] |= (a == _ASCII_LETTER) & (b == _SIGN)
+        alone = np.flatnonzero((data[1:-1] == 0x0A) & ((a[:-1] == _ASCII_LETTER) | (a[:-1] == _SIGN)) & (b[1:] == _ASCII_LETTER)) + 1
+        cut[alone] = cut[alone + 1] = True
         cut[offsets] = True
         cut[0] = cut[-1] = True
         edges = np.flatnonzero(cut)
