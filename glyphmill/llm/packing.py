@@ -129,7 +129,7 @@ def encode_documents(docs: DataFrame, params: PackParams, key: str = "doc_id", t
     def encode(batches):
         encoder = None
         for batch in batches:
-            for rows in slices(batch, "t", 8 << 20):
+            for rows in slices(batch, "t"):
                 encoder = encoder or loaded(path)
                 ids, first = encoder.encode(*utf8(rows.column("t")))
                 ids = np.insert(ids, first[1:], params.end_id).astype(np.uint16 if encoder.size <= 1 << 16 else np.uint32)

@@ -154,7 +154,7 @@ def write_token_store(docs: DataFrame, folder: str, params: StoreParams = StoreP
     def write(batches):
         task, part, out, encoder = TaskContext.get().partitionId(), 0, None, None
         for batch in batches:
-            for rows in slices(batch, "t", 8 << 20):
+            for rows in slices(batch, "t"):
                 encoder = encoder or loaded(path)
                 data, offsets = utf8(rows.column("t"))
                 ids, first = encoder.encode(data, offsets)
@@ -181,10 +181,10 @@ def read_token_store(spark, folder: str, manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for name, raw in zip(batch.column("file").to_pylist(), batch.column("content")):
                 store = StoreFile(raw.as_py())
-                step = 1 << 22
+                step = 1 << 20
                 crc, sizes = [], np.diff(store.first)
                 d, docs = 0, len(store.keys)
-                while d < docs:  # a few million ids at a time
+                while d < docs:  # about a million ids at a time
                     e = max(d + 1, int(np.searchsorted(store.first, store.first[d] + step, side="right")) - 1)
                     ids = memoryview(np.ascontiguousarray(store.ids(int(store.first[d]), int(store.first[e])))).cast("B")
                     base = int(store.first[d])

@@ -30,7 +30,7 @@ _KIND[48:58] = 0
 _KIND[[*range(65, 91), *range(97, 123)]] = _ASCII_LETTER
 _JOIN_BYTES = 1 << 15
 #: Distinct units that a worker remembers; beyond this it starts anew.
-CACHE_UNITS = 500_000
+CACHE_UNITS = 300_000
 
 
 class UnitTokenizer:
@@ -121,6 +121,7 @@ class UnitTokenizer:
         counts = self.sizes[where][which].astype(np.int64)
         out = self.pool[ranges(self.starts[where][which], counts)]
         before = np.concatenate(([0], np.cumsum(counts)))
+        pa.default_memory_pool().release_unused()
         return out, before[np.searchsorted(edges, offsets)]
 
 
