@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from glyphmill.llm.embedding_dedup import op7_rotation_codes
 from glyphmill.llm.language_id import op1_language_bitmask
 from glyphmill.llm.packing import op6_retrieval_packing
 from glyphmill.llm.quality import op10_quality_ftrl
 from glyphmill.llm.sharding import op5_jump_shards
 from glyphmill.llm.token_store import op8_token_bits
+from glyphmill.llm.warc import op3_warc_round_trip
 
 QUERIES = {
     "op1_language_bitmask": op1_language_bitmask,
+    "op3_warc_round_trip": op3_warc_round_trip,
     "op5_jump_shards": op5_jump_shards,
     "op6_retrieval_packing": op6_retrieval_packing,
+    "op7_rotation_codes": op7_rotation_codes,
     "op8_token_bits": op8_token_bits,
     "op10_quality_ftrl": op10_quality_ftrl,
 }
