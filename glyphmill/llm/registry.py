@@ -7,6 +7,7 @@ from glyphmill.llm.language_id import op1_language_bitmask
 from glyphmill.llm.packing import op6_retrieval_packing
 from glyphmill.llm.quality import op10_quality_ftrl
 from glyphmill.llm.sharding import op5_jump_shards
+from glyphmill.llm.substring_dedup import op9_relative_lz
 from glyphmill.llm.token_store import op8_token_bits
 from glyphmill.llm.warc import op3_warc_round_trip
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_retrieval_packing": op6_retrieval_packing,
     "op7_rotation_codes": op7_rotation_codes,
     "op8_token_bits": op8_token_bits,
+    "op9_relative_lz": op9_relative_lz,
     "op10_quality_ftrl": op10_quality_ftrl,
 }
 
