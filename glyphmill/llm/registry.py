@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from glyphmill.llm.embedding_dedup import op7_rotation_codes
+from glyphmill.llm.jaccard_join import op2_jaccard_join
 from glyphmill.llm.language_id import op1_language_bitmask
 from glyphmill.llm.packing import op6_retrieval_packing
 from glyphmill.llm.quality import op10_quality_ftrl
@@ -13,6 +14,7 @@ from glyphmill.llm.warc import op3_warc_round_trip
 
 QUERIES = {
     "op1_language_bitmask": op1_language_bitmask,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_warc_round_trip": op3_warc_round_trip,
     "op5_jump_shards": op5_jump_shards,
     "op6_retrieval_packing": op6_retrieval_packing,
