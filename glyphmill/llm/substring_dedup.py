@@ -36,7 +36,7 @@ class SubstringParams:
     #: Words of an anchor, at most `window`.
     anchor: int = 8
     #: UTF-8 bytes of text in a reference block, about.
-    block_bytes: int = 20 << 20
+    block_bytes: int = 6 << 20
     #: Index entries that a matching task gets, about.
     entries_per_bucket: int = 1 << 20
 
