@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from dataclasses import dataclass
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from glyphmill.llm._spark import keep, open_folder, shared_dir
 
 CRLF = b"\r\n"
+_CONTROL = re.compile("[\x00-\x1f\x7f]")
+_READ = 1 << 15
 #: Fixed value of the format: the profile of a revisit with an identical payload.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -49,7 +52,7 @@ def record_id(key) -> str:
 
 
 def _header_value(text: str) -> str:
-    return "".join(c if c >= " " and c != "\x7f" else f"%{ord(c):02X}" for c in text)
+    return _CONTROL.sub(lambda c: f"%{ord(c[0]):02X}", text)
 
 
 def record(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
@@ -80,11 +83,15 @@ def gzip_member(raw: bytes, level: int) -> bytes:
 
 def read_records(raw: bytes):
     """(headers, block) of each record of a file of gzip members."""
-    view = memoryview(raw)
-    while len(view):
-        unpacker = zlib.decompressobj(31)
-        whole = unpacker.decompress(view) + unpacker.flush()
-        view = view[len(view) - len(unpacker.unused_data) :]
+    view, at = memoryview(raw), 0
+    while at < len(view):
+        unpacker, parts = zlib.decompressobj(31), []
+        while not unpacker.eof:  # in small reads, as what is left over from one is copied
+            if at >= len(view):
+                raise ValueError("a gzip member is cut short")
+            parts.append(unpacker.decompress(view[at : at + _READ]))
+            at = min(len(view), at + _READ) - len(unpacker.unused_data)
+        whole = b"".join(parts)
         head, _, rest = whole.partition(2 * CRLF)
         lines = head.decode().split("\r\n")
         headers = dict(line.split(": ", 1) for line in lines[1:] if ": " in line) | {line[:-1]: "" for line in lines[1:] if line.endswith(":")}
@@ -135,25 +142,32 @@ def write_warc(pages: DataFrame, folder: str, params: WarcParams = WarcParams(),
     digests = digests.where(F.col("n") >= params.min_revisit)
     heads = digests.groupBy("d", "n").agg(F.max("k").alias("head"), F.count(F.lit(1)).alias("same")).where("same > 1")
     refers = digests.join(heads, ["d", "n"]).where("k <> head").groupBy("k", "d").agg(F.max("head").alias("head"))
-    refers = refers.select(F.col("k").alias("rk"), F.col("d").alias("rd"), "head")
-    joined = rows.join(refers, (F.col("k") == F.col("rk")) & (F.sha1("p") == F.col("rd")), "left").select("k", "u", "p", "head")
-    joined = joined.repartitionByRange(max(1, -(-sizes // params.bytes_per_task)), "k").sortWithinPartitions("k", "u", "p")
+    # a reference travels as a row of its own with its page's key and is sorted before the page: one exchange of the payloads
+    notes = refers.select("k", F.lit(None).cast("string").alias("u"), F.unhex("d").alias("p"), "head")
+    dealt = rows.withColumn("head", F.lit(None).cast("long")).unionByName(notes)
+    dealt = dealt.repartitionByRange(max(1, -(-sizes // params.bytes_per_task)), "k").sortWithinPartitions("k", F.col("head").isNull(), "u", "p")
 
     def write(batches):
-        task, part, out = TaskContext.get().partitionId(), 0, None
+        task, part, out, owner, known = TaskContext.get().partitionId(), 0, None, None, {}
         for batch in batches:
             for k, u, p, head in zip(*(batch.column(i) for i in range(4))):
+                k, payload = k.as_py(), p.as_py()
+                if k != owner:
+                    owner, known = k, {}
+                if head.is_valid:
+                    known[payload] = head.as_py()
+                    continue
                 if out is None:
                     out = WarcFile(folder, f"part-{task:06d}-{part:04d}.warc.gz", params)
-                payload = p.as_py()
-                out.add(k.as_py(), u.as_py(), payload, payload_digest(payload), head.as_py())
+                sha = hashlib.sha1(payload).digest()
+                out.add(k, u.as_py(), payload, base64.b32encode(sha).decode(), known.get(sha))
                 if out.bytes >= params.file_bytes:
                     yield pa.RecordBatch.from_pylist([out.close()])
                     out, part = None, part + 1
         if out is not None:
             yield pa.RecordBatch.from_pylist([out.close()])
 
-    return keep(joined.mapInArrow(write, "file string, records long, bytes long, sha256 string"), f"{folder}/_manifest")
+    return keep(dealt.mapInArrow(write, "file string, records long, bytes long, sha256 string"), f"{folder}/_manifest")
 
 
 def read_warc(spark, folder: str, manifest: DataFrame) -> DataFrame:
