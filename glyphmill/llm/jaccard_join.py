@@ -39,8 +39,6 @@ class JaccardParams:
     percent: int = 85
     #: One of this many shingles is counted in the first exchange (a power of two).
     sample: int = 4
-    #: Shingles that more texts hold than this come last in the order of the lists.
-    frequent: int = 64
     #: Largest boundary that is considered for the subsets.
     max_boundary: int = 24
     #: UTF-8 bytes of text in one map-side chunk, and entries of a counting task, about.
@@ -84,7 +82,7 @@ def subset_cost(n: int, percent: int) -> int:
 
 
 def prefix_length(n, percent: int):
-    """Shingles of a set of n in the lists, and how many of them a partner shares at least."""
+    """The first shingles of a set of n, lone ones first and then the rarest, and how many of them a partner shares at least."""
     shared = 1 + n // 8
     return np.minimum(n, _dead_limit(n, percent) + shared), shared
 
@@ -131,11 +129,11 @@ def _chunks(batches, limit: int):
 
 _EXCHANGE = "bucket long, chunk long, kind int, a binary, b binary"
 _REPLY = "chunk long, kind int, a binary, b binary"
-_SETS, _LONE, _FREQUENT = 0, 1, 2
+_SETS, _LONE, _LIVE = 0, 1, 2
 
 
 def _exchange(texts: DataFrame, p: JaccardParams, step: int, with_sets: bool, buckets: int) -> DataFrame:
-    """Chunks' sets and, for each chunk, how many lone shingles its texts have and which shingles are frequent.
+    """Chunks' sets with the number of lone shingles of each text and, with_sets, its rarest other shingles.
 
     texts: (key, t). Returns rows (key, n, high, low, dead, tokens, prefix): tokens
     and prefix only with_sets. Chunks are numbered by task, so the input must
@@ -195,9 +193,10 @@ def _exchange(texts: DataFrame, p: JaccardParams, step: int, with_sets: bool, bu
                 rows["a"].append(x.tobytes())
                 rows["b"].append(y.astype(np.int64).tobytes())
 
-        send(_LONE, spread == 1, notes, spread)
         if with_sets:
-            send(_FREQUENT, spread > p.frequent, hashes, spread)
+            send(_LIVE, spread > 1, hashes, spread)
+        else:
+            send(_LONE, spread == 1, notes, spread)
         return pa.Table.from_pydict(rows, schema=reply)
 
     out = "k long, n long, high long, low long, dead long" + (", tokens binary, prefix array<long>" if with_sets else "")
@@ -213,24 +212,24 @@ def _exchange(texts: DataFrame, p: JaccardParams, step: int, with_sets: bool, bu
         columns = {"k": k, "n": n, "high": high, "low": low, "dead": dead}
         if not with_sets:
             return pa.table(columns)
-        found = [(np.frombuffer(a[int(i)].as_py(), np.uint64), np.frombuffer(b[int(i)].as_py(), np.int64)) for i in np.flatnonzero(kinds == _FREQUENT)]
-        often = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.uint64)
-        times = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
-        by = np.argsort(often)
-        often, times = often[by], times[by]
-        stay = np.flatnonzero(dead <= _dead_limit(n, p.percent))
+        found = [(np.frombuffer(a[int(i)].as_py(), np.uint64), np.frombuffer(b[int(i)].as_py(), np.int64)) for i in np.flatnonzero(kinds == _LIVE)]
+        live = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.uint64)
+        texts_of = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
+        by = np.argsort(live)
+        live, texts_of = np.append(live[by], np.uint64(0)), np.append(texts_of[by], 0)
         sets = np.frombuffer(b[at].as_py(), np.uint64)
+        place = np.minimum(np.searchsorted(live[:-1], sets), len(live) - 1)
+        times = np.where(live[place] == sets, texts_of[place], 0)  # 0: a lone shingle
         cuts = np.concatenate(([0], np.cumsum(n)))
+        alive = np.concatenate(([0], np.cumsum(times > 0)))
+        columns["dead"] = dead = n - (alive[cuts[1:]] - alive[cuts[:-1]])
+        stay = np.flatnonzero(dead <= _dead_limit(n, p.percent))
         tokens, prefix = [], []
         for d in stay.tolist():
-            own = sets[cuts[d] : cuts[d + 1]]
-            weight = np.zeros(len(own), np.int64)
-            if len(often):
-                place = np.minimum(np.searchsorted(often, own), len(often) - 1)
-                weight = np.where(often[place] == own, times[place], 0)
-            rare_first = np.lexsort((own, weight))
+            own, often = sets[cuts[d] : cuts[d + 1]], times[cuts[d] : cuts[d + 1]]
+            rare_first = np.lexsort((own, often))
             tokens.append(own.tobytes())
-            prefix.append(own[rare_first[: int(prefix_length(n[d], p.percent)[0])]].view(np.int64))
+            prefix.append(own[rare_first[int(dead[d]) : int(prefix_length(n[d], p.percent)[0])]].view(np.int64))
         return pa.table({c: v[stay] for c, v in columns.items()} | {"tokens": pa.array(tokens, pa.binary()), "prefix": pa.array(prefix, pa.list_(pa.int64()))})
 
     dealt = texts.mapInArrow(deal, _EXCHANGE)
@@ -302,15 +301,17 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(),
     long_lists = postings.groupBy("tok").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("tok")
     postings = keep(postings.join(long_lists, "tok"), f"{at}/postings")
 
-    def fits(a: str, b: str):
-        return (100 * F.col(a) >= p.percent * F.col(b)) & (100 * F.col(b) >= p.percent * F.col(a))
+    def fits(a: str, b: str, lone_a: str, lone_b: str):
+        # an intersection has no lone shingle of either side
+        most = F.least(F.col(a) - F.col(lone_a), F.col(b) - F.col(lone_b))
+        return (100 + p.percent) * most >= p.percent * (F.col(a) + F.col(b))
 
     links, tried = None, None
     labels = sets.select("k", F.col("k").alias("component")).distinct()
     # a leader is the member with the smallest share of lone shingles
-    rank = F.struct((1000 * F.col("dead") / F.col("n")).cast("int").alias("lone"), F.col("k").alias("leader"), F.col("n").alias("m"))
-    leaders = postings.groupBy("tok").agg(F.min(rank).alias("top")).select("tok", "top.leader", "top.m")
-    votes = keep(postings.join(leaders, "tok").where((F.col("k") != F.col("leader")) & fits("n", "m")).groupBy("k", "leader").agg(F.sum("weight").alias("votes")), f"{at}/votes")
+    rank = F.struct((1000 * F.col("dead") / F.col("n")).cast("int").alias("lone"), F.col("k").alias("leader"), F.col("n").alias("m"), F.col("dead").alias("lm"))
+    leaders = postings.groupBy("tok").agg(F.min(rank).alias("top")).select("tok", "top.leader", "top.m", "top.lm")
+    votes = keep(postings.join(leaders, "tok").where((F.col("k") != F.col("leader")) & fits("n", "m", "dead", "lm")).groupBy("k", "leader").agg(F.sum("weight").alias("votes")), f"{at}/votes")
     for turn in range(p.leader_rounds):
         open_ = votes.join(labels.withColumnRenamed("component", "ca"), "k").join(labels.select(F.col("k").alias("leader"), F.col("component").alias("cb")), "leader").where("ca <> cb")
         if tried is not None:
@@ -328,11 +329,11 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(),
     shares = labelled.groupBy("tok", "component").agg(F.count(F.lit(1)).alias("c"))
     main = shares.groupBy("tok").agg(F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("tok", F.col("top.component").alias("main"))
     mixed = keep(labelled.join(main, "tok"), f"{at}/mixed")
-    outside = mixed.where("component <> main").select("tok", F.col("k").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("need").alias("da"), "weight")
-    others = mixed.select("tok", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("need").alias("db"), F.col("main").alias("m"))
+    outside = mixed.where("component <> main").select("tok", F.col("k").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("need").alias("da"), F.col("dead").alias("la"), "weight")
+    others = mixed.select("tok", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("need").alias("db"), F.col("dead").alias("lb"), F.col("main").alias("m"))
     # a pair of two outsiders would come twice
     once = (F.col("cb") == F.col("m")) | (F.col("a") < F.col("b"))
-    pairs = outside.join(others, "tok").where((F.col("ca") != F.col("cb")) & once & fits("na", "nb"))
+    pairs = outside.join(others, "tok").where((F.col("ca") != F.col("cb")) & once & fits("na", "nb", "la", "lb"))
     pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("weight").alias("w"), F.min(F.least("da", "db")).alias("need")).where("w >= need").select("a", "b")
     seen = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     found = keep(_verify(pairs.join(seen, ["a", "b"], "left_anti"), sets, p), f"{at}/links_rest")

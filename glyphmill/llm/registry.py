@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from glyphmill.llm.decontaminate import op4_benchmark_leaks
 from glyphmill.llm.embedding_dedup import op7_rotation_codes
 from glyphmill.llm.jaccard_join import op2_jaccard_join
 from glyphmill.llm.language_id import op1_language_bitmask
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_language_bitmask": op1_language_bitmask,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_warc_round_trip": op3_warc_round_trip,
+    "op4_benchmark_leaks": op4_benchmark_leaks,
     "op5_jump_shards": op5_jump_shards,
     "op6_retrieval_packing": op6_retrieval_packing,
     "op7_rotation_codes": op7_rotation_codes,
