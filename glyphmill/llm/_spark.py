@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,6 +63,20 @@ def scan_tasks(df: DataFrame) -> int:
     return max(1, df._jdf.queryExecution().toRdd().getNumPartitions())
 
 
+def forest(n: int, pairs: np.ndarray) -> np.ndarray:
+    """The smallest index reachable from each of n points."""
+    root = np.arange(n)
+    while len(pairs):
+        low = np.minimum(root[pairs[:, 0]], root[pairs[:, 1]])
+        before = root.copy()
+        np.minimum.at(root, root[pairs[:, 0]], low)
+        np.minimum.at(root, root[pairs[:, 1]], low)
+        root = root[root]
+        if (root == before).all():
+            break
+    return root
+
+
 def connected_components(spark: SparkSession, edges: DataFrame, rounds: int = 64) -> DataFrame:
     """(id, component) for every end of an edge (a, b); component is the smallest id reachable.
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm._spark import connected_components, keep, shared_dir
+from glyphmill.llm._spark import connected_components, forest, keep, shared_dir
 
 
 @dataclass(frozen=True)
@@ -74,20 +74,6 @@ def upper_bounds(a: tuple, b: tuple, center: np.ndarray, xa: np.ndarray, xb: np.
     return residual + (xa @ center)[:, None] + (xb @ center)[None, :] - float(center @ center)
 
 
-def _forest(n: int, pairs: np.ndarray) -> np.ndarray:
-    """The smallest index reachable from each of n points."""
-    root = np.arange(n)
-    while len(pairs):
-        low = np.minimum(root[pairs[:, 0]], root[pairs[:, 1]])
-        before = root.copy()
-        np.minimum.at(root, root[pairs[:, 0]], low)
-        np.minimum.at(root, root[pairs[:, 1]], low)
-        root = root[root]
-        if (root == before).all():
-            break
-    return root
-
-
 def link_embeddings(vectors: DataFrame, params: EmbeddingParams = EmbeddingParams(), key: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
@@ -172,7 +158,7 @@ def link_embeddings(vectors: DataFrame, params: EmbeddingParams = EmbeddingParam
             seen = keys_of(x)[:, :t]
             links = np.concatenate([part[~(seen[part[:, 0]] == seen[part[:, 1]]).any(axis=1)] for part in np.array_split(links, len(links) // 100_000 + 1)])
         degree = np.bincount(links.reshape(-1), minlength=len(row))
-        root = _forest(len(row), links)
+        root = forest(len(row), links)
         used = np.flatnonzero((degree > 0))
         return pa.table({"row": row[used], "n": degree[used], "peer": row[root[used]]})
 

@@ -9,7 +9,9 @@
    inverted lists. The boundary is where enumerating starts to cost more.
 4. Lists are scanned for partners: first towards one leader a list, so a group
    of copies costs one comparison a member, then for all pairs whose members
-   are still apart. Every candidate is compared in full.
+   are still apart. Lists with many such pairs are heavy: the sets of a heavy
+   family are compared block by block, and only links leave a block. Every
+   candidate is compared in full.
 
 All thresholds are compared in integers, so no link is lost or invented but by
 a collision of 64-bit hashes inside one comparison.
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.llm._bytes import grams, hash_words, mix, slices, split_words, utf8
-from glyphmill.llm._spark import connected_components, keep, shared_dir
+from glyphmill.llm._spark import connected_components, forest, keep, shared_dir
 
 
 @dataclass(frozen=True)
@@ -44,6 +46,9 @@ class JaccardParams:
     #: UTF-8 bytes of text in one map-side chunk, and entries of a counting task, about.
     chunk_bytes: int = 12 << 20
     entries_per_bucket: int = 1 << 20
+    #: Lists in which more pairs than this are still apart are compared family by family, in blocks of so many sets.
+    heavy_list: int = 1 << 12
+    family_block: int = 512
     #: Rounds of comparisons with leaders before all remaining pairs are compared.
     leader_rounds: int = 2
 
@@ -82,9 +87,8 @@ def subset_cost(n: int, percent: int) -> int:
 
 
 def prefix_length(n, percent: int):
-    """The first shingles of a set of n, lone ones first and then the rarest, and how many of them a partner shares at least."""
-    shared = 1 + n // 8
-    return np.minimum(n, _dead_limit(n, percent) + shared), shared
+    """Shingles of a set of n, lone ones first and then the rarest, of which a partner has at least one."""
+    return np.minimum(n, _dead_limit(n, percent) + 1)
 
 
 def subset_signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
@@ -229,7 +233,7 @@ def _exchange(texts: DataFrame, p: JaccardParams, step: int, with_sets: bool, bu
             own, often = sets[cuts[d] : cuts[d + 1]], times[cuts[d] : cuts[d + 1]]
             rare_first = np.lexsort((own, often))
             tokens.append(own.tobytes())
-            prefix.append(own[rare_first[int(dead[d]) : int(prefix_length(n[d], p.percent)[0])]].view(np.int64))
+            prefix.append(own[rare_first[int(dead[d]) : int(prefix_length(n[d], p.percent))]].view(np.int64))
         return pa.table({c: v[stay] for c, v in columns.items()} | {"tokens": pa.array(tokens, pa.binary()), "prefix": pa.array(prefix, pa.list_(pa.int64()))})
 
     dealt = texts.mapInArrow(deal, _EXCHANGE)
@@ -257,6 +261,49 @@ def _verify(pairs: DataFrame, sets: DataFrame, p: JaccardParams) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
+def _compare_families(family: DataFrame, sets: DataFrame, p: JaccardParams) -> DataFrame:
+    """Links (a, b) among each family's members that are in different components; one side is outside the main one.
+
+    A family is cut into blocks by a hash of the key and blocks meet in pairs,
+    so no task holds a family; overlaps are products of 0/1 matrices. Of a
+    block's links only as many leave as connect what they connect.
+    """
+    sizes = family.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / p.family_block).cast("int").alias("blocks"))
+    placed = family.join(sizes, "main").withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("main", "k", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    rows = met.join(sets.select("k", "tokens"), "k")
+
+    def compare(table: pa.Table) -> pa.Table:
+        i, j, main = (table.column(c)[0].as_py() for c in ("i", "j", "main"))
+        k, own, component = (table.column(c).to_numpy() for c in ("k", "own", "component"))
+        parts = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("tokens")]
+        n = np.array([len(x) for x in parts])
+        rows_of = np.repeat(np.arange(len(parts)), n)
+        _, place, many = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        shared = many[place] > 1
+        column = (np.cumsum(many > 1) - 1)[place[shared]]
+        rows_of = rows_of[shared]
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        overlap = np.zeros((len(left), len(right)), np.float32)
+        by = np.argsort(column, kind="stable")
+        column, rows_of = column[by], rows_of[by]
+        for low in range(0, int((many > 1).sum()), 2048):
+            x, y = np.searchsorted(column, (low, low + 2048))
+            dense = np.zeros((len(parts), 2048), np.float32)
+            dense[rows_of[x:y], column[x:y] - low] = 1
+            overlap += dense[left] @ dense[right].T
+        union = n[left][:, None] + n[right][None, :] - overlap
+        linked = (100 * overlap >= p.percent * union) & (component[left][:, None] != component[right][None, :])
+        linked &= (component[left] != main)[:, None] | (component[right] != main)[None, :]
+        a, b = np.nonzero(linked)
+        root = forest(len(k), np.stack((left[a], right[b]), axis=1))
+        moved = np.flatnonzero(root != np.arange(len(k)))
+        return pa.table({"a": k[moved], "b": k[root[moved]]})
+
+    return rows.groupBy("main", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
 
@@ -287,17 +334,16 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(),
             all_ = np.concatenate(out) if out else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(all_.view(np.int64)), pa.array(np.repeat(k, m)), pa.array(np.repeat(batch.column("n").to_numpy(), m)), pa.array(np.repeat(batch.column("dead").to_numpy(), m))], ["tok", "k", "n", "dead"])
 
-    shared = (F.lit(1) + F.floor(F.col("n") / 8)).cast("long")
-    lists = sets.select(F.explode("prefix").alias("tok"), "k", "n", "dead", F.lit(1).cast("long").alias("weight"), shared.alias("need"))
+    lists = sets.select(F.explode("prefix").alias("tok"), "k", "n", "dead")
     spread = lists.groupBy("tok").count().agg((F.sum(F.col("count") * F.col("count")) / F.sum("count")).alias("length")).first()["length"] or 1.0
     boundary = 0
     for n in range(1, p.max_boundary + 1):  # the first size whose subsets cost more than scanning its lists ends the small sets
-        if subset_cost(n, p.percent) > float(prefix_length(n, p.percent)[0]) * max(2.0, spread):
+        if subset_cost(n, p.percent) > float(prefix_length(n, p.percent)) * max(2.0, spread):
             break
         boundary = n
     small = sets.where(F.col("n") <= boundary).select("k", "n", "dead", "tokens").mapInArrow(signatures, "tok long, k long, n long, dead long")
     large = lists.where(100 * F.col("n") >= p.percent * (boundary + 1))
-    postings = large.unionByName(small.select("tok", "k", "n", "dead", F.lit(1 << 20).cast("long").alias("weight"), F.lit(1).cast("long").alias("need")))
+    postings = large.unionByName(small)
     long_lists = postings.groupBy("tok").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("tok")
     postings = keep(postings.join(long_lists, "tok"), f"{at}/postings")
 
@@ -311,7 +357,7 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(),
     # a leader is the member with the smallest share of lone shingles
     rank = F.struct((1000 * F.col("dead") / F.col("n")).cast("int").alias("lone"), F.col("k").alias("leader"), F.col("n").alias("m"), F.col("dead").alias("lm"))
     leaders = postings.groupBy("tok").agg(F.min(rank).alias("top")).select("tok", "top.leader", "top.m", "top.lm")
-    votes = keep(postings.join(leaders, "tok").where((F.col("k") != F.col("leader")) & fits("n", "m", "dead", "lm")).groupBy("k", "leader").agg(F.sum("weight").alias("votes")), f"{at}/votes")
+    votes = keep(postings.join(leaders, "tok").where((F.col("k") != F.col("leader")) & fits("n", "m", "dead", "lm")).groupBy("k", "leader").agg(F.count(F.lit(1)).alias("votes")), f"{at}/votes")
     for turn in range(p.leader_rounds):
         open_ = votes.join(labels.withColumnRenamed("component", "ca"), "k").join(labels.select(F.col("k").alias("leader"), F.col("component").alias("cb")), "leader").where("ca <> cb")
         if tried is not None:
@@ -329,14 +375,19 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(),
     shares = labelled.groupBy("tok", "component").agg(F.count(F.lit(1)).alias("c"))
     main = shares.groupBy("tok").agg(F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("tok", F.col("top.component").alias("main"))
     mixed = keep(labelled.join(main, "tok"), f"{at}/mixed")
-    outside = mixed.where("component <> main").select("tok", F.col("k").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("need").alias("da"), F.col("dead").alias("la"), "weight")
-    others = mixed.select("tok", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("need").alias("db"), F.col("dead").alias("lb"), F.col("main").alias("m"))
+    weights = mixed.groupBy("tok").agg((F.count(F.lit(1)) * F.sum((F.col("component") != F.col("main")).cast("long"))).alias("open"))
+    heavy = weights.where(F.col("open") > p.heavy_list).select("tok")
+    family = mixed.join(heavy, "tok", "left_semi").groupBy("main", "k").agg(F.max("component").alias("component"))
+    rest_links = _compare_families(family, sets, p)
+    mixed = mixed.join(heavy, "tok", "left_anti")
+    outside = mixed.where("component <> main").select("tok", F.col("k").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("dead").alias("la"))
+    others = mixed.select("tok", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("dead").alias("lb"), F.col("main").alias("m"))
     # a pair of two outsiders would come twice
     once = (F.col("cb") == F.col("m")) | (F.col("a") < F.col("b"))
     pairs = outside.join(others, "tok").where((F.col("ca") != F.col("cb")) & once & fits("na", "nb", "la", "lb"))
-    pairs = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("weight").alias("w"), F.min(F.least("da", "db")).alias("need")).where("w >= need").select("a", "b")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     seen = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    found = keep(_verify(pairs.join(seen, ["a", "b"], "left_anti"), sets, p), f"{at}/links_rest")
+    found = keep(_verify(pairs.join(seen, ["a", "b"], "left_anti"), sets, p).unionByName(rest_links), f"{at}/links_rest")
     final = connected_components(spark, links.unionByName(found))
     joined = nodes.join(final.select(F.col("id").alias("rep"), "component"), "rep", "left")
     result = joined.select(F.col("k").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
