@@ -52,15 +52,13 @@ def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-def arrow_schema(df_schema) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
+#: Keys that may be broadcast at once: 64-bit integers, so tens of megabytes at most.
+BROADCAST_KEYS = 2_000_000
 
-    return to_arrow_schema(df_schema)
 
-
-def scan_tasks(df: DataFrame) -> int:
-    """The number of partitions that df has now; plans only."""
-    return max(1, df._jdf.queryExecution().toRdd().getNumPartitions())
+def match_keys(df: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+    """Semi or anti join by one long column. The keys are counted; few are broadcast, more are shuffled with df."""
+    return df.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, key, how)
 
 
 def forest(n: int, pairs: np.ndarray) -> np.ndarray:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.llm._bytes import grams, hash_words, mix, slices, split_words, utf8
-from glyphmill.llm._spark import connected_components, forest, keep, shared_dir
+from glyphmill.llm._spark import connected_components, forest, keep, match_keys, shared_dir
 
 
 @dataclass(frozen=True)
@@ -323,7 +323,7 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(),
     same = sets1.where("n > 0").groupBy("high", "low", "n").agg(F.min("k").alias("rep"))
     nodes = keep(sets1.join(same, ["high", "low", "n"], "left").select("k", "n", "dead", F.coalesce("rep", "k").alias("rep")), f"{at}/nodes")
     left = nodes.where((F.col("n") > 0) & (F.col("k") == F.col("rep")) & (100 * (F.col("n") - F.col("dead")) >= p.percent * F.col("n"))).select("k").distinct()
-    again = keep(texts.join(left, "k"), f"{at}/again", compression="zstd")
+    again = keep(match_keys(texts, keep(left, f"{at}/left"), "k", "left_semi"), f"{at}/again", compression="zstd")
     rest = again.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     sets = keep(_exchange(again, p, 1, True, max(1, -(-rest // (6 * p.entries_per_bucket)))).dropDuplicates(["k", "high", "low"]), f"{at}/sets")
 

@@ -168,6 +168,20 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, float], params: Qual
     return rows.mapInArrow(score, f"k {kind}, held_out boolean, score double, predicted int").withColumnRenamed("k", key)
 
 
+def keep_good(docs: DataFrame, model: tuple[np.ndarray, float], params: QualityParams = QualityParams(), text: str = "text") -> DataFrame:
+    """The rows whose text's score reaches the threshold, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def good(batches):
+        weights, bias = shared.value
+        for batch in batches:
+            for part in slices(batch, text):
+                p = score_texts(*utf8(part.column(text)), weights, bias, params.weight_bits)
+                yield part.filter(pa.array(p >= params.threshold))
+
+    return docs.mapInArrow(good, docs.schema)
+
+
 def op10_quality_ftrl(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return score_quality(docs, train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from glyphmill.llm.decontaminate import op4_benchmark_leaks
 from glyphmill.llm.embedding_dedup import op7_rotation_codes
 from glyphmill.llm.jaccard_join import op2_jaccard_join
@@ -14,6 +15,7 @@ from glyphmill.llm.token_store import op8_token_bits
 from glyphmill.llm.warc import op3_warc_round_trip
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_language_bitmask": op1_language_bitmask,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_warc_round_trip": op3_warc_round_trip,
@@ -26,4 +28,4 @@ QUERIES = {
     "op10_quality_ftrl": op10_quality_ftrl,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

@@ -186,7 +186,7 @@ def parse_factors(repeated: np.ndarray, at: np.ndarray, window: int) -> np.ndarr
     return np.stack((starts[heads], starts[tails] - starts[heads] + window), axis=1)
 
 
-def find_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(), key: str = "doc_id", text: str = "text") -> DataFrame:
+def find_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(), key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, spans, kept_text) of every row.
 
     spans are the factors of a text as (first word, words); kept_text is the
@@ -196,14 +196,15 @@ def find_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(), k
     stays null. Rows are in the order of (key, text), null keys first, so of
     repeated rows the first keeps its words; an empty table gives no rows;
     other columns are ignored. A text longer than a block makes a block of
-    its own. Windows are compared by 128-bit hashes.
+    its own. Windows are compared by 128-bit hashes. `carry` names columns that
+    come along as a struct, `carried`.
     """
     p, spark = params, docs.sparkSession
     at = shared_dir(spark, "substring")
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     blocks = max(1, -(-size // p.block_bytes))
     buckets = max(1, -(-size // (6 * 7 * p.entries_per_bucket)))  # a word has about six bytes, an anchor serves about seven windows
-    rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
+    rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), *([F.struct(*carry).alias("carried")] if carry else []))
     rows = rows.repartitionByRange(blocks, "k").sortWithinPartitions("k", "t").withColumn("block", F.spark_partition_id().cast("long"))
     # one row group a file: a block is read by one task, in order
     store = keep(rows, f"{at}/blocks", **{"parquet.block.size": str(1 << 30), "compression": "zstd"})
@@ -243,7 +244,7 @@ def find_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(), k
             yield from _results(block, repeated, p)
 
     kind = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<first:int,words:int>>, kept_text string"
-    return store.mapInArrow(parse, kind)
+    return store.mapInArrow(parse, kind + (f", carried {store.schema['carried'].dataType.simpleString()}" if carry else ""))
 
 
 def _results(block: Block, repeated: np.ndarray, p: SubstringParams):
@@ -272,10 +273,10 @@ def _results(block: Block, repeated: np.ndarray, p: SubstringParams):
             spans.append([{"first": int(f - a), "words": int(m)} for f, m in parse_factors(repeated[w], block.at[w], p.window)])
             kept_text.append(_without(block, gone, a, b, column, d))
         sha.append(hashlib.sha256(_joined(block, stay)).hexdigest())
-    yield pa.RecordBatch.from_arrays(
-        [keys, pa.array(n), pa.array(n_removed), pa.array(sha), pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32())]))), pa.array(kept_text, pa.string())],
-        ["doc_id", "n_words", "n_removed", "kept_sha256", "spans", "kept_text"],
-    )
+    columns = {"doc_id": keys, "n_words": pa.array(n), "n_removed": pa.array(n_removed), "kept_sha256": pa.array(sha), "spans": pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32())]))), "kept_text": pa.array(kept_text, pa.string())}
+    if "carried" in block.table.column_names:
+        columns["carried"] = block.table.column("carried").combine_chunks()
+    yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
 def _joined(block: Block, words: np.ndarray) -> bytes:
