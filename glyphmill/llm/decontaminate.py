@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm._bytes import mix, ranges, slices, utf8
+from glyphmill.llm._bytes import mix, ranges, slices, tidied, utf8
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -227,7 +227,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakP
                         d, item, begin, end, edits = zip(*found)
                         yield pa.RecordBatch.from_arrays([part.column("k").take(pa.array(d)), pa.array(item, pa.int64()), pa.array(begin, pa.int64()), pa.array(end, pa.int64()), pa.array(edits, pa.int32())], ["doc_id", "item_id", "begin", "end", "edits"])
 
-        part = rows.mapInArrow(search, schema)
+        part = rows.mapInArrow(tidied(search), schema)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], schema)
 

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from glyphmill.llm._bytes import tidied
 from glyphmill.llm._spark import connected_components, forest, keep, shared_dir
 
 
@@ -125,7 +126,7 @@ def link_embeddings(vectors: DataFrame, params: EmbeddingParams = EmbeddingParam
             m = batch.num_rows
             yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(tables, dtype=np.int32), m)), pa.array(found.reshape(-1)), pa.array(np.repeat(batch.column("row").to_numpy(), tables))], ["t", "bucket", "row"])
 
-    keyed = keep(good.select("row", "v").mapInArrow(spread, "t int, bucket long, row long"), f"{at}/keys")
+    keyed = keep(good.select("row", "v").mapInArrow(tidied(spread), "t int, bucket long, row long"), f"{at}/keys")
     counts = keyed.groupBy("t", "bucket").count().where("count > 1")
     placed = keyed.join(counts, ["t", "bucket"]).withColumn("blocks", F.ceil(F.col("count") / p.block).cast("int")).withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
     # block i of a bucket meets blocks i..blocks-1: each row goes to every pair of blocks that holds its own

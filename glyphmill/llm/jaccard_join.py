@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm._bytes import grams, hash_words, mix, slices, split_words, utf8
+from glyphmill.llm._bytes import grams, hash_words, mix, slices, split_words, tidied, utf8
 from glyphmill.llm._spark import connected_components, forest, keep, match_keys, shared_dir
 
 
@@ -236,7 +236,7 @@ def _exchange(texts: DataFrame, p: JaccardParams, step: int, with_sets: bool, bu
             prefix.append(own[rare_first[int(dead[d]) : int(prefix_length(n[d], p.percent))]].view(np.int64))
         return pa.table({c: v[stay] for c, v in columns.items()} | {"tokens": pa.array(tokens, pa.binary()), "prefix": pa.array(prefix, pa.list_(pa.int64()))})
 
-    dealt = texts.mapInArrow(deal, _EXCHANGE)
+    dealt = texts.mapInArrow(tidied(deal), _EXCHANGE)
     counted = dealt.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(count, _REPLY)
     return counted.groupBy("chunk").applyInArrow(merge, out)
 
@@ -258,7 +258,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, p: JaccardParams) -> DataFrame:
             keep_ = pa.array(linked, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep_), batch.column("b").filter(keep_)], ["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(tidied(compare), "a long, b long")
 
 
 def _compare_families(family: DataFrame, sets: DataFrame, p: JaccardParams) -> DataFrame:
@@ -341,7 +341,7 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(),
         if subset_cost(n, p.percent) > float(prefix_length(n, p.percent)) * max(2.0, spread):
             break
         boundary = n
-    small = sets.where(F.col("n") <= boundary).select("k", "n", "dead", "tokens").mapInArrow(signatures, "tok long, k long, n long, dead long")
+    small = sets.where(F.col("n") <= boundary).select("k", "n", "dead", "tokens").mapInArrow(tidied(signatures), "tok long, k long, n long, dead long")
     large = lists.where(100 * F.col("n") >= p.percent * (boundary + 1))
     postings = large.unionByName(small)
     long_lists = postings.groupBy("tok").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("tok")

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm._bytes import mix, slices, utf8
+from glyphmill.llm._bytes import mix, slices, tidied, utf8
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -128,7 +128,7 @@ def learn_languages(docs: DataFrame, params: LanguageParams = LanguageParams(),
                 total = np.bincount(inverse, weights=np.concatenate([f[1] for f in found])).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([part_lang] * len(codes)), pa.array(codes.astype(np.int64)), pa.array(total)], ["l", "gram", "n"])
 
-    grams = sample.mapInArrow(count, "l string, gram long, n long").groupBy("l", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= params.min_count).checkpoint()
+    grams = sample.mapInArrow(tidied(count), "l string, gram long, n long").groupBy("l", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= params.min_count).checkpoint()
     from pyspark.sql import Window as W
 
     totals = grams.groupBy("l").agg(F.sum("n").alias("total"))
@@ -179,7 +179,7 @@ def predict_languages(docs: DataFrame, model: BloomLanguages, key: str = "doc_id
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("k"), _held_out(key).alias("held_out"), F.col(text).alias("t"))
-    return rows.mapInArrow(predict, f"k {kind}, held_out boolean, lang_pred string, score double").withColumnRenamed("k", key)
+    return rows.mapInArrow(tidied(predict), f"k {kind}, held_out boolean, lang_pred string, score double").withColumnRenamed("k", key)
 
 
 def op1_language_bitmask(spark, sf_dir: str) -> DataFrame:

@@ -19,9 +19,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm._bytes import slices, utf8
+from glyphmill.llm._bytes import slices, tidied, utf8
 from glyphmill.llm._spark import keep, shared_dir
-from glyphmill.llm.tokens import loaded, public_path
+from glyphmill.llm.tokens import forget_units, loaded, public_path
 
 
 @dataclass(frozen=True)
@@ -136,8 +136,9 @@ def encode_documents(docs: DataFrame, params: PackParams, key: str = "doc_id", t
                 at = (first + np.arange(len(first))) * ids.itemsize
                 raw = pa.BinaryArray.from_buffers(pa.binary(), rows.num_rows, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(ids.tobytes())])
                 yield pa.RecordBatch.from_arrays([rows.column("k"), pa.array(np.diff(at) // ids.itemsize), raw], ["doc_id", "n", "ids"])
+        forget_units()
 
-    return docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).mapInArrow(encode, "doc_id long, n long, ids binary")
+    return docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).mapInArrow(tidied(encode), "doc_id long, n long, ids binary")
 
 
 def pack_documents(docs: DataFrame, params: PackParams = PackParams(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -167,7 +168,7 @@ def pack_documents(docs: DataFrame, params: PackParams = PackParams(), key: str
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(used, [-1, -2])), pa.array(np.append(total[used], [docs_seen, length]))], ["term", "n"])
 
-    counted = dict(encoded.select("ids").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n")).toArrow().to_pandas().itertuples(index=False))  # at most the vocabulary and two rows
+    counted = dict(encoded.select("ids").mapInArrow(tidied(frequencies), "term long, n long").groupBy("term").agg(F.sum("n")).toArrow().to_pandas().itertuples(index=False))  # at most the vocabulary and two rows
     n_docs, mean = counted.pop(-1, 0), counted.pop(-2, 0)
     idf = np.zeros(vocabulary)
     for term, n in counted.items():
@@ -204,7 +205,7 @@ def pack_documents(docs: DataFrame, params: PackParams = PackParams(), key: str
         if held:
             yield shard(held, number)
 
-    return encoded.mapInArrow(pack, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return encoded.mapInArrow(tidied(pack), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def op6_retrieval_packing(spark, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm._bytes import grams, hash_words, mix, repeat_index, slices, split_words, utf8
+from glyphmill.llm._bytes import grams, hash_words, mix, repeat_index, slices, split_words, tidied, utf8
 
 
 @dataclass(frozen=True)
@@ -124,7 +124,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = Qu
                 values = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(value))
                 yield pa.RecordBatch.from_arrays([part.column("key").cast(pa.string()), part.column("label"), lists, values], ["key", "label", "index", "value"])
 
-    rows = sample.mapInArrow(extract, "key string, label double, index array<int>, value array<float>")
+    rows = sample.mapInArrow(tidied(extract), "key string, label double, index array<int>, value array<float>")
 
     def fit(table: pa.Table) -> pa.Table:
         order = np.argsort(np.array(table.column("order").to_pylist()), kind="stable")
@@ -165,7 +165,7 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, float], params: Qual
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("k"), _held_out(key).alias("held_out"), F.col(text).alias("t"))
-    return rows.mapInArrow(score, f"k {kind}, held_out boolean, score double, predicted int").withColumnRenamed("k", key)
+    return rows.mapInArrow(tidied(score), f"k {kind}, held_out boolean, score double, predicted int").withColumnRenamed("k", key)
 
 
 def keep_good(docs: DataFrame, model: tuple[np.ndarray, float], params: QualityParams = QualityParams(), text: str = "text") -> DataFrame:
@@ -179,7 +179,7 @@ def keep_good(docs: DataFrame, model: tuple[np.ndarray, float], params: QualityP
                 p = score_texts(*utf8(part.column(text)), weights, bias, params.weight_bits)
                 yield part.filter(pa.array(p >= params.threshold))
 
-    return docs.mapInArrow(good, docs.schema)
+    return docs.mapInArrow(tidied(good), docs.schema)
 
 
 def op10_quality_ftrl(spark, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm._bytes import grams, hash_words, mix, split_words, utf8
+from glyphmill.llm._bytes import grams, hash_words, mix, split_words, tidied, utf8
 from glyphmill.llm._spark import keep, open_folder, shared_dir
 
 
@@ -212,7 +212,7 @@ def find_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(), k
     def anchors(table, number):
         return np.unique(Block(table, p, windows=False).anchor).reshape(-1, 1)
 
-    dealt = store.select("block", "t").mapInArrow(lambda it: _deal(it, anchors, buckets, p), "bucket long, block long, entries binary")
+    dealt = store.select("block", "t").mapInArrow(tidied(lambda it: _deal(it, anchors, buckets, p)), "bucket long, block long, entries binary")
     shared = dealt.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_match(1, False), "block long, entries binary")
     anchor_path = _side(shared, f"{at}/anchors", blocks)
 
@@ -229,7 +229,7 @@ def find_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(), k
         return np.stack((block.high[heads], block.low[heads]), axis=1)
 
     more = max(1, -(-size // (6 * 2 * p.entries_per_bucket)))
-    dealt = store.select("block", "t").mapInArrow(lambda it: _deal(it, windows, more, p), "bucket long, block long, entries binary")
+    dealt = store.select("block", "t").mapInArrow(tidied(lambda it: _deal(it, windows, more, p)), "bucket long, block long, entries binary")
     earlier = dealt.repartition(more, "bucket").groupBy("bucket").applyInArrow(_match(2, True), "block long, entries binary")
     window_path = _side(earlier, f"{at}/windows", blocks)
 
@@ -244,7 +244,7 @@ def find_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(), k
             yield from _results(block, repeated, p)
 
     kind = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<first:int,words:int>>, kept_text string"
-    return store.mapInArrow(parse, kind + (f", carried {store.schema['carried'].dataType.simpleString()}" if carry else ""))
+    return store.mapInArrow(tidied(parse), kind + (f", carried {store.schema['carried'].dataType.simpleString()}" if carry else ""))
 
 
 def _results(block: Block, repeated: np.ndarray, p: SubstringParams):

@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from glyphmill.llm._bytes import slices, utf8
+from glyphmill.llm._bytes import slices, tidied, utf8
 from glyphmill.llm._spark import keep, open_folder, shared_dir
-from glyphmill.llm.tokens import loaded, public_path
+from glyphmill.llm.tokens import forget_units, loaded, public_path
 
 MAGIC = b"GMTOKEN1"
 #: Ids in a block: a multiple of 64, so blocks end on words.
@@ -168,8 +168,9 @@ def write_token_store(docs: DataFrame, folder: str, params: StoreParams = StoreP
                     out, part = None, part + 1
         if out is not None:
             yield pa.RecordBatch.from_pylist([out.close()])
+        forget_units()
 
-    return keep(rows.mapInArrow(write, "file string, ids long, docs long, bytes long"), f"{folder}/_manifest")
+    return keep(rows.mapInArrow(tidied(write), "file string, ids long, docs long, bytes long"), f"{folder}/_manifest")
 
 
 def read_token_store(spark, folder: str, manifest: DataFrame) -> DataFrame:
@@ -192,7 +193,7 @@ def read_token_store(spark, folder: str, manifest: DataFrame) -> DataFrame:
                     d = e
                 yield pa.RecordBatch.from_arrays([pa.array(store.keys, pa.int64()), pa.array(store.first[:-1]), pa.array(sizes), pa.array(crc, pa.int64()), pa.array([name] * docs)], ["doc_id", "start", "n_tokens", "ids_crc32", "file"])
 
-    rows = files.mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long, file string")
+    rows = files.mapInArrow(tidied(digest), "doc_id long, start long, n_tokens long, ids_crc32 long, file string")
     return rows.join(offsets, "file").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32", "file")
 
 

@@ -132,6 +132,12 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def forget_units() -> None:
+    """Empty the unit caches of this worker's tokenizers: a task's units are not worth an idle worker's memory."""
+    for tokenizer in _LOADED.values():
+        tokenizer._forget()
+
+
 _LOADED: dict[str, UnitTokenizer] = {}
 
 

@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from glyphmill.llm._bytes import tidied
 from glyphmill.llm._spark import keep, open_folder, shared_dir
 
 CRLF = b"\r\n"
@@ -167,7 +168,7 @@ def write_warc(pages: DataFrame, folder: str, params: WarcParams = WarcParams(),
         if out is not None:
             yield pa.RecordBatch.from_pylist([out.close()])
 
-    return keep(dealt.mapInArrow(write, "file string, records long, bytes long, sha256 string"), f"{folder}/_manifest")
+    return keep(dealt.mapInArrow(tidied(write), "file string, records long, bytes long, sha256 string"), f"{folder}/_manifest")
 
 
 def read_warc(spark, folder: str, manifest: DataFrame) -> DataFrame:
@@ -199,7 +200,7 @@ def read_warc(spark, folder: str, manifest: DataFrame) -> DataFrame:
                     rows.append({"page_id": int(key) if key else None, "payload_bytes": size, "payload_digest": digest, "record_type": kind, "refers_to": int(head) if head else None, "url": headers.get("WARC-Target-URI"), "file": name})
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string()), ("file", pa.string())]))
 
-    return files.mapInArrow(parse, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, file string")
+    return files.mapInArrow(tidied(parse), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, file string")
 
 
 def op3_warc_round_trip(spark, sf_dir: str) -> DataFrame:
