@@ -1,4 +1,437 @@
-"""Queries over the driver's tables and their DuckDB oracles."""
+"""Queries over the driver's tables and their DuckDB oracles.
+
+The tables hold no CJK text, so texts are transliterated letter by letter,
+alike in both engines, before the operators that treat CJK characters.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from glyphmill.functions import bins, layout, predicates, prompts
+from glyphmill.functions import text as T
+from glyphmill.operators import dedup, models, pairs, sampling, stats
+from glyphmill.plans import pipelines
+from glyphmill.sources import readers, writers
 
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+_FROM, _TO = "aeiourstln", "甲乙丙丁戊己庚辛壬癸"
+SEED = 20260428
+
+
+def query(sql: str | None = None):
+    def register(function):
+        QUERIES[function.__name__] = function
+        if sql:
+            ORACLES[function.__name__] = sql
+        return function
+
+    return register
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def _zh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _docs(spark, sf_dir).withColumn("zh", F.translate(F.lower("text"), _FROM, _TO))
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_CJK = T.CJK
+_ZH = f"translate(lower(text), '{_FROM}', '{_TO}')"
+_UNITS = f"list_transform(regexp_extract_all(regexp_replace({{0}}, '([{_CJK}])', ' \\1 ', 'g'), '[\\p{{{{L}}}}\\p{{{{N}}}}]+'), lambda x: lower(x))"
+
+
+def _units(text: str) -> str:
+    return _UNITS.format(text).replace("{{", "{").replace("}}", "}")
+
+
+_U = f"SELECT doc_id, lang, {_ZH} AS zh, {_units(_ZH)} AS u FROM documents"
+_U_RUN = f"""WITH d AS ({_U}), e AS (SELECT doc_id, unnest(u) AS x, generate_subscripts(u, 1) AS i FROM d),
+ g AS (SELECT doc_id, x, i - row_number() OVER (PARTITION BY doc_id, x ORDER BY i) AS grp FROM e),
+ r AS (SELECT doc_id, max(c) AS run FROM (SELECT doc_id, x, grp, count(*) AS c FROM g GROUP BY ALL) GROUP BY doc_id),
+ s AS (SELECT d.doc_id, d.lang, len(u) AS n, len(list_distinct(u)) AS k, coalesce(run, 0) AS run FROM d LEFT JOIN r USING (doc_id))"""
+
+
+@query(f"""{_U_RUN}
+SELECT lang, count(*) AS docs, count(*) FILTER (WHERE n >= 10 AND k::DOUBLE / n >= 0.3 AND run <= 3) AS valid_docs, sum(n)::BIGINT AS units FROM s GROUP BY lang""")
+def valid_long_text_by_lang(spark, sf_dir):
+    rows = _zh(spark, sf_dir).withColumn("u", T.mixed_units(F.col("zh")))
+    return rows.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.count(F.when(predicates.valid_long_text(F.col("zh"), F.col("u")), 1)).alias("valid_docs"), F.sum(F.size("u")).cast("long").alias("units"))
+
+
+@query(f"{_U_RUN} SELECT doc_id, n::BIGINT AS n_units, k::BIGINT AS n_distinct, run::BIGINT AS longest_run FROM s")
+def unit_counts(spark, sf_dir):
+    u = T.mixed_units(F.col("zh"))
+    return _zh(spark, sf_dir).withColumn("u", u).select("doc_id", F.size("u").cast("long").alias("n_units"), F.size(F.array_distinct("u")).cast("long").alias("n_distinct"), T.longest_run(F.col("u")).cast("long").alias("longest_run"))
+
+
+@query(r"SELECT doc_id, md5(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'))) AS kept, md5(trim(regexp_replace(regexp_replace(coalesce(text, ''), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g'))) AS bare FROM documents")
+def normalized_text(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", F.md5(T.normalize_text(F.col("text"))).alias("kept"), F.md5(T.normalize_text(F.col("text"), keep_punctuation=False)).alias("bare"))
+
+
+@query(f"""SELECT doc_id,
+ round(coalesce(len(regexp_extract_all(p, '[{_CJK}]'))::DOUBLE / nullif(len(replace(p, ' ', '')), 0), 0), 6) AS cjk_ratio,
+ round(len(regexp_replace(zh, '[^{T.HAN}]', '', 'g'))::DOUBLE / len(zh), 6) AS chinese_ratio,
+ round(len(list_distinct(string_split(zh, '')))::DOUBLE / len(zh), 6) AS unique_char_ratio
+ FROM (SELECT doc_id, {_ZH} AS zh, trim(regexp_replace(regexp_replace({_ZH}, '[^\\p{{L}}\\p{{N}}_{_CJK}\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS p FROM documents)""")
+def char_ratios(spark, sf_dir):
+    zh = F.col("zh")
+    return _zh(spark, sf_dir).select("doc_id", F.round(T.cjk_ratio(zh), 6).alias("cjk_ratio"), F.round(T.chinese_ratio(zh), 6).alias("chinese_ratio"), F.round(T.unique_char_ratio(zh), 6).alias("unique_char_ratio"))
+
+
+_CLEAN_SQL = f"trim(regexp_replace(regexp_replace({{0}}, '[^{T.CLEAN}\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id, md5(c) AS cleaned, md5(left(c, 128)) AS cut FROM (SELECT doc_id, {_CLEAN_SQL.format(_ZH)} AS c FROM documents)")
+def cleaned_text(spark, sf_dir):
+    return _zh(spark, sf_dir).select("doc_id", F.md5(T.clean_text(F.col("zh"))).alias("cleaned"), F.md5(T.truncate_clean(F.col("zh"), 128)).alias("cut"))
+
+
+_REASON = f"""WITH d AS (SELECT doc_id, {_ZH} AS zh FROM documents), c AS (SELECT doc_id, zh, string_split(zh, '') AS a FROM d),
+ e AS (SELECT doc_id, unnest(a) AS x, generate_subscripts(a, 1) AS i FROM c), g AS (SELECT doc_id, x, i - row_number() OVER (PARTITION BY doc_id, x ORDER BY i) AS grp FROM e),
+ r AS (SELECT doc_id, max(n) AS run FROM (SELECT doc_id, x, grp, count(*) AS n FROM g GROUP BY ALL) GROUP BY doc_id),
+ q AS (SELECT c.doc_id, CASE WHEN zh IS NULL OR zh = '' THEN 'empty' WHEN len(zh) < 7 THEN 'short' WHEN len(regexp_replace(zh, '[^{T.HAN}]', '', 'g'))::DOUBLE / len(zh) < 0.4 THEN 'script'
+  WHEN len(list_distinct(a))::DOUBLE / len(zh) < 0.02 THEN 'repetitive' WHEN run > 3 THEN 'run' ELSE 'ok' END AS reason FROM c LEFT JOIN r USING (doc_id))"""
+
+
+@query(f"{_REASON} SELECT reason, count(*) AS docs FROM q GROUP BY reason")
+def text_quality(spark, sf_dir):
+    rules = predicates.CharRules(min_chinese_ratio=0.4, min_unique_ratio=0.02)
+    return _zh(spark, sf_dir).groupBy(predicates.quality_reason(F.col("zh"), rules).alias("reason")).agg(F.count(F.lit(1)).alias("docs"))
+
+
+@query(r"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY trim(regexp_replace(regexp_replace(text, '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g')) ORDER BY doc_id) AS n FROM documents) WHERE n = 1")
+def exact_dedup(spark, sf_dir):
+    key = T.normalize_text(F.col("text"), keep_punctuation=False, compatibility=False)
+    return dedup.exact_dedup(_docs(spark, sf_dir).select("doc_id", "text"), key, "doc_id").select("doc_id")
+
+
+_GRAMS = r"""WITH u AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: lower(x)) AS u FROM documents),
+ g AS (SELECT doc_id, CASE WHEN len(u) >= 4 THEN list_transform(range(1, len(u) - 2), lambda i: list_aggregate(u[i:i+3], 'string_agg', chr(1))) ELSE u END AS g FROM u),
+ m AS (SELECT doc_id, x, count(*) AS c FROM (SELECT doc_id, unnest(g) AS x FROM g) GROUP BY ALL), s AS (SELECT doc_id, sum(c)::BIGINT AS n FROM m GROUP BY doc_id),
+ p AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.c, b.c))::BIGINT AS k FROM m a JOIN m b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+ e AS (SELECT a, b, k AS common, (s.n + t.n - k)::BIGINT AS "union" FROM p JOIN s ON s.doc_id = a JOIN s t ON t.doc_id = b WHERE 10 * k >= 9 * (s.n + t.n - k))"""
+
+
+@query(f'{_GRAMS} SELECT a, b, common, "union" FROM e')
+def near_dup_edges(spark, sf_dir):
+    rows = _docs(spark, sf_dir).select("doc_id", T.mixed_units(F.col("text")).alias("u"))
+    return dedup.lexical_edges(rows, "u", "doc_id")
+
+
+@query(f"{_GRAMS} SELECT doc_id FROM s WHERE doc_id NOT IN (SELECT b FROM e)")
+def near_dedup(spark, sf_dir):
+    return dedup.near_dedup(_docs(spark, sf_dir).select("doc_id", "text"), "text", "doc_id").select("doc_id")
+
+
+@query(r"""SELECT doc_id, count(*) AS grams, max(c) AS most FROM (SELECT doc_id, x, count(*) AS c FROM (SELECT doc_id, unnest(list_transform(range(1, len(u) - 2), lambda i: list_aggregate(u[i:i+3], 'string_agg', chr(1)))) AS x
+ FROM (SELECT doc_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: lower(x)) AS u FROM documents)) GROUP BY ALL) GROUP BY doc_id""")
+def gram_counts(spark, sf_dir):
+    rows = _docs(spark, sf_dir).select("doc_id", T.mixed_units(F.col("text")).alias("u")).where(F.size("u") >= 4)
+    grams = rows.select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("u") - 3), lambda i: F.array_join(F.slice("u", i, 4), "\x01"))).alias("x"))
+    return grams.groupBy("doc_id", "x").agg(F.count(F.lit(1)).alias("c")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("grams"), F.max("c").alias("most"))
+
+
+def _dots() -> str:
+    rows = ", ".join("[" + ", ".join(f"{v}::DOUBLE" for v in row) + "]" for row in dedup.projection(64))
+    return f"list_transform([{rows}], lambda r: CASE WHEN list_dot_product(v, r) > 0 THEN '1' ELSE '0' END)"
+
+
+_HASHES = f"SELECT vec_id, list_aggregate({_dots()}, 'string_agg', '') AS bits FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)"
+
+
+@query(_HASHES)
+def semantic_hash(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", dedup.semantic_hash(F.col("embedding"), dedup.projection(64)).alias("code"))
+    return rows.select("vec_id", F.reverse(F.lpad(F.bin("code"), 64, "0")).alias("bits"))
+
+
+@query(f"WITH h AS ({_HASHES}) SELECT a.vec_id AS a, b.vec_id AS b, hamming(a.bits, b.bits)::INT AS distance FROM h a JOIN h b ON a.vec_id < b.vec_id WHERE hamming(a.bits, b.bits) <= 14")
+def semantic_edges(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings").withColumn("code", dedup.semantic_hash(F.col("embedding"), dedup.projection(64)))
+    return dedup.hash_edges(rows, "code", "vec_id", 14).withColumn("distance", F.col("distance").cast("int"))
+
+
+@query()
+def semantic_dedup(spark, sf_dir):
+    return dedup.semantic_dedup(_table(spark, sf_dir, "embeddings"), "embedding", "vec_id", 64, 14).select("vec_id")
+
+
+_BIN = "CASE WHEN {0} <= 64 THEN 64 WHEN {0} <= 128 THEN 128 WHEN {0} <= 256 THEN 256 WHEN {0} <= 512 THEN 512 ELSE 1024 END"
+
+
+@query(f"SELECT {_BIN.format('n_chars')} AS bin, count(*) AS docs FROM documents GROUP BY 1")
+def length_bins(spark, sf_dir):
+    return _docs(spark, sf_dir).groupBy(bins.bin_for(F.col("n_chars")).alias("bin")).agg(F.count(F.lit(1)).alias("docs"))
+
+
+_PAIRS = "SELECT u.conv_id * 1000 + u.turn AS pair_id, a.text AS en, u.text AS zh FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'"
+
+
+def _pairs(spark, sf_dir):
+    c = _table(spark, sf_dir, "conversations")
+    u, a = c.where("role = 'user'"), c.where("role = 'assistant'")
+    return u.alias("u").join(a.alias("a"), (F.col("a.conv_id") == F.col("u.conv_id")) & (F.col("a.turn") == F.col("u.turn") + 1)).select((F.col("u.conv_id") * 1000 + F.col("u.turn")).alias("pair_id"), F.col("a.text").alias("en"), F.col("u.text").alias("zh"))
+
+
+_CAP = "CASE bin WHEN 64 THEN 50 WHEN 128 THEN 100 WHEN 256 THEN 201 WHEN 512 THEN 403 ELSE 806 END"
+_DECIDED = f"""WITH p AS ({_PAIRS}), b AS (SELECT *, {_BIN.format('len(en)')} AS bin FROM p WHERE en IS NOT NULL AND zh IS NOT NULL), k AS (SELECT pair_id, bin, en, zh, least(len(en), bin) AS en_chars, least(len(zh), {_CAP}) AS zh_chars, len(en) > bin AS cut_en FROM b)"""
+
+
+@query(f"""{_DECIDED} SELECT pair_id, bin, en_chars::INT AS en_chars, zh_chars::INT AS zh_chars, cut_en, CASE WHEN en_chars = 0 OR zh_chars = 0 THEN 'empty_side' WHEN zh_chars::DOUBLE / en_chars < 0.3 OR zh_chars::DOUBLE / en_chars > 1.2 THEN 'ratio' END AS drop_reason FROM k""")
+def pair_lengths(spark, sf_dir):
+    rows = _pairs(spark, sf_dir).where("en is not null and zh is not null").withColumn("d", bins.decide_pair(F.col("en"), F.col("zh")))
+    return rows.select("pair_id", "d.bin", "d.en_chars", "d.zh_chars", "d.cut_en", "d.drop_reason")
+
+
+_KEY = f"md5('{SEED}:' || doc_id)"
+
+
+@query(f"SELECT doc_id, bin FROM (SELECT doc_id, bin, row_number() OVER (PARTITION BY bin ORDER BY {_KEY}, doc_id) AS n FROM (SELECT doc_id, {_BIN.format('n_chars')} AS bin FROM documents)) WHERE n <= 40")
+def stratified_bins(spark, sf_dir):
+    rows = _docs(spark, sf_dir).select("doc_id", bins.bin_for(F.col("n_chars")).alias("bin"))
+    return sampling.stratified_bins(rows, "bin", "doc_id", 200, SEED)
+
+
+@query(f"""WITH k AS (SELECT count(DISTINCT source) AS k FROM documents), p AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY {_KEY}, doc_id) AS n FROM documents)
+ SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (ORDER BY md5('{SEED + 1}:' || doc_id), doc_id) AS t FROM p, k WHERE n <= greatest(1, 110 // k)) WHERE t <= 110""")
+def stratified_topics(spark, sf_dir):
+    return sampling.stratified_topics(_docs(spark, sf_dir).select("doc_id", "source"), "source", "doc_id", 110, SEED)
+
+
+@query(f"""SELECT doc_id, source, n FROM (SELECT doc_id, source, n_chars, row_number() OVER (PARTITION BY source ORDER BY t) AS n FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS t FROM documents) WHERE t <= 30 AND n_chars >= 1000) WHERE n <= 10""")
+def attempt_budget(spark, sf_dir):
+    rows = sampling.budget(_docs(spark, sf_dir).select("doc_id", "source", "n_chars"), "source", "doc_id", F.col("n_chars") >= 1000, 10, 3)
+    from pyspark.sql import Window as W
+
+    return rows.withColumn("n", F.row_number().over(W.partitionBy("source").orderBy("doc_id")).cast("long")).drop("n_chars")
+
+
+_WEIGHTS = {"src0": 0.5, "src1": 0.3, "src2": 0.2, "src3": 0.3}
+_UNIT = "(('0x' || left(md5('{0}:' || doc_id), 12))::UBIGINT::DOUBLE / 281474976710656.0)"
+
+
+@query(f"""WITH w AS (SELECT doc_id, source, -ln(1.0 - {_UNIT.format(SEED)}) / CASE source WHEN 'src0' THEN 0.5 WHEN 'src1' THEN 0.3 WHEN 'src2' THEN 0.2 ELSE 0.3 END AS gap FROM documents WHERE source IN ('src0', 'src1', 'src2', 'src3')),
+ a AS (SELECT doc_id, source, sum(gap) OVER (PARTITION BY source ORDER BY md5('{SEED + 1}:' || doc_id), doc_id ROWS UNBOUNDED PRECEDING) AS arrival FROM w)
+ SELECT doc_id, source, round(arrival, 6) AS arrival FROM a ORDER BY a.arrival, doc_id LIMIT 60""")
+def weighted_mix(spark, sf_dir):
+    rows = sampling.weighted_mix(_docs(spark, sf_dir).select("doc_id", "source"), "source", "doc_id", _WEIGHTS, SEED, 60)
+    return rows.withColumn("arrival", F.round("arrival", 6))
+
+
+@query(f"""SELECT doc_id, ['a', 'b', 'c'][(floor({_UNIT.format(SEED + 1)} * 3) + 1)::INT] AS font, (floor({_UNIT.format(SEED + 2)} * 33) + 24)::INT AS font_size, CASE WHEN {_UNIT.format(SEED)} < 0.6 THEN '宋体' END AS family FROM documents""")
+def seeded_attributes(spark, sf_dir):
+    rows = sampling.seeded_attributes(_docs(spark, sf_dir).select("doc_id"), "doc_id", SEED, ["a", "b", "c"])
+    return sampling.preferred_family(rows, "doc_id", SEED, "宋体").select("doc_id", "font", "font_size", "family")
+
+
+def _paired(spark, sf_dir):
+    rows = _pairs(spark, sf_dir).where("en is not null and zh is not null").withColumn("d", bins.decide_pair(F.col("en"), F.col("zh")))
+    return pipelines.pair_samples(rows, "pair_id", "pairs")
+
+
+_SIDES = f"""{_DECIDED}, v AS (SELECT pair_id, l AS lang, left(sha1(pair_id::VARCHAR), 16) AS h, CASE l WHEN 'en' THEN left(en, bin) ELSE left(zh, {_CAP}) END AS rendered FROM k, (VALUES ('en'), ('zh')) t(l))"""
+
+
+@query(f"{_SIDES} SELECT pair_id, lang, lang || '_' || h AS sample_id, md5(rendered) AS rendered FROM v")
+def pair_views(spark, sf_dir):
+    return pairs.long_view(_paired(spark, sf_dir)).select("pair_id", "lang", "sample_id", F.md5("rendered_text").alias("rendered"))
+
+
+@query(f"{_SIDES} SELECT a.pair_id, md5(a.rendered) AS zh, md5(b.rendered) AS en FROM v a JOIN v b ON a.pair_id = b.pair_id AND a.lang = 'zh' AND b.lang = 'en'")
+def pair_rejoin(spark, sf_dir):
+    _, zh, en = pairs.split_views(_paired(spark, sf_dir))
+    return pairs.rejoin(zh, en).select("pair_id", F.md5("zh.rendered_text").alias("zh"), F.md5("en.rendered_text").alias("en"))
+
+
+@query("""SELECT doc_id, 'doc_' || left(sha1(source || chr(10) || lang || chr(10) || text), 16) AS lines_id FROM documents""")
+def stable_ids(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.stable_id("doc_", "source", "lang", "text").alias("lines_id"))
+
+
+@query(f"""SELECT doc_id, CASE WHEN floor({_UNIT.format(SEED)} * 2) = 1 THEN '画面为' || trim(source) || '，写有：' || trim(left(text, 40)) ELSE trim(source) || '，图上的文字是「' || trim(left(text, 40)) || '」。' END AS caption FROM documents""")
+def template_captions(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", prompts.caption(F.col("source"), F.left("text", F.lit(40)), SEED, F.col("doc_id")).alias("caption"))
+
+
+#: Ten letters stand for all CJK characters here, so texts repeat more than real ones.
+_OCR_RULES = predicates.UnitRules(min_unique_ratio=0.05, max_run=4)
+
+
+def _ocr(spark, sf_dir):
+    """Conversations as OCR records: a turn is a line with a box made from its number and length."""
+    c = _table(spark, sf_dir, "conversations").where("text is not null")
+    zh = F.translate(F.lower(F.left("text", F.lit(60))), _FROM, _TO)
+    y, x = ((F.col("turn") * 7) % 3 * 20).cast("double"), ((F.col("turn") * 5 + F.length("text")) % 11).cast("double")
+    box = F.struct(zh.alias("text"), x.alias("x0"), y.alias("y0"), (x + 100.0).alias("x1"), (y + 18.0).alias("y1"), F.lit(0).alias("reading_order"), F.col("turn").alias("turn"))
+    grouped = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", box.alias("b")))).alias("r"))
+    return grouped.select(F.col("conv_id").alias("line"), F.lit(None).cast("string").alias("sample_id"), F.concat(F.lit("img/"), F.col("conv_id").cast("string")).alias("image_path"), F.lit("对话").alias("caption"), F.transform("r", lambda r: r["b"]).alias("blocks"))
+
+
+_OCR_SQL = f"""WITH l AS (SELECT conv_id, turn, translate(lower(left(text, 60)), '{_FROM}', '{_TO}') AS t, (turn * 7) % 3 * 20.0 AS y, ((turn * 5 + len(text)) % 11)::DOUBLE AS x FROM conversations WHERE text IS NOT NULL),
+ o AS (SELECT conv_id, string_agg(t, chr(10) ORDER BY y, x, turn) AS t, string_agg(turn::VARCHAR, ',' ORDER BY y, x, turn) AS turns, min(x) AS x0, max(y) + 18.0 AS y1 FROM l GROUP BY conv_id)"""
+
+
+@query(f"{_OCR_SQL} SELECT conv_id, turns, x0, y1 FROM o")
+def reading_order(spark, sf_dir):
+    rows = _ocr(spark, sf_dir).withColumn("b", layout.order_by_corner("blocks"))
+    return rows.select(F.col("line").alias("conv_id"), F.array_join(F.transform("b", lambda b: b["turn"].cast("string")), ",").alias("turns"), layout.box_union(F.col("b"))["x0"].alias("x0"), layout.box_union(F.col("b"))["y1"].alias("y1"))
+
+
+@query(f"""{_OCR_SQL}, u AS (SELECT *, {_units('t')} AS u FROM o), e AS (SELECT conv_id, unnest(u) AS x, generate_subscripts(u, 1) AS i FROM u), g AS (SELECT conv_id, x, i - row_number() OVER (PARTITION BY conv_id, x ORDER BY i) AS grp FROM e),
+ r AS (SELECT conv_id, max(c) AS run FROM (SELECT conv_id, x, grp, count(*) AS c FROM g GROUP BY ALL) GROUP BY conv_id),
+ v AS (SELECT u.conv_id, t, trim(regexp_replace(regexp_replace(t, '[^\\p{{L}}\\p{{N}}_{_CJK}\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS key FROM u JOIN r USING (conv_id) WHERE len(u) >= 10 AND len(list_distinct(u))::DOUBLE / len(u) >= 0.05 AND run <= 4)
+ SELECT conv_id, md5(t) AS text, md5('对话。图中包含以下中文文字：' || t) AS prompt FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY conv_id) AS n FROM v) WHERE n = 1""")
+def ocr_filter(spark, sf_dir):
+    rows = pipelines.filter_ocr(_ocr(spark, sf_dir), "talk", _OCR_RULES, near=False)
+    return rows.select(F.col("line").alias("conv_id"), F.md5("text").alias("text"), F.md5("prompt").alias("prompt"))
+
+
+@query()
+def ocr_filter_near(spark, sf_dir):
+    return pipelines.filter_ocr(_ocr(spark, sf_dir), "talk", _OCR_RULES).select(F.col("line").alias("conv_id"), "sample_id")
+
+
+@query(f"""SELECT conv_id, string_agg(c, chr(10) ORDER BY turn) AS joined FROM (SELECT conv_id, turn, {_CLEAN_SQL.format(f"translate(lower(left(text, 60)), '{_FROM}', '{_TO}')")} AS c FROM conversations WHERE text IS NOT NULL)
+ WHERE len(c) > 1 AND len(regexp_replace(c, '[^{T.HAN}]', '', 'g'))::DOUBLE / len(c) >= 0.2 GROUP BY conv_id""")
+def long_words_lines(spark, sf_dir):
+    rows = _ocr(spark, sf_dir).withColumn("kept", predicates.long_words_lines(F.col("blocks"))).where(F.size("kept") > 0)
+    return rows.select(F.col("line").alias("conv_id"), F.array_join(F.transform("kept", lambda b: b["text"]), "\n").alias("joined"))
+
+
+@query(f"""SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS cut FROM (SELECT doc_id, w, i, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS used FROM (SELECT doc_id, w, i, len(regexp_extract_all(w, '[\\p{{L}}\\p{{N}}]+')) AS n FROM
+ (SELECT doc_id, unnest(a) AS w, generate_subscripts(a, 1) AS i FROM (SELECT doc_id, string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ') AS a FROM documents)))) WHERE used <= 40 GROUP BY doc_id""")
+def truncated_units(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.truncate_by_units(F.col("text"), 40).alias("cut"))
+
+
+@query("""SELECT a.doc_id, round(CASE WHEN a.text = '' OR b.text = '' THEN 1.0 ELSE 1.0 - len(list_intersect(string_split(a.text, ''), string_split(b.text, '')))::DOUBLE / len(list_distinct(list_concat(string_split(a.text, ''), string_split(b.text, '')))) END, 6) AS divergence
+ FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1""")
+def divergence(spark, sf_dir):
+    d = _docs(spark, sf_dir).select("doc_id", "text")
+    return d.alias("a").join(d.alias("b"), F.col("b.doc_id") == F.col("a.doc_id") + 1).select("a.doc_id", F.round(T.divergence(F.col("a.text"), F.col("b.text")), 6).alias("divergence"))
+
+
+@query("SELECT item_id, round(levenshtein(regexp_replace(text, '[aeiou]', 'x', 'g'), text)::DOUBLE / len(text), 6) AS cer FROM benchmark")
+def character_error_rate(spark, sf_dir):
+    noisy = F.regexp_replace("text", "[aeiou]", "x")
+    return _table(spark, sf_dir, "benchmark").select("item_id", F.round(T.character_error_rate(noisy, F.col("text")), 6).alias("cer"))
+
+
+@query("SELECT lang AS subset, count(*) AS samples, round(avg(n_chars), 4) AS mean_length FROM documents GROUP BY ROLLUP (lang)")
+def corpus_stats(spark, sf_dir):
+    return stats.corpus_stats(_docs(spark, sf_dir).withColumnRenamed("lang", "subset"), "subset", "n_chars").withColumn("mean_length", F.round("mean_length", 4))
+
+
+@query("SELECT lang, (n_chars // 500 * 500)::BIGINT AS bucket, count(*) AS n FROM documents GROUP BY ALL")
+def joint_distribution(spark, sf_dir):
+    return stats.joint_distribution(_docs(spark, sf_dir), "lang", "n_chars", 500)
+
+
+@query("SELECT lang, quantile_cont(n_chars, 0.5) AS median_n_chars FROM documents GROUP BY lang")
+def length_medians(spark, sf_dir):
+    return stats.medians(_docs(spark, sf_dir), "lang", "n_chars")
+
+
+@query("SELECT source, n, round(n / sum(n) OVER (), 8) AS share FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)")
+def topic_shares(spark, sf_dir):
+    return stats.shares(_docs(spark, sf_dir).select("source"), "source").withColumn("share", F.round("share", 8))
+
+
+@query("SELECT CASE WHEN n_chars < 0 THEN 0 WHEN n_chars >= 20000 THEN 21 ELSE n_chars // 1000 + 1 END::BIGINT AS bucket, count(*) AS n FROM documents GROUP BY 1")
+def length_histogram(spark, sf_dir):
+    return stats.histogram(_docs(spark, sf_dir), "n_chars", 0, 20000, 20)
+
+
+@query("SELECT event_id, coalesce(nullif(json_extract_string(props, '$.missing'), ''), nullif(json_extract_string(props, '$.k'), ''), event_type) AS picked FROM events")
+def alias_cascade(spark, sf_dir):
+    rows = _table(spark, sf_dir, "events").withColumn("raw", F.try_parse_json("props"))
+    return rows.select("event_id", F.coalesce(readers.field("raw", "missing", "k"), F.col("event_type")).alias("picked"))
+
+
+@query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 300 AS shard, (row_number() OVER (ORDER BY doc_id) - 1) % 300 AS place FROM documents")
+def shard_plan(spark, sf_dir):
+    return writers.shard_plan(_docs(spark, sf_dir).select("doc_id"), "doc_id", 300)
+
+
+@query("SELECT doc_id FROM documents ORDER BY doc_id LIMIT 50")
+def limit_prefix(spark, sf_dir):
+    return sampling.first_n(_docs(spark, sf_dir).select("doc_id"), "doc_id", 50)
+
+
+@query("SELECT doc_id, lang FROM documents WHERE lang IN (SELECT DISTINCT left(role, 2) FROM conversations UNION SELECT 'en')")
+def registry_semi_join(spark, sf_dir):
+    files = _table(spark, sf_dir, "conversations").select(F.left("role", F.lit(2)).alias("file")).unionByName(spark.createDataFrame([("en",)], "file string"))
+    return pairs.installed(_docs(spark, sf_dir).select("doc_id", F.col("lang").alias("file")), files).select("doc_id", F.col("file").alias("lang"))
+
+
+@query(f"""WITH s AS (SELECT doc_id, floor({_UNIT.format(SEED)} * 6)::INT AS k FROM documents), t AS (SELECT doc_id, CASE k WHEN 0 THEN 'modern_sans' WHEN 1 THEN 'literary_serif' WHEN 5 THEN 'display' ELSE 'calligraphy' END AS style,
+ CASE k WHEN 0 THEN ['hei-1', 'hei-2'] WHEN 1 THEN ['song-1'] ELSE ['hei-1', 'hei-2', 'song-1'] END AS z, CASE k WHEN 0 THEN ['sans-1'] WHEN 1 THEN ['serif-1', 'serif-2'] ELSE ['sans-1', 'serif-1', 'serif-2'] END AS e FROM s)
+ SELECT doc_id, style, z[(floor({_UNIT.format(SEED + 1)} * len(z)) + 1)::INT] AS zh_font, e[(floor({_UNIT.format(SEED + 2)} * len(e)) + 1)::INT] AS en_font FROM t""")
+def font_pairs(spark, sf_dir):
+    zh = spark.createDataFrame([("黑体", "hei-1"), ("黑体", "hei-2"), ("宋体", "song-1")], "family string, file string")
+    en = spark.createDataFrame([("sans", "sans-1"), ("serif", "serif-1"), ("serif", "serif-2")], "family string, file string")
+    return pairs.font_pairs(_docs(spark, sf_dir).select("doc_id"), "doc_id", zh, en, SEED)
+
+
+@query("SELECT doc_id, n_chars > 4000 AS needs_human_review FROM documents WHERE n_chars > 4000")
+def review_queue(spark, sf_dir):
+    marked, _ = pipelines.review_queue(_docs(spark, sf_dir).select("doc_id", "n_chars"), F.col("n_chars") > 4000)
+    return marked.where("needs_human_review").select("doc_id", "needs_human_review")
+
+
+@query(f"SELECT doc_id, CASE WHEN len(regexp_replace({_ZH}, '[^{T.HAN}]', '', 'g'))::DOUBLE / len(text) >= 0.4 THEN 'zh' ELSE 'en' END AS source_lang, CASE WHEN doc_id % 3 = 0 THEN text ELSE '译' END AS filled FROM documents")
+def source_routing(spark, sf_dir):
+    given = F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(F.lit(""))
+    return _zh(spark, sf_dir).select("doc_id", pairs.source_language(F.col("zh")).alias("source_lang"), pairs.fill_side(given, F.lit("译")).alias("filled"))
+
+
+@query("""SELECT doc_id, concat_ws(' | ', 'T' || doc_id, CASE WHEN source <> '' THEN '作者：' || source END, CASE WHEN doc_id % 2 = 0 THEN '年份：' || lang END) AS prompt FROM documents""")
+def book_prompts(spark, sf_dir):
+    title = F.concat(F.lit("T"), F.col("doc_id").cast("string"))
+    return _docs(spark, sf_dir).select("doc_id", prompts.book_prompt(title, 作者=F.col("source"), 年份=F.when(F.col("doc_id") % 2 == 0, F.col("lang"))).alias("prompt"))
+
+
+@query("""SELECT doc_id, least(greatest(1, doc_id % 6), 4) AS images, 48.0 AS x0, 48.0 AS y0, round((928.0 - 6.0 * (c - 1)) / c, 6) AS w FROM (SELECT doc_id, greatest(1, least(greatest(1, doc_id % 6), 4) // (doc_id % 2 + 1)) AS c FROM documents)""")
+def image_grids(spark, sf_dir):
+    rows = _docs(spark, sf_dir).select("doc_id", layout.image_grid((F.col("doc_id") % 6).cast("int"), 1024, 1024, (F.col("doc_id") % 2 + 1).cast("int")).alias("g"))
+    return rows.select("doc_id", F.greatest(F.least(F.col("doc_id") % 6, F.lit(4)), F.lit(1)).alias("images"), F.col("g")[0]["x"].alias("x0"), F.col("g")[0]["y"].alias("y0"), F.round(F.col("g")[0]["w"], 6).alias("w"))
+
+
+@query("""SELECT doc_id, CASE WHEN n_chars > 100 THEN 4 ELSE 3 END::INT AS parts, 48.0 + 60.0 AS image_y FROM documents""")
+def article_stacks(spark, sf_dir):
+    s = layout.article_stack(F.col("source"), F.when(F.col("n_chars") > 100, F.col("lang")), F.col("text"), 1024.0, 1400.0)
+    return _docs(spark, sf_dir).withColumn("s", s).select("doc_id", F.size("s").alias("parts"), F.col("s")[1]["y"].alias("image_y"))
+
+
+@query("""SELECT doc_id, [(color >> 16) & 255, (color >> 8) & 255, color & 255] AS rgb FROM (SELECT doc_id, (doc_id * 7919 % 16777216)::BIGINT AS color FROM documents)""")
+def unpacked_colors(spark, sf_dir):
+    c = T.rgb((F.col("doc_id") * 7919 % 16777216).cast("long"))
+    return _docs(spark, sf_dir).select("doc_id", F.array(c["r"], c["g"], c["b"]).alias("rgb"))
+
+
+@query("""SELECT doc_id, list_filter(list_transform([left(text, 20), '', substr(text, 21, 20)], lambda x: trim(x)), lambda x: x <> '') AS parts FROM (SELECT doc_id, regexp_replace(text, '[0-9.\\s]+', ' ', 'g') AS text FROM documents)""")
+def numbered_parts(spark, sf_dir):
+    plain = F.regexp_replace("text", "[0-9.\\s]+", " ")
+    return _docs(spark, sf_dir).select("doc_id", T.split_numbered(F.concat(F.left(plain, F.lit(20)), F.lit("\n1. \n2. "), F.substring(plain, 21, 20))).alias("parts"))
+
+
+@query("SELECT doc_id, len(string_split(text, chr(10))) AS sections FROM documents")
+def zipped_sections(spark, sf_dir):
+    lines = F.transform(F.split("text", "\n"), lambda x: F.concat(F.lit("#"), x))
+    return _docs(spark, sf_dir).select("doc_id", F.size(pairs.zip_sections(lines, F.array(F.lit("a.png")))).cast("long").alias("sections"))
+
+
+@query("SELECT lang, count(*) AS docs, left(sha256('{\"prompt\":\"' || lang || '\"}'), 8) AS request FROM documents GROUP BY lang")
+def model_requests(spark, sf_dir):
+    rows = models.call_once(_docs(spark, sf_dir).select(F.col("lang").alias("prompt")), "chat")
+    return rows.where("answer is not null").groupBy(F.col("prompt").alias("lang")).agg(F.count(F.lit(1)).alias("docs")).withColumn("request", F.left(F.sha2(F.to_json(F.struct(F.col("lang").alias("prompt"))), 256), F.lit(8)))
