@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glyphmill.functions import text as T
+from glyphmill.operators.lineage import cut
 
 
 def exact_dedup(df: DataFrame, key: Column, ord: str) -> DataFrame:
@@ -58,7 +59,7 @@ def lexical_edges(df: DataFrame, units: str, ord: str, n: int = 4, tenths: int =
     often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     ranked = tokens.join(often, "token").join(sizes, "ord")
     ranked = ranked.withColumn("place", F.row_number().over(W.partitionBy("ord").orderBy("df", "token")))
-    ranked = ranked.checkpoint()
+    ranked = cut(ranked)
     prefix = ranked.where((F.col("df") > 1) & (F.col("place") <= F.col("size") - F.ceil(F.col("size") * tenths / 10) + 1))
     a, b = prefix.select("token", F.col("ord").alias("a"), F.col("size").alias("sa")), prefix.select("token", F.col("ord").alias("b"), F.col("size").alias("sb"))
     pairs = a.join(b, "token").where((F.col("a") < F.col("b")) & (10 * F.col("sa") >= tenths * F.col("sb")) & (10 * F.col("sb") >= tenths * F.col("sa"))).select("a", "b", "sa", "sb").distinct()
@@ -73,13 +74,13 @@ def first_kept(nodes: DataFrame, edges: DataFrame, rounds: int = 100) -> DataFra
     Each round keeps the nodes whose smaller neighbours are all dropped and
     drops those with a kept smaller neighbour, until every node is decided.
     """
-    state = nodes.select(F.col("ord"), F.lit(None).cast("boolean").alias("kept")).checkpoint()
-    edges = edges.select("a", "b").checkpoint()
+    state = cut(nodes.select(F.col("ord"), F.lit(None).cast("boolean").alias("kept")))
+    edges = cut(edges.select("a", "b"))
     for _ in range(rounds):
         near = edges.join(state.select(F.col("ord").alias("a"), F.col("kept").alias("k")), "a").groupBy("b").agg(F.max(F.coalesce("k", F.lit(False))).alias("some"), F.max(F.col("k").isNull()).alias("unsure"))
         joined = state.join(near, state.ord == near.b, "left")
         decided = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.coalesce("some", F.lit(False)), False).when(~F.coalesce("unsure", F.lit(False)), True)
-        state = joined.select("ord", decided.alias("kept")).checkpoint()
+        state = cut(joined.select("ord", decided.alias("kept")))
         if not state.where("kept is null").limit(1).count():
             break
     return state.where("kept").select("ord")

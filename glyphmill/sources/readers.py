@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glyphmill.functions import text as T
+from glyphmill.operators.lineage import cut
 
 
 def first_of(*columns: Column) -> Column:
@@ -107,7 +108,7 @@ def page_texts(spans: DataFrame, scale: float = 2.0, most_pages: int | None = No
 
 def numbered(df: DataFrame, *order: str) -> DataFrame:
     """Rows with `ord`, their place from 0 in an order: counted inside ranges of it, with the ranges' counts as offsets."""
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("_part")).checkpoint()
+    parts = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("_part")))
     counts = parts.groupBy("_part").count()
     before = counts.select("_part", F.coalesce(F.sum("count").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     inside = F.row_number().over(W.partitionBy("_part").orderBy(*order)) - 1
