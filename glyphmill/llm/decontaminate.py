@@ -72,7 +72,7 @@ class PatternIndex:
 
     def __init__(self, items: list[tuple[int, bytes]], p: LeakParams):
         self.q = p.q
-        self.item = np.array([i for i, _ in items], np.int64)
+        self.item = [i for i, _ in items]
         self.pattern = [b for _, b in items]
         self.m = np.array([len(b) for b in self.pattern], np.int64)
         # as many edits as the rate allows, fewer where the lemma would ask for no q-gram
@@ -178,16 +178,16 @@ def _search(index: PatternIndex, data: np.ndarray, offsets: np.ndarray, p: LeakP
             own = text[at[d] : at[d + 1]]
             edits, begin, end = align(index.pattern[pattern], own, int(a + first - at[d]), 2 * int(index.width[pattern]))
             if edits <= index.k[pattern]:
-                key = (d, int(index.item[pattern]), pattern, begin // max(1, int(index.m[pattern])))
+                key = (d, pattern, begin // max(1, int(index.m[pattern])))
                 found[key] = min(found.get(key, (edits, begin, end)), (edits, begin, end))
-    for (d, item, pattern, _), (edits, begin, end) in sorted(found.items()):
-        close = found.get((d, item, pattern, begin // max(1, int(index.m[pattern])) - 1))
+    for (d, pattern, _), (edits, begin, end) in sorted(found.items()):
+        close = found.get((d, pattern, begin // max(1, int(index.m[pattern])) - 1))
         if close and close[2] > begin and close[0] <= edits:
             continue  # the same region, seen from the cell before
         base = offsets[d]
         left = int(place[at[d] + begin] - base)
         right = int(place[at[d] + end - 1] - base) + 1
-        yield d, item, left, right, edits
+        yield d, index.item[pattern], left, right, edits
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakParams(), key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:

@@ -62,7 +62,7 @@ def text_grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     whole = np.ones(len(codes), dtype=bool)
     for back in (1, 2, 3):  # grams that run into the next text
         edge = at[1:-1] - back
-        whole[edge[edge >= 0]] = False
+        whole[edge[(edge >= 0) & (edge < len(whole))]] = False
     return codes[whole], first
 
 
