@@ -31,7 +31,7 @@ def valid_long_text(text: Column, units: Column, rules: UnitRules = UnitRules())
     ok = F.size(units) >= rules.min_units
     if rules.min_cjk_ratio:
         ok = ok & (T.cjk_ratio(text) >= rules.min_cjk_ratio)
-    return ok & (T.unique_ratio(units) >= rules.min_unique_ratio) & (T.longest_run(units) <= rules.max_run)
+    return ok & (T.unique_ratio(units) >= rules.min_unique_ratio) & ~T.has_item_run(units, rules.max_run)
 
 
 def quality_reason(text: Column, rules: CharRules = CharRules()) -> Column:

@@ -82,6 +82,12 @@ def has_char_run(text: Column, longest: int = 3) -> Column:
     return text.rlike(f"(?s)(.)\\1{{{longest}}}")
 
 
+def has_item_run(items: Column, longest: int) -> Column:
+    """Whether an item of an array of units repeats more than `longest` times in a row: one pattern over the joined units."""
+    joined = F.concat(F.lit("\x01"), F.array_join(items, "\x01"), F.lit("\x01"))
+    return (F.size(items) > 0) & joined.rlike(f"\x01([^\x01]*+)\x01(?:\\1\x01){{{longest}}}")
+
+
 def longest_run(items: Column) -> Column:
     """Length of the longest run of equal neighbours in an array."""
     start = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))

@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df.checkpoint() in spark.checkpoint.dir; only where that is unset, in a temporary folder of this (local) session."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="glyphmill-"))
-    return df.checkpoint()
+    """df written as Parquet below spark.checkpoint.dir and read again: computed once, and safe from lost executors.
+
+    Only where that setting is absent, a temporary folder of this (local)
+    session takes its place.
+    """
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_glyphmill_dir", None)
+    if not base:
+        base = spark._glyphmill_dir = tempfile.mkdtemp(prefix="glyphmill-")
+    path = f"{base.rstrip('/')}/cut-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
