@@ -42,7 +42,9 @@ def gram_multiset(units: Column, n: int) -> Column:
 def gram_tokens(df: DataFrame, units: str, ord: str, n: int) -> DataFrame:
     """(ord, size, token): the multiset tokens as 64-bit hashes, counted by one aggregation rather than folds over long arrays."""
     grams = F.when(F.size(units) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.size(units) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(units, i, n), "\x01"))).otherwise(F.col(units))
-    exploded = df.select(F.col(ord).alias("ord"), F.explode(grams).alias("gram"))
+    # dealt out by row while rows are few: counting and ranking inside a row then need no further exchange
+    rows = df.select(F.col(ord).alias("ord"), F.col(units)).repartition("ord")
+    exploded = rows.select("ord", F.explode(grams).alias("gram"))
     counted = exploded.groupBy("ord", "gram").agg(F.count(F.lit(1)).cast("int").alias("c"))
     return counted.select("ord", F.explode(F.sequence(F.lit(1), "c")).alias("i"), "gram").select("ord", F.xxhash64("gram", "i").alias("token"))
 
