@@ -30,7 +30,7 @@ _KIND[48:58] = 0
 _KIND[[*range(65, 91), *range(97, 123)]] = _ASCII_LETTER
 _JOIN_BYTES = 1 << 15
 #: Distinct units that a worker remembers; beyond this it starts anew.
-CACHE_UNITS = 300_000
+CACHE_UNITS = 600_000
 
 
 class UnitTokenizer:
