@@ -7,6 +7,7 @@ from glyphmill.llm.decontaminate import op4_benchmark_leaks
 from glyphmill.llm.embedding_dedup import op7_rotation_codes
 from glyphmill.llm.jaccard_join import op2_jaccard_join
 from glyphmill.llm.language_id import op1_language_bitmask
+from glyphmill.llm.oracles import ORACLES as OPERATOR_ORACLES
 from glyphmill.llm.packing import op6_retrieval_packing
 from glyphmill.llm.quality import op10_quality_ftrl
 from glyphmill.llm.sharding import op5_jump_shards
@@ -28,4 +29,4 @@ QUERIES = {
     "op10_quality_ftrl": op10_quality_ftrl,
 }
 
-ORACLES: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+ORACLES: dict[str, str] = OPERATOR_ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
