@@ -435,3 +435,127 @@ def zipped_sections(spark, sf_dir):
 def model_requests(spark, sf_dir):
     rows = models.call_once(_docs(spark, sf_dir).select(F.col("lang").alias("prompt")), "chat")
     return rows.where("answer is not null").groupBy(F.col("prompt").alias("lang")).agg(F.count(F.lit(1)).alias("docs")).withColumn("request", F.left(F.sha2(F.to_json(F.struct(F.col("lang").alias("prompt"))), 256), F.lit(8)))
+
+
+def _box(x, y, w, h, **more):
+    named = {"x": x, "y": y, "w": w, "h": h, **more}
+    return F.struct(*[(F.lit(v) if not hasattr(v, "alias") else v).alias(k) for k, v in named.items()])
+
+
+def _lines(spark, sf_dir):
+    """Conversations as lines with two corner points; some lie above the page's edge."""
+    c = _table(spark, sf_dir, "conversations").where("text is not null")
+    y, x = ((F.col("turn") * 7) % 3 * 20 - 10).cast("double"), ((F.col("turn") * 5 + F.length("text")) % 11).cast("double")
+    line = F.struct(F.array(F.struct(x.alias("x"), y.alias("y")), F.struct((x + 100.0).alias("x"), (y + 18.0 + F.col("turn") % 2).alias("y"))).alias("points"), F.col("turn").alias("turn"))
+    return c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", line.alias("b")))).alias("r")).select("conv_id", F.transform("r", lambda r: r["b"]).alias("lines"))
+
+
+_LINES = "WITH l AS (SELECT conv_id, turn, (turn * 7) % 3 * 20.0::DOUBLE - 10 AS y, ((turn * 5 + len(text)) % 11)::DOUBLE AS x, turn % 2 AS odd FROM conversations WHERE text IS NOT NULL)"
+
+
+@query(f"{_LINES} SELECT conv_id, string_agg(turn::VARCHAR, ',' ORDER BY floor((y + 9 + odd / 2.0) / 12), x, turn) AS turns FROM l GROUP BY conv_id")
+def row_order(spark, sf_dir):
+    rows = _lines(spark, sf_dir).withColumn("o", layout.order_by_rows(F.col("lines")))
+    return rows.select("conv_id", F.array_join(F.transform("o", lambda x: x["turn"].cast("string")), ",").alias("turns"))
+
+
+@query(f"{_LINES} SELECT conv_id, turn, x AS x0, y AS y0, x + 100 AS x1, y + 18 + odd AS y1, true AS axis_aligned FROM l")
+def polygon_boxes(spark, sf_dir):
+    rows = _lines(spark, sf_dir).select("conv_id", F.explode("lines").alias("l")).withColumn("b", layout.polygon_box(F.col("l.points")))
+    return rows.select("conv_id", "l.turn", "b.x0", "b.y0", "b.x1", "b.y1", predicates.axis_aligned(F.col("l.points")).alias("axis_aligned"))
+
+
+@query(f"{_LINES} SELECT conv_id, turn, area FROM (SELECT conv_id, turn, 100 * (18.0::DOUBLE + odd) AS area, row_number() OVER (PARTITION BY conv_id ORDER BY odd DESC, turn) AS n FROM l) WHERE n = 1")
+def largest_regions(spark, sf_dir):
+    boxes = F.transform("lines", lambda x: F.struct(layout.polygon_box(x["points"]).alias("b"), x["turn"].alias("turn")))
+    flat = F.transform(boxes, lambda s: F.struct(s["b"]["x0"].alias("x0"), s["b"]["y0"].alias("y0"), s["b"]["x1"].alias("x1"), s["b"]["y1"].alias("y1"), s["turn"].alias("turn")))
+    rows = _lines(spark, sf_dir).withColumn("b", layout.largest_box(flat))
+    return rows.select("conv_id", "b.turn", ((F.col("b.x1") - F.col("b.x0")) * (F.col("b.y1") - F.col("b.y0"))).alias("area"))
+
+
+@query("""WITH s AS (SELECT doc_id, least(1.0::DOUBLE, 704.0::DOUBLE / (n_chars % 900 + 1), 210.0::DOUBLE / (doc_id % 400 + 1)) * (doc_id % 400 + 1) AS a, least(1.0::DOUBLE, 704.0::DOUBLE / (doc_id % 300 + 1), 210.0::DOUBLE / (n_chars % 300 + 1)) * (n_chars % 300 + 1) AS b FROM documents),
+ f AS (SELECT doc_id, 68 + a AS text_y, 308 + a AS image_y, b, 308 + a + b <= 552 AS second FROM s)
+SELECT doc_id, CASE WHEN NOT second THEN 2 WHEN 552 - (image_y + b + 20) >= 80 THEN 4 ELSE 3 END AS boxes, round(text_y, 6) AS text_y, CASE WHEN second THEN round(image_y + b, 6) END AS image_end FROM f""")
+def page_flows(spark, sf_dir):
+    def section(kind: str, text, w, h):
+        return F.struct(F.lit(kind).alias("kind"), text.alias("text"), w.cast("double").alias("w"), h.cast("double").alias("h"))
+
+    text, one = F.left("text", F.lit(30)), F.lit(1)
+    n, d = F.col("n_chars"), F.col("doc_id")
+    sections = F.array(section("image", F.lit(""), n % 900 + 1, d % 400 + 1), section("text", text, one, one), section("image", F.lit(""), d % 300 + 1, n % 300 + 1), section("text", text, one, one))
+    rows = _docs(spark, sf_dir).withColumn("f", layout.page_flow(sections, 800, 600))
+    third = F.get("f", F.lit(2))
+    return rows.select("doc_id", F.size("f").alias("boxes"), F.round(F.get("f", F.lit(1))["y"], 6).alias("text_y"), F.round(third["y"] + third["h"], 6).alias("image_end"))
+
+
+@query("""SELECT doc_id, '文字（body@[' || round_even(doc_id % 7 + 0.5, 0)::INT || ', 2, 10, 4]）：' || source || chr(10) || '图片（@[' || round_even(0.5, 0)::INT || ', ' || round_even(0.25, 0)::INT || ', ' || round_even(2.5, 0)::INT || ', ' || round_even(3.5, 0)::INT || ']）：' || CASE WHEN doc_id % 2 = 0 THEN lang ELSE '（图像，无字幕）' END AS bullets FROM documents""")
+def box_bullets(spark, sf_dir):
+    image = _box(0.5, 0.25, 2.5, 3.5, kind="image", payload=F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise(""))
+    text = _box((F.col("doc_id") % 7 + 0.5).cast("double"), 1.5, 10.4, 3.6, kind="body", payload=F.col("source"))
+    return _docs(spark, sf_dir).select("doc_id", prompts.bullets(F.array(text, image)).alias("bullets"))
+
+
+@query("""SELECT doc_id, concat_ws(chr(10), '图文：', '文字：' || left(text, 20), '图片：' || CASE WHEN doc_id % 3 = 0 THEN lang ELSE '插图' END) AS prompt FROM documents""")
+def interleaved_prompts(spark, sf_dir):
+    blocks = F.array(F.struct(F.lit("text").alias("kind"), F.left("text", F.lit(20)).alias("text")), F.struct(F.lit("image").alias("kind"), F.when(F.col("doc_id") % 3 == 0, F.col("lang")).otherwise("").alias("text")))
+    return _docs(spark, sf_dir).select("doc_id", prompts.interleaved_prompt(blocks, "图文：").alias("prompt"))
+
+
+@query("""SELECT doc_id, list_transform(range(0, greatest(ceil(len(t) / 12.0)::INT, 1)), lambda i: substr(t, i * 12 + 1, 12)) AS lines FROM (SELECT doc_id, left(text, 50) AS t FROM documents)""")
+def wrapped_lines(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", layout.wrap_chars(F.left("text", F.lit(50)), 12).alias("lines"))
+
+
+@query("""SELECT doc_id, coalesce(max(s) FILTER (WHERE ceil(n_chars / greatest(1.0::DOUBLE, floor(600.0::DOUBLE / s))) * floor(s * 1.15::DOUBLE) <= 400), 12)::INT AS size FROM documents, range(12, 201) t(s) GROUP BY doc_id""")
+def font_fits(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", layout.fit_font_size(F.col("n_chars"), 600.0, 400.0).alias("size"))
+
+
+@query(f"""WITH d AS (SELECT doc_id, lang, source, {_BIN.format('n_chars')} AS bin FROM documents WHERE lang = 'en'),
+ c AS (SELECT 'clean' AS part, doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY bin ORDER BY {_KEY}, doc_id) AS n FROM d) WHERE n <= 10),
+ k AS (SELECT count(DISTINCT source) AS k FROM d), p AS (SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY {_KEY}, doc_id) AS n FROM d),
+ t AS (SELECT 'styled' AS part, doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('{SEED + 1}:' || doc_id), doc_id) AS t FROM p, k WHERE n <= greatest(1, 45 // k)) WHERE t <= 45)
+SELECT part, doc_id, 'eval' AS eval_split, true AS needs_human_review FROM c UNION ALL SELECT part, doc_id, 'eval', true FROM t""")
+def eval_splits(spark, sf_dir):
+    d = _docs(spark, sf_dir).select("doc_id", "lang", "source", bins.bin_for(F.col("n_chars")).alias("bin"))
+    inputs = {part: d.withColumn("part", F.lit(part)) for part in ("clean", "styled", "unplanned")}
+    plan = {"clean": ("bin", 50), "styled": ("topic", 45)}
+    rows = sampling.eval_split(inputs, {"clean": "en", "styled": "en"}, SEED, plan=plan, subset="lang", id="doc_id", topic="source")
+    return rows.select("part", "doc_id", "eval_split", "needs_human_review")
+
+
+@query(f"""SELECT doc_id, bin, len(text) >= least(bin // 2, 32) AS long_enough, len(text) >= least(bin // 2, 16) AND len(source) >= 8 AS pair_long_enough FROM (SELECT *, [64, 128, 256, 512, 1024][(floor({_UNIT.format(SEED)} * 5) + 1)::INT] AS bin FROM documents)""")
+def random_bins(spark, sf_dir):
+    rows = sampling.random_bin(_docs(spark, sf_dir), "doc_id", SEED)
+    bin = F.col("bin")
+    return rows.select("doc_id", "bin", predicates.min_clean_length(F.col("text"), bin).alias("long_enough"), predicates.min_pair_length(F.col("text"), F.col("source"), bin).alias("pair_long_enough"))
+
+
+@query("""SELECT vec_id, round(s, 6) AS similarity, coalesce(s, 1) >= 0.78 AS similar, coalesce(s, 0) < 0.6 AS review FROM (SELECT a.vec_id, CASE WHEN a.vec_id % 10 <> 0 THEN list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) END AS s FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1)""")
+def cosine_gate(spark, sf_dir):
+    e = _table(spark, sf_dir, "embeddings")
+    pair = e.alias("a").join(e.alias("b"), F.col("b.vec_id") == F.col("a.vec_id") + 1)
+    rows = pair.select("a.vec_id", F.when(F.col("a.vec_id") % 10 != 0, F.col("a.embedding")).alias("u"), F.col("b.embedding").alias("v"))
+    s = predicates.cosine(F.col("u"), F.col("v"))
+    return rows.select("vec_id", F.round(s, 6).alias("similarity"), predicates.similar_enough(F.col("u"), F.col("v")).alias("similar"), predicates.needs_review(similarity=s).alias("review"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 AND source <> '' AND lang <> '' AND source <> lang THEN 'shared_layout' ELSE 'same_image' END AS mode FROM documents")
+def cover_modes(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", pairs.parallelism(F.col("source"), F.when(F.col("doc_id") % 2 == 0, F.col("lang"))).alias("mode"))
+
+
+@query("SELECT doc_id, [left(text, 200), 'picture', CASE WHEN doc_id % 2 = 0 THEN source ELSE '' END] AS payloads FROM documents")
+def geometry_twins(spark, sf_dir):
+    boxes = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit("picture").alias("payload")) for kind in ("text", "image", "text")])
+    texts = F.when(F.col("doc_id") % 2 == 0, F.array("text", "source")).otherwise(F.array("text"))
+    return _docs(spark, sf_dir).select("doc_id", F.transform(pairs.replace_texts(boxes, texts), lambda b: b["payload"]).alias("payloads"))
+
+
+@query("""SELECT conv_id, page, string_agg(t, '' ORDER BY y, x, t) AS joined FROM (SELECT conv_id, turn // 4 AS page, left(text, 30) AS t, (turn * 7) % 3 * 20 AS y, turn % 2 AS x FROM conversations WHERE text <> '') WHERE page < 2 GROUP BY conv_id, page""")
+def page_span_texts(spark, sf_dir):
+    y, x = ((F.col("turn") * 7) % 3 * 20).cast("double"), (F.col("turn") % 2).cast("double")
+    spans = _table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("path"), F.floor(F.col("turn") / 4).alias("page"), x.alias("x0"), y.alias("y0"), (x + 9).alias("x1"), (y + 9).alias("y1"), F.left("text", F.lit(30)).alias("text"),
+        F.lit("f").alias("font"), F.lit(9.0).alias("size"), F.lit(255).alias("color"))
+    return readers.page_texts(spans, most_pages=2).select(F.col("path").alias("conv_id"), "page", F.col("text").alias("joined"))
