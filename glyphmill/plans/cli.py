@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from glyphmill.functions.predicates import UnitRules
+from glyphmill.operators import sampling
 from glyphmill.plans import pipelines
 from glyphmill.sources import readers, writers
 from glyphmill.sources.config import load_config
@@ -25,18 +26,36 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--seed", type=int, default=20260428)
         job.add_argument("--max-units", type=int, default=80)
         job.add_argument("--format", default="jsonl")
+    pages = jobs.add_parser("pages", help="page texts of spans that were extracted before (JSONL)")
+    pages.add_argument("--input", required=True)
+    pages.add_argument("--output", required=True)
+    pages.add_argument("--max-pages", type=int)
+    split = jobs.add_parser("eval-split", help="stratified evaluation split of sample files")
+    for key in sampling.EVAL_PLAN:
+        split.add_argument(f"--{key}", nargs=2, metavar=("SUBSET", "PATH"))
+    split.add_argument("--output", required=True)
+    split.add_argument("--seed", type=int, default=20260428)
     return top
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"glyphmill-{args.job}").getOrCreate()
-    config = load_config(args.config) if args.config else {}
+    config = load_config(args.config) if getattr(args, "config", None) else {}
     if args.job == "clean-text":
         writers.write_jsonl(pipelines.clean_texts(readers.texts(spark, args.input), args.seed, args.max_units, args.limit), args.output)
     elif args.job == "filter-ocr":
         records = readers.ocr_records(spark, args.input).drop("raw")
         writers.write_jsonl(pipelines.filter_ocr(records, args.subset, UnitRules(**config.get("filter", {}))), args.output)
+    elif args.job == "pages":
+        spans = "path string, page int, x0 double, y0 double, x1 double, y1 double, text string, font string, size double, color int"
+        writers.write_jsonl(readers.page_texts(spark.read.schema(spans).json(args.input), most_pages=args.max_pages), args.output)
+    elif args.job == "eval-split":
+        given = {key: getattr(args, key) for key in sampling.EVAL_PLAN if getattr(args, key)}
+        if not given:
+            raise SystemExit("eval-split needs at least one of: " + ", ".join(f"--{key}" for key in sampling.EVAL_PLAN))
+        inputs = {key: readers.samples(spark, path) for key, (_, path) in given.items()}
+        writers.write_jsonl(sampling.eval_split(inputs, {key: name for key, (name, _) in given.items()}, args.seed).drop("line"), args.output)
     else:
         writers.pack(spark.read.json(args.input), args.output, args.format, "pair_id" if args.job == "pack-pairs" else "sample_id")
 

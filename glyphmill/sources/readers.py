@@ -96,6 +96,14 @@ def books(spark: SparkSession, path: str) -> DataFrame:
     return json_lines(spark, path).select("line", *[field("raw", n).alias(n) for n in names]).where("cover_url is not null")
 
 
+def samples(spark: SparkSession, path: str) -> DataFrame:
+    """Sample rows (line, sample_id, source_subset, bin, topic, raw) of JSONL; a topic is a string or a struct with a name."""
+    rows = json_lines(spark, path)
+    plain = F.schema_of_variant(F.try_variant_get("raw", "$.metadata.topic", "variant")) == "STRING"
+    topic = F.coalesce(field("raw", "metadata.topic.name"), F.when(plain, field("raw", "metadata.topic")))
+    return rows.select("line", field("raw", "sample_id").alias("sample_id"), field("raw", "source_subset").alias("source_subset"), F.try_variant_get("raw", "$.metadata.length_bin", "int").alias("bin"), topic.alias("topic"), "raw")
+
+
 def page_texts(spans: DataFrame, scale: float = 2.0, most_pages: int | None = None) -> DataFrame:
     """Pages of pre-extracted spans (path, page, x0, y0, x1, y1, text, font, size, color): empty spans dropped, boxes scaled, text in order of (y0, x0)."""
     rows = spans.where(F.coalesce(F.col("text"), F.lit("")) != "")

@@ -134,3 +134,21 @@ def test_streaming(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("valid").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
     q.awaitTermination(60)
     assert spark.table("valid").count() == 1
+
+
+def test_eval_split_and_pages_jobs(spark, tmp_path):
+    from glyphmill.plans import cli
+
+    topics = ["sky", {"name": "sky"}, {"name": "sea"}, None]
+    rows = [{"sample_id": f"s{i}", "source_subset": "scenes" if i < 7 else "other", "metadata": {"topic": topics[i % 4], "length_bin": 64}} for i in range(8)]
+    (tmp_path / "s.jsonl").write_text("\n".join(map(json.dumps, rows)))
+    read = {r.sample_id: (r.topic, r.bin) for r in readers.samples(spark, str(tmp_path / "s.jsonl")).collect()}
+    assert [read[f"s{i}"] for i in range(4)] == [("sky", 64), ("sky", 64), ("sea", 64), (None, 64)]
+    cli.main(["eval-split", "--scenes", "scenes", str(tmp_path / "s.jsonl"), "--clean", "scenes", str(tmp_path / "s.jsonl"), "--output", str(tmp_path / "split")])
+    got = spark.read.json(str(tmp_path / "split"))
+    assert got.where("eval_split = 'eval' and needs_human_review").count() == 14 and got.select("sample_id").distinct().count() == 7
+    assert {r.t for r in got.selectExpr("raw.metadata.length_bin as t").collect()} == {64}
+    spans = [{"path": "a", "page": p, "x0": x, "y0": 1.0, "x1": 2.0, "y1": 2.0, "text": t, "font": "f", "size": 9.0, "color": 255} for p, x, t in ((0, 5.0, "b"), (0, 1.0, "a"), (1, 0.0, "c"), (0, 0.0, ""))]
+    (tmp_path / "spans.jsonl").write_text("\n".join(map(json.dumps, spans)))
+    cli.main(["pages", "--input", str(tmp_path / "spans.jsonl"), "--output", str(tmp_path / "pages"), "--max-pages", "1"])
+    assert [r.text for r in spark.read.json(str(tmp_path / "pages")).collect()] == ["ab"]
