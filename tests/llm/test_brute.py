@@ -244,6 +244,14 @@ def test_components(spark):
     assert got == root
 
 
+def test_components_of_long_paths(spark):
+    ids = np.random.default_rng(12).permutation(np.arange(1000, 1400)).tolist()
+    falling = [0, *range(100, 0, -1)]
+    edges = [*zip(falling, falling[1:]), *zip(ids, ids[1:])]
+    got = {r.id: r.component for r in connected_components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(falling, 0), **dict.fromkeys(ids, 1000)}
+
+
 def test_language_and_quality_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
