@@ -7,8 +7,8 @@ follows, with an interval; only pairs whose interval reaches the threshold are
 recomputed in double precision.
 
 Pairs are sought in buckets: several tables, each keyed by a few signs of
-another rotation, enough of them that a pair at the threshold meets with the
-wanted probability. Large buckets are cut into blocks and compared block by
+another rotation of the vectors before centring, enough of them that a pair at
+the threshold meets with the wanted probability whatever the mean. Large buckets are cut into blocks and compared block by
 block, so no group is gathered in one task. A pair that meets in more than one
 table is counted in the first only.
 """
@@ -115,7 +115,7 @@ def link_embeddings(vectors: DataFrame, params: EmbeddingParams = EmbeddingParam
         return x / np.linalg.norm(x, axis=1, keepdims=True)
 
     def keys_of(x: np.ndarray) -> np.ndarray:
-        signs = (x - shared.value[1]) @ shared.value[0] >= 0
+        signs = x @ shared.value[0] >= 0  # not centred: plan_tables counts with the angle of the cosine itself
         return signs.reshape(len(x), tables, bits) @ weights
 
     def spread(batches):

@@ -218,6 +218,19 @@ def test_embeddings(spark):
     assert [r.component_id for r in got] == root.tolist()
 
 
+def test_embeddings_round_a_hot_mean(spark):
+    rnd = np.random.default_rng(13)
+    noise = rnd.standard_normal((600, 64)) / 8
+    mean = np.eye(64)[0] + 0.3 * np.eye(64)[1]
+    x = np.concatenate([mean + 0.31 * np.linalg.norm(mean) * noise[:400], 0.5 * mean + noise[400:]])
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    near = (u @ u.T >= 0.9) & ~np.eye(len(u), dtype=bool)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = embedding_dedup.link_embeddings(vectors, embedding_dedup.EmbeddingParams(bucket=8, block=128)).collect()
+    assert near.sum() > 50_000
+    assert 0.98 <= sum(r.n_links for r in got) / near.sum() <= 1
+
+
 def test_codes_estimate_without_bias():
     rnd = np.random.default_rng(9)
     dims = 64
