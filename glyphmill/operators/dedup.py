@@ -70,22 +70,48 @@ def lexical_edges(df: DataFrame, units: str, ord: str, n: int = 4, tenths: int =
     return common.where(10 * F.col("common") >= tenths * (F.col("sa") + F.col("sb") - F.col("common"))).select("a", "b", "common", (F.col("sa") + F.col("sb") - F.col("common")).alias("union"))
 
 
-def first_kept(nodes: DataFrame, edges: DataFrame, rounds: int = 100) -> DataFrame:
+def spark_rows(like: DataFrame, ords: list) -> DataFrame:
+    """A table of the given ord values, of the type that `like` has."""
+    return like.sparkSession.createDataFrame([(o,) for o in ords], like.select("ord").schema)
+
+
+def first_kept(nodes: DataFrame, edges: DataFrame, local: int = 1_000_000) -> DataFrame:
     """The nodes (ord) that a pass in order keeps when it drops every node with a kept smaller neighbour.
 
     Each round keeps the nodes whose smaller neighbours are all dropped and
-    drops those with a kept smaller neighbour, until every node is decided.
+    drops those with a kept smaller neighbour, until every node is decided. The
+    smallest undecided node is decided in any round, so it ends. A chain takes
+    as many rounds as it has links, so once no more than `local` edges are
+    open, the driver walks through them in order.
     """
     state = cut(nodes.select(F.col("ord"), F.lit(None).cast("boolean").alias("kept")))
     edges = cut(edges.select("a", "b"))
-    for _ in range(rounds):
+    before = None
+    while True:
         near = edges.join(state.select(F.col("ord").alias("a"), F.col("kept").alias("k")), "a").groupBy("b").agg(F.max(F.coalesce("k", F.lit(False))).alias("some"), F.max(F.col("k").isNull()).alias("unsure"))
         joined = state.join(near, state.ord == near.b, "left")
         decided = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.coalesce("some", F.lit(False)), False).when(~F.coalesce("unsure", F.lit(False)), True)
         state = cut(joined.select("ord", decided.alias("kept")))
-        if not state.where("kept is null").limit(1).count():
-            break
-    return state.where("kept").select("ord")
+        undecided = state.where("kept is null").count()
+        if not undecided:
+            return state.where("kept").select("ord")
+        if undecided == before:
+            raise RuntimeError(f"{undecided} rows cannot be decided: edges must point from smaller to larger rows")
+        before = undecided
+        # edges from a node that is not dropped to an undecided one
+        ends = state.withColumnRenamed("ord", "a").withColumnRenamed("kept", "ka")
+        open_ = edges.join(ends, "a").where("ka is null or ka").join(state.where("kept is null").select(F.col("ord").alias("b")), "b").select("a", "b", "ka")
+        rows = open_.limit(local + 1).collect() if local else []
+        if 0 < len(rows) <= local:
+            smaller: dict = {}
+            for r in rows:
+                smaller.setdefault(r.b, []).append(r.a)
+            held = {r.a for r in rows if r.a not in smaller}
+            for b in sorted(smaller):
+                if not any(a in held for a in smaller[b]):
+                    held.add(b)
+            dropped = spark_rows(state, [b for b in smaller if b not in held])
+            return state.where("kept is null or kept").select("ord").join(dropped, "ord", "left_anti")
 
 
 def near_dedup(df: DataFrame, text: str, ord: str, n: int = 4, tenths: int = 9) -> DataFrame:

@@ -24,6 +24,14 @@ def test_first_kept_is_greedy(spark):
     assert sorted(r.ord for r in got.collect()) == kept
 
 
+def test_first_kept_decides_long_chains(spark):
+    chain = spark.range(104).withColumnRenamed("id", "ord")
+    got = dedup.first_kept(chain, chain.where("ord > 0").select((F.col("ord") - 1).alias("a"), F.col("ord").alias("b")))
+    assert sorted(r.ord for r in got.collect()) == list(range(0, 104, 2))
+    few = dedup.first_kept(chain.where("ord < 7"), chain.where("ord between 1 and 6").select((F.col("ord") - 1).alias("a"), F.col("ord").alias("b")), local=0)
+    assert sorted(r.ord for r in few.collect()) == [0, 2, 4, 6]
+
+
 def test_lexical_edges_by_brute_force(spark):
     from collections import Counter
 
