@@ -267,10 +267,10 @@ def template_captions(spark, sf_dir):
 _OCR_RULES = predicates.UnitRules(min_unique_ratio=0.05, max_run=4)
 
 
-def _ocr(spark, sf_dir):
-    """Conversations as OCR records: a turn is a line with a box made from its number and length."""
+def _ocr(spark, sf_dir, whole: bool = False):
+    """Conversations as OCR records: a turn, or its first 60 characters as in the SQL, is a line with a box made from its number and length."""
     c = _table(spark, sf_dir, "conversations").where("text is not null")
-    zh = F.translate(F.lower(F.left("text", F.lit(60))), _FROM, _TO)
+    zh = F.translate(F.lower("text" if whole else F.left("text", F.lit(60))), _FROM, _TO)
     y, x = ((F.col("turn") * 7) % 3 * 20).cast("double"), ((F.col("turn") * 5 + F.length("text")) % 11).cast("double")
     box = F.struct(zh.alias("text"), x.alias("x0"), y.alias("y0"), (x + 100.0).alias("x1"), (y + 18.0).alias("y1"), F.lit(0).alias("reading_order"), F.col("turn").alias("turn"))
     grouped = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", box.alias("b")))).alias("r"))
@@ -298,7 +298,7 @@ def ocr_filter(spark, sf_dir):
 
 @query()
 def ocr_filter_near(spark, sf_dir):
-    return pipelines.filter_ocr(_ocr(spark, sf_dir), "talk", _OCR_RULES).select(F.col("line").alias("conv_id"), "sample_id")
+    return pipelines.filter_ocr(_ocr(spark, sf_dir, whole=True), "talk", _OCR_RULES).select(F.col("line").alias("conv_id"), "sample_id")
 
 
 @query(f"""SELECT conv_id, string_agg(c, chr(10) ORDER BY turn) AS joined FROM (SELECT conv_id, turn, {_CLEAN_SQL.format(f"translate(lower(left(text, 60)), '{_FROM}', '{_TO}')")} AS c FROM conversations WHERE text IS NOT NULL)

@@ -32,6 +32,16 @@ def test_first_kept_decides_long_chains(spark):
     assert sorted(r.ord for r in few.collect()) == [0, 2, 4, 6]
 
 
+def test_ocr_near_copies_are_judged_whole(spark, tmp_path):
+    from glyphmill.plans import registry
+
+    rnd = random.Random(17)
+    start, tails = ("".join(rnd.choice("aeiourstln") for _ in range(n)) for n in (60, 200))
+    turns = [(1, 0, start + tails[:100]), (2, 0, start + tails[100:]), (3, 0, start + tails[:100])]
+    spark.createDataFrame(turns, "conv_id long, turn int, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    assert sorted(r.conv_id for r in registry.ocr_filter_near(spark, str(tmp_path)).collect()) == [1, 2]
+
+
 def test_lexical_edges_by_brute_force(spark):
     from collections import Counter
 
