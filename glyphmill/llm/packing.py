@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm._bytes import slices, tidied, utf8
+from glyphmill.llm._bytes import ranges, slices, tidied, utf8
 from glyphmill.llm._spark import keep, shared_dir
 from glyphmill.llm.tokens import forget_units, loaded, public_path
 
@@ -31,9 +31,7 @@ class PackParams:
     window: int = 1024
     #: Ids in a shard of the index, about.
     ids_per_shard: int = 4 << 20
-    #: Ids in more than this share of all documents are no search terms.
-    stop_share: float = 0.2
-    #: The seed's heaviest terms that are looked up, and the neighbours considered for a window.
+    #: The seed's terms whose lists are gathered at once (all are looked up), and the neighbours considered for a window.
     query_terms: int = 24
     neighbours: int = 8
     k1: float = 1.2
@@ -53,26 +51,29 @@ class ShardIndex:
         norm = params.k1 * (1 - params.b + params.b * sizes / max(1.0, mean_length))
         weight = idf[term] * count * (params.k1 + 1) / (count + norm[owner])
         self.docs, self.params = docs, params
+        self.scored: tuple[int, np.ndarray] = (-1, np.zeros(0))
         heavy = np.lexsort((-weight, owner))  # each document's terms, heaviest first
         self.terms, self.term_at = term[heavy], np.searchsorted(owner, np.arange(docs + 1))
         by_term = np.argsort(term, kind="stable")
         self.posting, self.impact = owner[by_term], weight[by_term]
         self.list_at = np.searchsorted(term[by_term], np.arange(vocabulary + 1))
 
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of every document for all of the seed's terms; that of the last seed is kept, as a window asks for it again."""
+        if self.scored[0] != seed:
+            own, score = self.terms[self.term_at[seed] : self.term_at[seed + 1]], np.zeros(self.docs)
+            for i in range(0, len(own), self.params.query_terms):
+                t = own[i : i + self.params.query_terms]
+                at = ranges(self.list_at[t], self.list_at[t + 1] - self.list_at[t])
+                score += np.bincount(self.posting[at], weights=self.impact[at], minlength=self.docs)
+            self.scored = (seed, score)
+        return self.scored[1]
+
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a heavy term with the seed, best score first; ties by position."""
-        own = self.terms[self.term_at[seed] : self.term_at[seed + 1]][: self.params.query_terms]
-        if not len(own):
-            return own
-        found = np.concatenate([self.posting[self.list_at[t] : self.list_at[t + 1]] for t in own])
-        impact = np.concatenate([self.impact[self.list_at[t] : self.list_at[t + 1]] for t in own])
-        live = unused[found]
-        found, impact = found[live], impact[live]
-        if not len(found):
-            return found
-        docs, inverse = np.unique(found, return_inverse=True)
-        score = np.bincount(inverse, weights=impact)
-        return docs[np.argsort(-score, kind="stable")[: self.params.neighbours]]
+        """Unused documents that share a term with the seed, best score first; ties by position."""
+        score = self.scores(seed)
+        docs = np.flatnonzero(unused & (score > 0))
+        return docs[np.argsort(-score[docs], kind="stable")[: self.params.neighbours]]
 
 
 def pack_shard(sizes: np.ndarray, index: ShardIndex, window: int) -> list[tuple[int, int, int, int, int]]:
@@ -172,7 +173,7 @@ def pack_documents(docs: DataFrame, params: PackParams = PackParams(), key: str
     n_docs, mean = counted.pop(-1, 0), counted.pop(-2, 0)
     idf = np.zeros(vocabulary)
     for term, n in counted.items():
-        if n <= params.stop_share * n_docs:
+        if term != params.end_id:  # it closes every document and is no part of a text
             idf[term] = np.log(1 + (n_docs - n + 0.5) / (n + 0.5))
     shared = spark.sparkContext.broadcast((idf, mean / max(1, n_docs)))
 

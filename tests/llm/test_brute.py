@@ -171,6 +171,19 @@ def test_neighbours_are_bm25_order():
     assert np.allclose(score[index.neighbours(3, unused)], score[expected])
 
 
+def test_neighbours_by_light_and_frequent_terms(spark):
+    docs = [np.arange(31), np.array([30, 31, 32]), np.array([33])]
+    idf = np.where(np.arange(34) == 30, 0.5, 5.0)
+    index = packing.ShardIndex(np.concatenate(docs), np.array([0, 31, 34, 35]), idf, 12.0, packing.PackParams())
+    assert index.neighbours(0, np.array([False, True, True])).tolist() == [1]
+    # two groups, each of half of all documents: a window holds one of them
+    words = ["river stone window garden ", "engine copper signal harbour "]
+    rows = [(i, words[i % 2] * 60) for i in range(20)]
+    pieces = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    first = {r.doc_id % 2 for r in pieces if r.sequence_id == min(p.sequence_id for p in pieces)}
+    assert first == {0}
+
+
 def test_leaks(spark):
     def distance(pattern, text):
         before = [0] * (len(text) + 1)
