@@ -31,49 +31,78 @@ class PackParams:
     window: int = 1024
     #: Ids in a shard of the index, about.
     ids_per_shard: int = 4 << 20
-    #: The seed's terms whose lists are gathered at once (all are looked up), and the neighbours considered for a window.
-    query_terms: int = 24
+    #: Neighbours that are tried before the index is asked again.
     neighbours: int = 8
+    #: Terms that more than one in so many of a shard's documents hold are scored by a matrix product, the others by lists.
+    dense: int = 16
+    #: Shards of at most so many documents have that product for all seeds at once (4 bytes for each pair).
+    all_seeds: int = 4096
     k1: float = 1.2
     b: float = 0.75
 
 
+def term_counts(ids: np.ndarray, sizes: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, term, times) of every distinct term of each document, in that order."""
+    kind = np.uint32 if len(sizes) * vocabulary < 1 << 32 else np.uint64  # narrow keys sort faster
+    key = np.repeat(np.arange(len(sizes), dtype=kind) * kind(vocabulary), sizes) + ids.astype(kind)
+    key.sort()
+    heads = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    pair = key[heads].astype(np.int64)
+    return pair // vocabulary, pair % vocabulary, np.diff(np.append(heads, len(key)))
+
+
 class ShardIndex:
-    """BM25 postings of one shard's documents, with the corpus's statistics."""
+    """BM25 impacts of one shard's documents, with the corpus's statistics.
+
+    A term that more than one in `dense` of the documents hold is a column of a
+    matrix, any other a posting list. A seed's scores are a product of the
+    matrix plus sums over lists: all its terms count, and none is skipped. The
+    matrix has at most `dense` cells for each entry that lists would hold.
+    """
 
     def __init__(self, ids: np.ndarray, first: np.ndarray, idf: np.ndarray, mean_length: float, params: PackParams):
         docs, vocabulary = len(first) - 1, len(idf)
         sizes = np.diff(first)
-        owner = np.repeat(np.arange(docs), sizes)
-        useful = idf[ids] > 0
-        pair, count = np.unique(owner[useful] * vocabulary + ids[useful], return_counts=True)
-        owner, term = pair // vocabulary, pair % vocabulary
+        owner, term, count = term_counts(ids, sizes, vocabulary)
+        useful = idf[term] > 0
+        owner, term, count = owner[useful], term[useful], count[useful]
         norm = params.k1 * (1 - params.b + params.b * sizes / max(1.0, mean_length))
-        weight = idf[term] * count * (params.k1 + 1) / (count + norm[owner])
+        weight = (idf[term] * count * (params.k1 + 1) / (count + norm[owner])).astype(np.float32)
         self.docs, self.params = docs, params
-        self.scored: tuple[int, np.ndarray] = (-1, np.zeros(0))
-        heavy = np.lexsort((-weight, owner))  # each document's terms, heaviest first
-        self.terms, self.term_at = term[heavy], np.searchsorted(owner, np.arange(docs + 1))
+        self.scored: tuple[int, np.ndarray] = (-1, np.zeros(0, np.float32))
+        often = np.flatnonzero(np.bincount(term, minlength=vocabulary) * params.dense > docs)
+        column = np.full(vocabulary, -1)
+        column[often] = np.arange(len(often))
+        wide = column[term] >= 0
+        self.impacts = np.zeros((docs, len(often)), np.float32)
+        self.impacts[owner[wide], column[term[wide]]] = weight[wide]
+        #: Matrix part for all seeds at once, where it is small.
+        self.common = (self.impacts > 0).astype(np.float32) @ self.impacts.T if docs <= params.all_seeds else None
+        owner, term, weight = owner[~wide], term[~wide], weight[~wide]
+        self.terms, self.term_at = term, np.searchsorted(owner, np.arange(docs + 1))
         by_term = np.argsort(term, kind="stable")
-        self.posting, self.impact = owner[by_term], weight[by_term]
+        self.posting, self.impact = owner[by_term], weight[by_term].astype(np.float64)
         self.list_at = np.searchsorted(term[by_term], np.arange(vocabulary + 1))
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document for all of the seed's terms; that of the last seed is kept, as a window asks for it again."""
         if self.scored[0] != seed:
-            own, score = self.terms[self.term_at[seed] : self.term_at[seed + 1]], np.zeros(self.docs)
-            for i in range(0, len(own), self.params.query_terms):
-                t = own[i : i + self.params.query_terms]
-                at = ranges(self.list_at[t], self.list_at[t + 1] - self.list_at[t])
-                score += np.bincount(self.posting[at], weights=self.impact[at], minlength=self.docs)
-            self.scored = (seed, score)
+            t = self.terms[self.term_at[seed] : self.term_at[seed + 1]]
+            at = ranges(self.list_at[t], self.list_at[t + 1] - self.list_at[t])
+            rare = np.bincount(self.posting[at], weights=self.impact[at], minlength=self.docs)
+            common = self.common[seed] if self.common is not None else self.impacts @ (self.impacts[seed] > 0).astype(np.float32)
+            self.scored = (seed, rare.astype(np.float32) + common)
         return self.scored[1]
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a term with the seed, best score first; ties by position."""
+        """The best unused documents that share a term with the seed, best score first; ties by position."""
         score = self.scores(seed)
         docs = np.flatnonzero(unused & (score > 0))
-        return docs[np.argsort(-score[docs], kind="stable")[: self.params.neighbours]]
+        most = self.params.neighbours
+        if len(docs) > most:
+            own = score[docs]
+            docs = docs[own >= np.partition(own, -most)[-most]]
+        return docs[np.argsort(-score[docs], kind="stable")[:most]]
 
 
 def pack_shard(sizes: np.ndarray, index: ShardIndex, window: int) -> list[tuple[int, int, int, int, int]]:
@@ -163,8 +192,7 @@ def pack_documents(docs: DataFrame, params: PackParams = PackParams(), key: str
             for rows in slices(batch, "ids"):
                 data, at = utf8(rows.column("ids"))
                 ids, sizes = data.view(kind), np.diff(at) // np.dtype(kind).itemsize
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                total += np.bincount(np.unique(owner * vocabulary + ids) % vocabulary, minlength=vocabulary)
+                total += np.bincount(term_counts(ids, sizes, vocabulary)[1], minlength=vocabulary)
                 docs_seen, length = docs_seen + len(sizes), length + len(ids)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(used, [-1, -2])), pa.array(np.append(total[used], [docs_seen, length]))], ["term", "n"])
@@ -183,7 +211,7 @@ def pack_documents(docs: DataFrame, params: PackParams = PackParams(), key: str
         data, at = utf8(table.column("ids"))
         width = np.dtype(kind).itemsize
         ids, first = data.view(kind), at // width
-        pieces = np.array(pack_shard(np.diff(first), ShardIndex(ids.astype(np.int64), first, idf, mean, params), params.window), np.int64).reshape(-1, 5)
+        pieces = np.array(pack_shard(np.diff(first), ShardIndex(ids, first, idf, mean, params), params.window), np.int64).reshape(-1, 5)
         doc, start, length, sequence, offset = pieces.T
         wide = memoryview(np.ascontiguousarray(ids.astype("<u4"))).cast("B")
         begin = 4 * (first[doc] + start)
