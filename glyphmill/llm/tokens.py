@@ -8,12 +8,14 @@ an ASCII sign, and on both sides of a single line feed between a sign or
 letter and an ASCII letter. Texts are cut at these places, equal units
 are found with Arrow's dictionary encoding, each distinct unit of a batch is
 encoded once with the tokenizers library and remembered, and ids are gathered
-back.
+back. Strings of the file's added tokens are found first, as the library does:
+each is its own id, and the text on either side is encoded by itself.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,11 @@ class UnitTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # units hold none: encode() takes their strings out
+        self.added = {token.content.encode(): i for i, token in self.tokenizer.get_added_tokens_decoder().items()}
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in self.tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError("added tokens that match by more than their string are not supported")
+        self.find_added = re.compile(b"|".join(re.escape(c) for c in sorted(self.added, key=len, reverse=True)) or rb"(?!)")
         self.size = self.tokenizer.get_vocab_size()
         vocab = self.tokenizer.get_vocab()
         self.width = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each id: one character of a piece stands for one byte
@@ -101,6 +107,28 @@ class UnitTokenizer:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids as uint32, first): text d's ids are ids[first[d]:first[d + 1]]; an empty text has none."""
+        raw = np.ascontiguousarray(data).data
+        if not len(data) or not self.find_added.search(raw):
+            return self._encode_plain(data, offsets)
+        # texts with a string of an added token: cut before and after each such string
+        bounds, found = [], []
+        for hit in self.find_added.finditer(raw):
+            d = int(np.searchsorted(offsets, hit.start(), side="right")) - 1
+            if found and found[-1] == d:
+                continue
+            found.append(d)
+            bounds += [(int(offsets[d]) + m.start(), int(offsets[d]) + m.end(), self.added[m.group()]) for m in self.find_added.finditer(raw[offsets[d] : offsets[d + 1]])]
+        begin, end, token = np.array(bounds, np.int64).reshape(-1, 3).T
+        edges = np.sort(np.concatenate((offsets, begin, end)), kind="stable")
+        ids, first = self._encode_plain(data, edges)
+        whole = np.flatnonzero(np.diff(edges) > 0)
+        special = whole[np.isin(edges[whole], begin)]  # in the order of begin: of equal edges only one starts a part
+        start, size = first[:-1].copy(), np.diff(first)
+        start[special], size[special] = len(ids) + np.arange(len(special)), 1
+        out = np.concatenate((ids, token.astype(np.uint32)))[ranges(start, size)]
+        return out, np.concatenate(([0], np.cumsum(size)))[np.searchsorted(edges, offsets)]
+
+    def _encode_plain(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         texts = len(offsets) - 1
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(texts + 1, np.int64)
@@ -111,6 +139,9 @@ class UnitTokenizer:
         cut[1:-1] |= (a == _ASCII_LETTER) & (b == _SIGN)
         alone = np.flatnonzero((data[1:-1] == 0x0A) & ((a[:-1] == _ASCII_LETTER) | (a[:-1] == _SIGN)) & (b[1:] == _ASCII_LETTER)) + 1
         cut[alone] = cut[alone + 1] = True
+        heads = offsets[offsets < len(data)]
+        ends = heads[heads > 0] - 1
+        cut[ends[data[ends] == 0x20]] = False  # what follows a text's last space is another text
         cut[offsets] = True
         cut[0] = cut[-1] = True
         edges = np.flatnonzero(cut)

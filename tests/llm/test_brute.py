@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
 from glyphmill.llm import decontaminate, embedding_dedup, jaccard_join, language_id, packing, quality, sharding, substring_dedup, token_store
 from glyphmill.llm._bytes import grams, hash_words, split_words, utf8
@@ -120,13 +121,15 @@ def test_jump_hash(spark):
 
 
 def test_tokenizer_is_exact(texts):
-    tokenizer = UnitTokenizer(public_path("byte_bpe_50k.json"))
+    tokenizer, library = UnitTokenizer(public_path("byte_bpe_50k.json")), Tokenizer.from_file(public_path("byte_bpe_50k.json"))
     rnd = random.Random(3)
-    pieces = [" ", "  ", "\n", "\t", "a", "Zb", "é", "　", "中", "12", "'s", "'", "!", "...", "<|endoftext|>", "\r\n", "\x85", " ", "😀", "Ç", " x"]
+    pieces = [" ", "  ", "\n", "\t", "a", "Zb", "é", "　", "中", "12", "'s", "'", "!", "...", "<|endoftext|>", "<|endoftext", "|>", "<", "\r\n", "\x85", " ", "😀", "Ç", " x"]
     rows = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 25))) for _ in range(3000)] + texts
+    rows += ["", "<|endoftext|>", "", "<|endoftext|><|endoftext|>", "a  ", "<x", "a <|endoftext", "|>", "a\n", "b"]
     ids, first = tokenizer.encode(*utf8(pa.array(rows)))
-    plain = tokenizer.tokenizer.encode_batch(rows, add_special_tokens=False)
+    plain = library.encode_batch(rows, add_special_tokens=False)
     assert all(ids[first[i] : first[i + 1]].tolist() == e.ids for i, e in enumerate(plain))
+    assert library.token_to_id("<|endoftext|>") in ids
 
 
 @pytest.mark.parametrize("bits", [1, 7, 16, 17, 32])
@@ -137,7 +140,7 @@ def test_bit_packing(bits):
 
 
 def test_token_store_and_packing(spark, docs, texts):
-    tokenizer = UnitTokenizer(public_path("byte_bpe_50k.json")).tokenizer
+    tokenizer = Tokenizer.from_file(public_path("byte_bpe_50k.json"))
     ids = [np.array([*e.ids, 0], "<u4") for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     folder = shared_dir(spark, "brute")
     params = token_store.StoreParams(bytes_per_task=5000, ids_per_file=2000)
@@ -153,13 +156,14 @@ def test_token_store_and_packing(spark, docs, texts):
     assert set(covered.values()) == {1} and len(covered) == before[-1]
 
 
-def test_neighbours_are_bm25_order():
+@pytest.mark.parametrize("dense,all_seeds", [(16, 4096), (2, 0), (1, 4096)])
+def test_neighbours_are_bm25_order(dense, all_seeds):
     rnd = np.random.default_rng(4)
     docs = [rnd.integers(0, 30, rnd.integers(5, 40)) for _ in range(20)]
     first = np.concatenate(([0], np.cumsum([len(d) for d in docs])))
     df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=30)
     idf, mean = np.log(1 + (20 - df + 0.5) / (df + 0.5)), first[-1] / 20
-    p = packing.PackParams(query_terms=1000, neighbours=20)
+    p = packing.PackParams(neighbours=20, dense=dense, all_seeds=all_seeds)
     index = packing.ShardIndex(np.concatenate(docs), first, idf, mean, p)
     unused = np.ones(20, bool)
     unused[3] = False
@@ -168,7 +172,10 @@ def test_neighbours_are_bm25_order():
         tf = np.array([(d == t).sum() for d in docs])
         score += idf[t] * tf * (p.k1 + 1) / (tf + p.k1 * (1 - p.b + p.b * np.array([len(d) for d in docs]) / mean))
     expected = [d for d in np.argsort(-score, kind="stable") if d != 3 and score[d] > 0]
+    assert np.allclose(index.scores(3), score, rtol=1e-5)
     assert np.allclose(score[index.neighbours(3, unused)], score[expected])
+    few = packing.ShardIndex(np.concatenate(docs), first, idf, mean, packing.PackParams(neighbours=5, dense=dense, all_seeds=all_seeds))
+    assert few.neighbours(3, unused).tolist() == index.neighbours(3, unused)[:5].tolist()
 
 
 def test_neighbours_by_light_and_frequent_terms(spark):
