@@ -155,6 +155,18 @@ def tidied(function):
     return run
 
 
+def tidied_group(function):
+    """An applyInArrow function that gives its worker's unused memory back after each group."""
+
+    def run(table):
+        try:
+            return function(table)
+        finally:
+            tidy()
+
+    return run
+
+
 def slices(table: pa.Table | pa.RecordBatch, column: str, limit: int = 4 << 20):
     """Parts of the rows that hold about `limit` bytes of `column` each; one row is never cut."""
     n = table.num_rows

@@ -61,6 +61,18 @@ def match_keys(df: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
     return df.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, key, how)
 
 
+def join_lists(rows: DataFrame, lists: DataFrame, key: str, most: int, size: str = "c") -> DataFrame:
+    """rows joined with lists, one row a key with the number of its rows in `size`, where a key may hold a third of all rows.
+
+    Keys of more than `most` rows are broadcast and never dealt out by key.
+    `most` is rows / BROADCAST_KEYS at least, so there are at most that many.
+    """
+    heavy = lists.where(F.col(size) > most)
+    light = lists.where(F.col(size) <= most)
+    spread = rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key)
+    return spread.unionByName(rows.join(F.broadcast(heavy), key))
+
+
 def forest(n: int, pairs: np.ndarray) -> np.ndarray:
     """The smallest index reachable from each of n points."""
     root = np.arange(n)

@@ -30,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm._bytes import grams, hash_words, mix, slices, split_words, tidied, utf8
-from glyphmill.llm._spark import connected_components, forest, keep, match_keys, shared_dir
+from glyphmill.llm._bytes import grams, hash_words, mix, slices, split_words, tidied, tidied_group, utf8
+from glyphmill.llm._spark import BROADCAST_KEYS, connected_components, forest, join_lists, keep, match_keys, shared_dir
 
 
 @dataclass(frozen=True)
@@ -44,11 +44,15 @@ class JaccardParams:
     #: Largest boundary that is considered for the subsets.
     max_boundary: int = 24
     #: UTF-8 bytes of text in one map-side chunk, and entries of a counting task, about.
-    chunk_bytes: int = 12 << 20
+    chunk_bytes: int = 8 << 20
     entries_per_bucket: int = 1 << 20
+    #: Partitions of the counting exchanges, at most; more buckets share them.
+    max_partitions: int = 1 << 15
     #: Lists in which more pairs than this are still apart are compared family by family, in blocks of so many sets.
     heavy_list: int = 1 << 12
     family_block: int = 512
+    #: Lists of at most so many entries are always joined by key.
+    light_list: int = 1 << 10
     #: Rounds of comparisons with leaders before all remaining pairs are compared.
     leader_rounds: int = 2
 
@@ -118,6 +122,20 @@ def _count_entries(sets: list[np.ndarray], step: int) -> tuple[np.ndarray, np.nd
     return all_[heads], np.where(many > 1, _LOCAL | many.astype(np.uint32), owner[heads])
 
 
+def bucket_bits(entries: int, per_bucket: int) -> int:
+    """log2 of the number of buckets that so many entries are dealt to."""
+    return max(0, math.ceil(math.log2(max(1, entries) / per_bucket)))
+
+
+def bucket_runs(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, cuts): which buckets, by their highest bits, sorted hashes fall in, and where the next bucket's begin."""
+    if not len(hashes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+    cuts = np.flatnonzero(np.diff(bucket)) + 1
+    return bucket[np.concatenate(([0], cuts))], cuts
+
+
 def _chunks(batches, limit: int):
     held, size = [], 0
     for batch in batches:
@@ -136,13 +154,14 @@ _REPLY = "chunk long, kind int, a binary, b binary"
 _SETS, _LONE, _LIVE = 0, 1, 2
 
 
-def _exchange(texts: DataFrame, p: JaccardParams, step: int, with_sets: bool, buckets: int) -> DataFrame:
+def _exchange(texts: DataFrame, p: JaccardParams, step: int, with_sets: bool, entries: int) -> DataFrame:
     """Chunks' sets with the number of lone shingles of each text and, with_sets, its rarest other shingles.
 
     texts: (key, t). Returns rows (key, n, high, low, dead, tokens, prefix): tokens
     and prefix only with_sets. Chunks are numbered by task, so the input must
     be a scan or a written table, which gives a repeated task the same rows.
     """
+    bits = bucket_bits(entries, p.entries_per_bucket)
 
     def deal(batches):
         task = TaskContext.get().partitionId()
@@ -153,14 +172,12 @@ def _exchange(texts: DataFrame, p: JaccardParams, step: int, with_sets: bool, bu
                 sets += shingle_sets(*utf8(part.column("t")), p.shingle)
             hashes, notes = _count_entries(sets, step)
             # the lowest bits chose the sample, so buckets go by the highest
-            edges = np.searchsorted(hashes, np.array([b * ((1 << 64) // buckets) for b in range(1, buckets)], np.uint64))
-            edges = np.concatenate(([0], edges, [len(hashes)]))
-            full = np.flatnonzero(np.diff(edges))
-            rows = {"bucket": full.tolist(), "chunk": [chunk] * len(full), "kind": [_LONE] * len(full), "a": [hashes[edges[b] : edges[b + 1]].tobytes() for b in full], "b": [notes[edges[b] : edges[b + 1]].tobytes() for b in full]}
+            full, cuts = bucket_runs(hashes, bits)
+            rows = {"bucket": full.tolist(), "chunk": [chunk] * len(full), "kind": [_LONE] * len(full), "a": [x.tobytes() for x in np.split(hashes, cuts)] if len(full) else [], "b": [x.tobytes() for x in np.split(notes, cuts)] if len(full) else []}
             n = np.array([len(s) for s in sets], np.int64)
             prints = np.array([np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64) for s in sets], np.int64).reshape(-1, 2)
             head = np.concatenate((table.column("k").to_numpy(), n, prints[:, 0], prints[:, 1])).astype(np.int64).tobytes()
-            rows["bucket"].append(-1 - chunk % buckets)
+            rows["bucket"].append(-1 - chunk % (1 << bits))
             rows["chunk"].append(chunk)
             rows["kind"].append(_SETS)
             rows["a"].append(head)
@@ -237,8 +254,8 @@ def _exchange(texts: DataFrame, p: JaccardParams, step: int, with_sets: bool, bu
         return pa.table({c: v[stay] for c, v in columns.items()} | {"tokens": pa.array(tokens, pa.binary()), "prefix": pa.array(prefix, pa.list_(pa.int64()))})
 
     dealt = texts.mapInArrow(tidied(deal), _EXCHANGE)
-    counted = dealt.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(count, _REPLY)
-    return counted.groupBy("chunk").applyInArrow(merge, out)
+    counted = dealt.repartition(min(1 << bits, p.max_partitions), "bucket").groupBy("bucket").applyInArrow(tidied_group(count), _REPLY)
+    return counted.groupBy("chunk").applyInArrow(tidied_group(merge), out)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, p: JaccardParams) -> DataFrame:
@@ -264,13 +281,20 @@ def _verify(pairs: DataFrame, sets: DataFrame, p: JaccardParams) -> DataFrame:
 def _compare_families(family: DataFrame, sets: DataFrame, p: JaccardParams) -> DataFrame:
     """Links (a, b) among each family's members that are in different components; one side is outside the main one.
 
-    A family is cut into blocks by a hash of the key and blocks meet in pairs,
-    so no task holds a family; overlaps are products of 0/1 matrices. Of a
-    block's links only as many leave as connect what they connect.
+    Outsiders and members of the main component are cut into blocks of their
+    own by a hash of the key. A block of outsiders meets all blocks, one of
+    the main component only those of outsiders, so the cost is the family's
+    size times its outsiders, and no task holds a family; overlaps are
+    products of 0/1 matrices. Of a pair of blocks only as many links leave as
+    connect what they connect.
     """
-    sizes = family.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / p.family_block).cast("int").alias("blocks"))
-    placed = family.join(sizes, "main").withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
-    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    outside = F.col("component") != F.col("main")
+    sizes = family.groupBy("main").agg(F.ceil(F.count(F.when(outside, 1)) / p.family_block).cast("int").alias("outer"), F.ceil(F.count(F.when(~outside, 1)) / p.family_block).cast("int").alias("inner"))
+    # blocks 0 to outer - 1 are outsiders'; the main component's follow
+    block = F.when(outside, F.pmod(F.xxhash64("k"), F.col("outer"))).otherwise(F.col("outer") + F.pmod(F.xxhash64("k"), F.greatest(F.col("inner"), F.lit(1)))).cast("int")
+    placed = family.join(sizes, "main").where("outer > 0").withColumn("own", block)
+    partners = F.when(F.col("own") < F.col("outer"), F.sequence(F.lit(0), F.col("outer") + F.col("inner") - 1)).otherwise(F.sequence(F.lit(0), F.col("outer") - 1))
+    met = placed.withColumn("other", F.explode(partners))
     met = met.select("main", "k", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     rows = met.join(sets.select("k", "tokens"), "k")
 
@@ -301,7 +325,7 @@ def _compare_families(family: DataFrame, sets: DataFrame, p: JaccardParams) -> D
         moved = np.flatnonzero(root != np.arange(len(k)))
         return pa.table({"a": k[moved], "b": k[root[moved]]})
 
-    return rows.groupBy("main", "i", "j").applyInArrow(compare, "a long, b long")
+    return rows.groupBy("main", "i", "j").applyInArrow(tidied_group(compare), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -319,13 +343,15 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(),
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     words = size // 6
     texts = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-    sets1 = keep(_exchange(texts, p, p.sample, False, max(1, -(-words // (p.sample * p.entries_per_bucket)))), f"{at}/counted")
-    same = sets1.where("n > 0").groupBy("high", "low", "n").agg(F.min("k").alias("rep"))
+    sets1 = keep(_exchange(texts, p, p.sample, False, words // p.sample), f"{at}/counted")
+    # sets that occur once are their own representatives; of the others one hot set may hold a third of all rows
+    same = keep(sets1.where("n > 0").groupBy("high", "low", "n").agg(F.min("k").alias("rep"), F.count(F.lit(1)).alias("c")).where("c > 1"), f"{at}/same")
+    same = same.drop("c") if same.count() > BROADCAST_KEYS else F.broadcast(same.drop("c"))
     nodes = keep(sets1.join(same, ["high", "low", "n"], "left").select("k", "n", "dead", F.coalesce("rep", "k").alias("rep")), f"{at}/nodes")
     left = nodes.where((F.col("n") > 0) & (F.col("k") == F.col("rep")) & (100 * (F.col("n") - F.col("dead")) >= p.percent * F.col("n"))).select("k").distinct()
     again = keep(match_keys(texts, keep(left, f"{at}/left"), "k", "left_semi"), f"{at}/again", compression="zstd")
     rest = again.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    sets = keep(_exchange(again, p, 1, True, max(1, -(-rest // (6 * p.entries_per_bucket)))).dropDuplicates(["k", "high", "low"]), f"{at}/sets")
+    sets = keep(_exchange(again, p, 1, True, rest // 6).dropDuplicates(["k", "high", "low"]), f"{at}/sets")
 
     def signatures(batches):
         for batch in batches:
@@ -344,8 +370,11 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(),
     small = sets.where(F.col("n") <= boundary).select("k", "n", "dead", "tokens").mapInArrow(tidied(signatures), "tok long, k long, n long, dead long")
     large = lists.where(100 * F.col("n") >= p.percent * (boundary + 1))
     postings = large.unionByName(small)
-    long_lists = postings.groupBy("tok").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("tok")
-    postings = keep(postings.join(long_lists, "tok"), f"{at}/postings")
+    # one list may hold a third of all sets: longer lists than `most`, at most BROADCAST_KEYS of them, are joined by broadcast
+    lengths = keep(postings.groupBy("tok").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), f"{at}/lengths")
+    entries = lengths.agg(F.sum("c")).first()[0] or 0
+    most = max(p.light_list, entries // BROADCAST_KEYS)
+    postings = keep(join_lists(postings, lengths, "tok", most), f"{at}/postings")
 
     def fits(a: str, b: str, lone_a: str, lone_b: str):
         # an intersection has no lone shingle of either side
@@ -356,8 +385,8 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(),
     labels = sets.select("k", F.col("k").alias("component")).distinct()
     # a leader is the member with the smallest share of lone shingles
     rank = F.struct((1000 * F.col("dead") / F.col("n")).cast("int").alias("lone"), F.col("k").alias("leader"), F.col("n").alias("m"), F.col("dead").alias("lm"))
-    leaders = postings.groupBy("tok").agg(F.min(rank).alias("top")).select("tok", "top.leader", "top.m", "top.lm")
-    votes = keep(postings.join(leaders, "tok").where((F.col("k") != F.col("leader")) & fits("n", "m", "dead", "lm")).groupBy("k", "leader").agg(F.count(F.lit(1)).alias("votes")), f"{at}/votes")
+    leaders = keep(postings.groupBy("tok").agg(F.min(rank).alias("top"), F.first("c").alias("c")).select("tok", "c", "top.leader", "top.m", "top.lm"), f"{at}/leaders")
+    votes = keep(join_lists(postings.drop("c"), leaders, "tok", most).where((F.col("k") != F.col("leader")) & fits("n", "m", "dead", "lm")).groupBy("k", "leader").agg(F.count(F.lit(1)).alias("votes")), f"{at}/votes")
     for turn in range(p.leader_rounds):
         open_ = votes.join(labels.withColumnRenamed("component", "ca"), "k").join(labels.select(F.col("k").alias("leader"), F.col("component").alias("cb")), "leader").where("ca <> cb")
         if tried is not None:
@@ -371,10 +400,10 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(),
         labels = sets.select("k").distinct().join(reached, F.col("k") == F.col("id"), "left").select("k", F.coalesce("component", "k").alias("component"))
 
     # what is still apart: in each list, members outside its main component meet all others
-    labelled = postings.join(labels, "k")
-    shares = labelled.groupBy("tok", "component").agg(F.count(F.lit(1)).alias("c"))
-    main = shares.groupBy("tok").agg(F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("tok", F.col("top.component").alias("main"))
-    mixed = keep(labelled.join(main, "tok"), f"{at}/mixed")
+    labelled = postings.drop("c").join(labels, "k")
+    shares = labelled.groupBy("tok", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = shares.groupBy("tok").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("c"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("tok", "c", F.col("top.component").alias("main"))
+    mixed = keep(join_lists(labelled, keep(main, f"{at}/main"), "tok", most).drop("c"), f"{at}/mixed")
     weights = mixed.groupBy("tok").agg((F.count(F.lit(1)) * F.sum((F.col("component") != F.col("main")).cast("long"))).alias("open"))
     heavy = weights.where(F.col("open") > p.heavy_list).select("tok")
     family = mixed.join(heavy, "tok", "left_semi").groupBy("main", "k").agg(F.max("component").alias("component"))
