@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder under spark.checkpoint.dir, which all executors share.
 
-    Where the setting is absent (a local session) a temporary folder becomes
-    the session's checkpoint folder.
+    A local session may lack the setting: a temporary folder then becomes its
+    checkpoint folder. On a cluster its absence is an error, as other machines
+    could not read such a folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         base = getattr(spark, "_glyphmill_dir", None) or tempfile.mkdtemp(prefix="glyphmill-")
         spark._glyphmill_dir = base
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -32,17 +35,18 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return files.makeQualified(where).toString()
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def keep(df: DataFrame, path: str, **options) -> DataFrame:
     """Write df as Parquet under a shared folder and read it again: lineage ends here."""
     df.write.options(**options).mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, path: str) -> DataFrame:
+    """df if its rows come in the same parts whenever a task is repeated, as those of a scan do; else df written by keep()."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return keep(df, path) if any(word in plan for word in ("Exchange", "Sample", "InMemoryTableScan", "ExistingRDD", "rand(")) else df
+
+
 def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a shared folder, as workers open it."""
     if "://" not in uri and uri.startswith("file:"):

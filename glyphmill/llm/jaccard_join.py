@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.llm._bytes import grams, hash_words, mix, slices, split_words, tidied, tidied_group, utf8
-from glyphmill.llm._spark import BROADCAST_KEYS, connected_components, forest, join_lists, keep, match_keys, shared_dir
+from glyphmill.llm._spark import BROADCAST_KEYS, connected_components, forest, join_lists, keep, match_keys, settled, shared_dir
 
 
 @dataclass(frozen=True)
@@ -336,10 +336,13 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams(),
     nothing. Rows that repeat a key are one node; rows with a null key link
     with nothing and have a null component. Ties cannot matter, as a component
     does not depend on the order of comparisons. An empty table gives no rows;
-    other columns are ignored; long texts are taken whole.
+    other columns are ignored; long texts are taken whole. Chunks are numbered
+    by task, so an input that is no plain scan is written to the shared folder
+    first.
     """
     p, spark = params, docs.sparkSession
     at = shared_dir(spark, "jaccard")
+    docs = settled(docs.select(F.col(key), F.col(text)), f"{at}/input")
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     words = size // 6
     texts = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
