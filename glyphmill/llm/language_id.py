@@ -15,9 +15,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glyphmill.llm._bytes import mix, slices, tidied, utf8
+from glyphmill.llm._spark import keep, shared_dir
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -30,8 +32,8 @@ _LETTER[[*range(65, 91), *range(97, 123)]] = True
 class LanguageParams:
     #: Sampled texts of each language from which its n-grams are learnt (expected number; a hash of the key decides).
     docs_per_lang: int = 2000
-    #: n-grams kept for each language: the most frequent ones.
-    grams_per_lang: int = 1 << 16
+    #: n-grams kept for each language, the most frequent ones; None keeps all that the sample has.
+    grams_per_lang: int | None = None
     #: A language holds an n-gram if its rate there is at least this share of the highest rate of any language.
     min_share: float = 0.25
     #: An n-gram needs this many occurrences in a language's sample.
@@ -109,7 +111,13 @@ def _held_out(key: str):
 
 
 def learn_languages(docs: DataFrame, params: LanguageParams = LanguageParams(), key: str = "doc_id", text: str = "text", lang: str = "lang") -> BloomLanguages:
-    """Fit the filter on a bounded, hashed sample of the rows that are not held out and have a language."""
+    """Fit the filter on a bounded, hashed sample of the rows that are not held out and have a language.
+
+    Null texts and languages are left out; repeated rows count each; long
+    texts are taken whole; an empty table gives a filter without languages,
+    which calls every text `und`. The driver gets the n-grams of the sample,
+    whose size the parameters bound, not the corpus.
+    """
     known = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"), _held_out(key).alias("held")).where("not held and l is not null and t is not null")
     sizes = {r.l: r["count"] for r in known.groupBy("l").count().collect()}
     langs = sorted(sizes)
@@ -128,15 +136,15 @@ def learn_languages(docs: DataFrame, params: LanguageParams = LanguageParams(),
                 total = np.bincount(inverse, weights=np.concatenate([f[1] for f in found])).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([part_lang] * len(codes)), pa.array(codes.astype(np.int64)), pa.array(total)], ["l", "gram", "n"])
 
-    grams = sample.mapInArrow(tidied(count), "l string, gram long, n long").groupBy("l", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= params.min_count).checkpoint()
-    from pyspark.sql import Window as W
-
+    grams = sample.mapInArrow(tidied(count), "l string, gram long, n long").groupBy("l", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= params.min_count)
+    grams = keep(grams, f"{shared_dir(docs.sparkSession, 'languages')}/grams")
     totals = grams.groupBy("l").agg(F.sum("n").alias("total"))
     rated = grams.join(F.broadcast(totals), "l").withColumn("rate", F.col("n") / F.col("total"))
     best = rated.groupBy("gram").agg(F.max("rate").alias("best"))
     chosen = rated.join(best, "gram").where(F.col("rate") >= params.min_share * F.col("best"))
-    chosen = chosen.withColumn("rank", F.row_number().over(W.partitionBy("l").orderBy(F.desc("rate"), "gram"))).where(F.col("rank") <= params.grams_per_lang).select("l", "gram")
-    pairs = chosen.toArrow()  # at most grams_per_lang rows a language
+    if params.grams_per_lang is not None:
+        chosen = chosen.withColumn("rank", F.row_number().over(W.partitionBy("l").orderBy(F.desc("rate"), "gram"))).where(F.col("rank") <= params.grams_per_lang)
+    pairs = chosen.select("l", "gram").toArrow()  # n-grams of the sample
     names, codes = np.array(pairs.column("l").to_pylist(), dtype=object), pairs.column("gram").to_numpy().astype(np.uint32)
     return BloomLanguages(langs, [codes[names == name] for name in langs], params)
 
@@ -149,7 +157,8 @@ def predict_languages(docs: DataFrame, model: BloomLanguages, key: str = "doc_id
     nothing could be learnt; a text that has letters but no known n-gram gets
     the language with the most n-grams, with score 0. Ties go to the first
     language in alphabetical order. Repeated rows are judged alike; a null key
-    counts as held out; other columns are ignored.
+    counts as held out; long texts are judged whole; an empty table gives no
+    rows; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
