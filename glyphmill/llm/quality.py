@@ -102,13 +102,16 @@ def train_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = Qu
     """Fit on at most `max_train` labelled rows that are not held out.
 
     Their keys are a bounded broadcast; the fit runs in one task over that
-    bounded sample. Null labels or texts are left out; without any row all
+    bounded sample. Null labels, keys and texts are left out; of repeated
+    labels of a key the smallest counts, and of repeated rows of a document
+    that with the smallest text; long texts are taken whole. Without any row, as of empty tables, all
     weights are 0 and the bias too.
     """
     bits = params.weight_bits
     order = F.xxhash64(F.lit(29), F.col(key))
     chosen = labels.where(~_held_out(key) & F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key)).agg(F.min(label).alias("label")).orderBy(order, key).limit(params.max_train)
     sample = docs.select(F.col(key).alias("key"), F.col(text).alias("t")).where("t is not null").join(F.broadcast(chosen.select(F.col(key).alias("key"), F.col("label").cast("double"))), "key")
+    sample = sample.groupBy("key", "label").agg(F.min("t").alias("t"))  # a repeated row counts once, so max_train bounds rows
 
     def extract(batches):
         for batch in batches:
@@ -151,7 +154,8 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, float], params: Qual
 
     Only the text enters the score. A null or empty text, or one without
     words, has the score of the bias alone; ties and repeated rows are scored
-    alike; a null key counts as held out; other columns are ignored.
+    alike; a null key counts as held out; long texts are scored whole; an
+    empty table gives no rows; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**weight_bits floats
     bits = params.weight_bits
@@ -169,7 +173,11 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, float], params: Qual
 
 
 def keep_good(docs: DataFrame, model: tuple[np.ndarray, float], params: QualityParams = QualityParams(), text: str = "text") -> DataFrame:
-    """The rows whose text's score reaches the threshold, with all their columns."""
+    """The rows whose text's score reaches the threshold, with all their columns.
+
+    A null or empty text is judged by the bias alone; repeated rows stay or go
+    together; an empty table stays empty; long texts are scored whole.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def good(batches):
