@@ -30,11 +30,14 @@ class LeakParams:
     edit_rate: float = 0.08
     #: Bytes of a q-gram: it is compared as one 64-bit integer.
     q: int = 8
-    #: Longer items are cut into patterns of about this many bytes; shorter ones than min_bytes prove nothing.
+    #: Longer items are cut into patterns of about this many bytes; shorter ones than min_bytes are sought as they are, between word ends.
     max_pattern: int = 512
     min_bytes: int = 32
-    #: Bytes of patterns in one broadcast index; more items are searched for in further passes.
+    #: Whether an item of several patterns counts only where a text has a region of each, not of any.
+    whole_items: bool = False
+    #: Bytes of patterns in one index, and indexes that one pass over the texts searches for.
     index_bytes: int = 1 << 20
+    indexes_per_pass: int = 16
 
 
 def normalise(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,13 +70,33 @@ def qgram_codes(b: np.ndarray, q: int) -> np.ndarray:
     return code[:n]
 
 
+class ShortIndex:
+    """Items too short for the lemma, found by an automaton of all of them: exact, and between word ends."""
+
+    def __init__(self, items: list[tuple]):
+        self.item = [(i, part, parts) for i, _, part, parts in items]
+        own: dict[str, list[int]] = {}
+        for n, (_, b, _, _) in enumerate(items):
+            own.setdefault(b.decode("latin-1"), []).append(n)
+        self.words = own
+
+    def automaton(self):
+        import ahocorasick
+
+        found = ahocorasick.Automaton()
+        for word, numbers in self.words.items():
+            found.add_word(word, (len(word), numbers))
+        found.make_automaton()
+        return found
+
+
 class PatternIndex:
-    """q-grams of a block of patterns, with where they occur."""
+    """q-grams of a block of patterns, with where they occur. Items are (key, bytes, part, parts)."""
 
-    def __init__(self, items: list[tuple[int, bytes]], p: LeakParams):
+    def __init__(self, items: list[tuple], p: LeakParams):
         self.q = p.q
-        self.item = [i for i, _ in items]
-        self.pattern = [b for _, b in items]
+        self.item = [(i, part, parts) for i, _, part, parts in items]
+        self.pattern = [b for _, b, _, _ in items]
         self.m = np.array([len(b) for b in self.pattern], np.int64)
         # as many edits as the rate allows, fewer where the lemma would ask for no q-gram
         self.k = np.minimum((p.edit_rate * self.m).astype(np.int64), (self.m - p.q) // p.q)
@@ -156,20 +179,35 @@ def align(pattern: bytes, text: np.ndarray, first: int, diagonals: int) -> tuple
 
 
 def _patterns(rows, p: LeakParams):
-    """(item, pattern) of each benchmark row: long items in even parts."""
+    """(item, pattern, part, parts) of each benchmark row that has a character: long items in even parts."""
     for item, text in rows:
         raw = re.sub(rb"[\x20\x09-\x0D]+", b" ", (text or "").encode()).strip()
         raw = _FOLD[np.frombuffer(raw, np.uint8)].tobytes()
-        if len(raw) < p.min_bytes:
+        if not raw:
             continue
         parts = -(-len(raw) // p.max_pattern)
         cuts = [len(raw) * i // parts for i in range(parts + 1)]
-        yield from ((item, raw[a:b]) for a, b in zip(cuts, cuts[1:]))
+        yield from ((item, raw[a:b], i, parts) for i, (a, b) in enumerate(zip(cuts, cuts[1:])))
 
 
-def _search(index: PatternIndex, data: np.ndarray, offsets: np.ndarray, p: LeakParams):
-    """(text, item, begin, end, edits) of every verified region, in bytes of the texts."""
-    text, at, place = normalise(data, offsets)
+_INSIDE = np.zeros(256, bool)
+_INSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
+
+def _short_regions(index: ShortIndex, automaton, text: np.ndarray, at: np.ndarray):
+    """(text, item, begin, end) of every occurrence of a short item that neither begins nor ends inside a word."""
+    for d in range(len(at) - 1):
+        own = text[at[d] : at[d + 1]]
+        for last, (size, numbers) in automaton.iter(own.tobytes().decode("latin-1")) if len(own) else ():
+            a, b = last + 1 - size, last + 1
+            if (a and _INSIDE[own[a - 1]] and _INSIDE[own[a]]) or (b < len(own) and _INSIDE[own[b]] and _INSIDE[own[b - 1]]):
+                continue
+            for n in numbers:
+                yield d, index.item[n], a, b
+
+
+def _regions(index: PatternIndex, text: np.ndarray, at: np.ndarray):
+    """(text, item, begin, end, edits) of every verified region, in normalised bytes."""
     owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
     step, found = 4 << 20, {}
     for a in range(0, max(1, len(text)), step):
@@ -184,10 +222,21 @@ def _search(index: PatternIndex, data: np.ndarray, offsets: np.ndarray, p: LeakP
         close = found.get((d, pattern, begin // max(1, int(index.m[pattern])) - 1))
         if close and close[2] > begin and close[0] <= edits:
             continue  # the same region, seen from the cell before
-        base = offsets[d]
-        left = int(place[at[d] + begin] - base)
-        right = int(place[at[d] + end - 1] - base) + 1
-        yield d, index.item[pattern], left, right, edits
+        yield d, index.item[pattern], begin, end, edits
+
+
+def _search(indexes: list, automata: dict, data: np.ndarray, offsets: np.ndarray):
+    """(text, item, part, parts, begin, end, edits) of every region of any index, in bytes of the texts."""
+    text, at, place = normalise(data, offsets)
+    for n, index in enumerate(indexes):
+        if isinstance(index, ShortIndex):
+            automata[n] = automata.get(n) or index.automaton()
+            found = ((*r, 0) for r in _short_regions(index, automata[n], text, at))
+        else:
+            found = _regions(index, text, at)
+        for d, (item, part, parts), begin, end, edits in found:
+            base = offsets[d]
+            yield d, item, part, parts, int(place[at[d] + begin] - base), int(place[at[d] + end - 1] - base) + 1, edits
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakParams(), key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -195,41 +244,58 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, params: LeakParams = LeakP
 
     begin and end are UTF-8 byte offsets in the text. Case of A-Z and runs of
     white space do not count. Items of more than max_pattern bytes are sought
-    in parts, items under min_bytes not at all. Null or empty texts and items
-    have no regions; repeated rows and items are reported each; a null key
-    stays null; empty tables give no rows; other columns are ignored. Items
-    are broadcast in blocks of at most index_bytes, each a pass of its own, so
-    the broadcast does not grow with the benchmark. Long texts are searched
-    whole, in overlapping parts.
+    in parts, and a region of any part is one of the item, or, with
+    whole_items, only in texts that have a region of every part. Items under
+    min_bytes are sought without edits, between word ends. Null or blank
+    texts and items have no regions; repeated rows and items are reported
+    each; a null key stays null; empty tables give no rows; other columns are
+    ignored. Items are broadcast in indexes of at most index_bytes, several a
+    pass, so a broadcast does not grow with the benchmark. Long texts are
+    searched whole, in overlapping parts.
     """
     p, spark = params, docs.sparkSession
-    blocks: list[list] = [[]]
-    size = 0
-    for item in _patterns(benchmark.select(F.col(item_key).cast("long"), item_text).orderBy(item_key, item_text).toLocalIterator(), p):
-        if size + len(item[1]) > p.index_bytes and blocks[-1]:
-            blocks.append([])
-            size = 0
-        blocks[-1].append(item)
-        size += len(item[1])
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).where("t is not null")
-    schema = "doc_id long, item_id long, begin long, end long, edits int"
-    out = None
-    for block in blocks:
-        if not block:
-            continue
-        shared = spark.sparkContext.broadcast(PatternIndex(block, p))
+    schema = "doc_id long, item_id long, begin long, end long, edits int, part int, parts int"
+
+    def one_pass(indexes: list) -> DataFrame:
+        shared = spark.sparkContext.broadcast(indexes)
 
-        def search(batches, shared=shared):
+        def search(batches):
+            automata: dict = {}
             for batch in batches:
                 for part in slices(batch, "t", 2 << 20):
-                    found = list(_search(shared.value, *utf8(part.column("t")), p))
+                    found = list(_search(shared.value, automata, *utf8(part.column("t"))))
                     if found:
-                        d, item, begin, end, edits = zip(*found)
-                        yield pa.RecordBatch.from_arrays([part.column("k").take(pa.array(d)), pa.array(item, pa.int64()), pa.array(begin, pa.int64()), pa.array(end, pa.int64()), pa.array(edits, pa.int32())], ["doc_id", "item_id", "begin", "end", "edits"])
+                        d, item, number, parts, begin, end, edits = zip(*found)
+                        yield pa.RecordBatch.from_arrays([part.column("k").take(pa.array(d)), pa.array(item, pa.int64()), pa.array(begin, pa.int64()), pa.array(end, pa.int64()), pa.array(edits, pa.int32()), pa.array(number, pa.int32()), pa.array(parts, pa.int32())], ["doc_id", "item_id", "begin", "end", "edits", "part", "parts"])
 
-        part = rows.mapInArrow(tidied(search), schema)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], schema)
+        return rows.mapInArrow(tidied(search), schema)
+
+    out, indexes, short, held, size = None, [], [], [], 0
+
+    def close(last: bool = False) -> None:
+        nonlocal out, indexes
+        if indexes and (last or len(indexes) >= p.indexes_per_pass):
+            found = one_pass(indexes)
+            out, indexes = found if out is None else out.unionByName(found), []
+
+    # the driver holds the items of one pass at a time
+    for item in _patterns(benchmark.select(F.col(item_key).cast("long"), item_text).orderBy(item_key, item_text).toLocalIterator(), p):
+        block = short if len(item[1]) < p.min_bytes else held
+        block.append(item)
+        size += len(item[1])
+        if size >= p.index_bytes:
+            indexes += ([ShortIndex(short)] if short else []) + ([PatternIndex(held, p)] if held else [])
+            short, held, size = [], [], 0
+            close()
+    indexes += ([ShortIndex(short)] if short else []) + ([PatternIndex(held, p)] if held else [])
+    close(last=True)
+    if out is None:
+        return spark.createDataFrame([], schema).drop("part", "parts")
+    if p.whole_items:
+        whole = out.groupBy("doc_id", "item_id", "parts").agg(F.count_distinct("part").alias("n")).where("n = parts").select(F.col("doc_id").alias("d"), F.col("item_id").alias("i"))
+        out = out.join(whole, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("item_id").eqNullSafe(F.col("i")), "left_semi")
+    return out.drop("part", "parts")
 
 
 def op4_benchmark_leaks(spark, sf_dir: str) -> DataFrame:
