@@ -154,7 +154,7 @@ def write_token_store(docs: DataFrame, folder: str, params: StoreParams = StoreP
     def write(batches):
         task, part, out, encoder = TaskContext.get().partitionId(), 0, None, None
         for batch in batches:
-            for rows in slices(batch, "t"):
+            for rows in slices(batch, "t", 2 << 20):
                 encoder = encoder or loaded(path)
                 data, offsets = utf8(rows.column("t"))
                 ids, first = encoder.encode(data, offsets)
