@@ -217,7 +217,7 @@ def test_leaks(spark):
     expected = set()
     for i, t in rows:
         text, _, _ = decontaminate.normalise(*utf8(pa.array([t])))
-        expected |= {(i, int(index.item[x])) for x in range(len(index.m)) if distance(index.pattern[x], text.tobytes()) <= index.k[x]}
+        expected |= {(i, index.item[x][0]) for x in range(len(index.m)) if distance(index.pattern[x], text.tobytes()) <= index.k[x]}
     assert {(r.doc_id, r.item_id) for r in got} == expected and 5 < len(expected) < 40
     assert all(r.begin < r.end <= len(rows[r.doc_id][1].encode()) for r in got)
 
@@ -302,3 +302,127 @@ def test_bloom_filter_has_no_false_negative():
     for i in (0, 63, 64, 69):
         counts = model.counts(codes[i], np.array([0, 100]))
         assert counts[0].argmax() == i or counts[0, i] >= 95
+
+
+def test_language_counts_by_sets(spark):
+    """The corrected popcounts against plain sets of n-grams, and the choice that follows."""
+    rnd = random.Random(21)
+    words = {lang: ["".join(rnd.choice(letters) for _ in range(rnd.randint(2, 7))) for _ in range(60)] for lang, letters in (("aa", "abcdefg"), ("bb", "defghij"), ("cc", "éßmnop"))}
+    rows = [(i, " ".join(rnd.choice(words[lang]) for _ in range(30)), lang) for i, lang in enumerate(rnd.choice(["aa", "bb", "cc"]) for _ in range(240))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    params = language_id.LanguageParams(min_count=2)
+    model = language_id.learn_languages(docs, params)
+
+    def four(text):
+        raw = b" " + text.encode() + b" "
+        return [raw[i : i + 4] for i in range(len(raw) - 3)]
+
+    seen = {lang: Counter() for lang in model.langs}
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 5:
+            seen[lang].update(four(text))
+    often = {lang: {g: n for g, n in c.items() if n >= 2} for lang, c in seen.items()}
+    rate = {lang: {g: n / sum(c.values()) for g, n in c.items()} for lang, c in often.items()}
+    held = {lang: {g for g, r in rate[lang].items() if r >= params.min_share * max(rate[o].get(g, 0) for o in rate)} for lang in rate}
+    plain = np.array([[sum(g in held[lang] for g in four(text)) for lang in model.langs] for _, text, _ in rows], float)
+    counts = model.counts(*language_id.text_grams(*utf8(pa.array([text for _, text, _ in rows]))))
+    assert np.abs(counts - plain).max() <= 3 and (model.false_positive < 1e-3).all()
+    got = {r.doc_id: r.lang_pred for r in language_id.predict_languages(docs, model).collect()}
+    clear = [i for i in range(len(rows)) if np.sort(plain[i])[-1] - np.sort(plain[i])[-2] > 6]
+    assert len(clear) > 200 and all(got[i] == model.langs[int(plain[i].argmax())] for i in clear)
+    few = language_id.learn_languages(docs, language_id.LanguageParams(min_count=2, grams_per_lang=5))
+    assert (few.counts(*language_id.text_grams(*utf8(pa.array([rows[0][1]])))) <= counts[:1] + 3).all()
+
+
+def test_languages_without_a_checkpoint_folder():
+    """learn_languages needs no setting in a local session."""
+    import subprocess
+    import sys
+
+    code = """
+from pyspark.sql import SparkSession
+from glyphmill.llm import language_id
+spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()
+docs = spark.createDataFrame([(i, 'one two three' if i % 2 else 'eins zwei drei', 'en' if i % 2 else 'de') for i in range(40)], 'doc_id long, text string, lang string')
+got = language_id.predict_languages(docs, language_id.learn_languages(docs)).collect()
+assert {r.doc_id % 2: r.lang_pred for r in got} == {1: 'en', 0: 'de'}
+"""
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True, timeout=300).returncode == 0
+
+
+def test_quality_by_plain_loops():
+    """Features, fitting and scores against dictionaries and one weight at a time."""
+    rnd = random.Random(31)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rnd.choice(words[:25] if i % 2 else words[15:]) for _ in range(rnd.randint(0, 30))) for i in range(80)]
+    p = quality.QualityParams(weight_bits=12)
+    data, offsets = utf8(pa.array(texts))
+    rows = [Counter() for _ in texts]
+    for index, owner in quality.hashed_features(data, offsets, p.weight_bits):
+        for i, d in zip(index.tolist(), owner.tolist()):
+            rows[d][i] += 1
+    assert all(sum(r.values()) == sum(max(0, len(t.split()) - n + 1) for _, n in quality.FAMILIES) for r, t in zip(rows, texts))
+    z, n = {}, {}
+
+    def weight(i):
+        zi, ni = z.get(i, 0.0), n.get(i, 0.0)
+        return 0.0 if abs(zi) <= p.l1 else -(zi - (p.l1 if zi > 0 else -p.l1)) / ((p.beta + ni**0.5) / p.alpha + p.l2)
+
+    def margin(row):
+        norm = max(1, sum(row.values())) ** 0.5
+        return sum(weight(i) * c / norm for i, c in row.items()) + weight("bias")
+
+    for _ in range(p.epochs):
+        for d, row in enumerate(rows):
+            norm = max(1, sum(row.values())) ** 0.5
+            error = 1 / (1 + np.exp(-margin(row))) - d % 2
+            for i, x in [*((i, c / norm) for i, c in row.items()), ("bias", 1.0)]:
+                w, g = weight(i), error * x
+                z[i] = z.get(i, 0.0) + g - ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / p.alpha * w
+                n[i] = n.get(i, 0.0) + g * g
+    fitted = quality.fit_ftrl([(np.array(list(r), np.int64), np.array([c / max(1, sum(r.values())) ** 0.5 for c in r.values()]), float(d % 2)) for d, r in enumerate(rows)], p)
+    scores = quality.score_texts(data, offsets, *fitted, p.weight_bits)
+    assert np.allclose(scores, [1 / (1 + np.exp(-margin(r))) for r in rows], atol=1e-4)
+
+
+def test_packing_is_greedy():
+    """Windows against a plain walk: best unused neighbours that fit, else the best one is cut and goes on."""
+    rnd = np.random.default_rng(14)
+    docs = [rnd.integers(0, 60, rnd.integers(1, 90)) for _ in range(50)]
+    sizes, first = np.array([len(d) for d in docs]), np.concatenate(([0], np.cumsum([len(d) for d in docs])))
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=60)
+    idf, mean, p = np.log(1 + (50 - df + 0.5) / (df + 0.5)), first[-1] / 50, packing.PackParams(window=128)
+    score = np.zeros((50, 50))
+    for a in range(50):
+        for t in set(docs[a].tolist()):
+            tf = np.array([(d == t).sum() for d in docs])
+            score[a] += idf[t] * tf * (p.k1 + 1) / (tf + p.k1 * (1 - p.b + p.b * sizes / mean))
+    got = packing.pack_shard(sizes, packing.ShardIndex(np.concatenate(docs), first, idf, mean, p), 128)
+    unused, expected, filled, carry = list(range(50)), [], 0, None
+
+    def put(d, start, n):
+        nonlocal filled
+        expected.append((d, start, n, filled // 128, filled % 128))
+        filled += n
+
+    while unused or carry:
+        seed, start = carry or (unused.pop(0), 0)
+        carry = None
+        while start < sizes[seed]:
+            n = int(min(sizes[seed] - start, 128 - filled % 128))
+            put(seed, start, n)
+            start += n
+        while filled % 128 and carry is None:
+            near = sorted((d for d in unused if score[seed][d] > 0), key=lambda d: (-score[seed][d], d))[: p.neighbours]
+            if not near:
+                break
+            before = len(unused)
+            for d in near:
+                if sizes[d] <= 128 - filled % 128 and filled % 128:
+                    put(d, 0, int(sizes[d]))
+                    unused.remove(d)
+            if filled % 128 and len(unused) == before:
+                put(near[0], 0, int(128 - filled % 128))
+                unused.remove(near[0])
+                carry = (near[0], expected[-1][2])
+    assert [tuple(int(x) for x in piece) for piece in got] == expected
