@@ -26,22 +26,22 @@ class CharRules:
     min_chars: int = 7
 
 
-def valid_long_text(text: Column, units: Column, rules: UnitRules = UnitRules()) -> Column:
-    """Cheap conditions come first, as conjunctions stop at the first false one."""
-    ok = F.size(units) >= rules.min_units
-    if rules.min_cjk_ratio:
-        ok = ok & (T.cjk_ratio(text) >= rules.min_cjk_ratio)
-    return ok & (T.unique_ratio(units) >= rules.min_unique_ratio) & ~T.has_item_run(units, rules.max_run)
+def valid_long_text(text: Column, rules: UnitRules = UnitRules()) -> Column:
+    """Whether a text, after NFKC, has enough units, enough different ones, no long run of one and, if asked for, enough CJK characters."""
+    p = T.unit_profile(text)
+    ok = (p["units"] >= rules.min_units) & (T.ratio(p["distinct"], p["units"]) >= rules.min_unique_ratio) & (p["run"] <= rules.max_run)
+    return ok & (T.ratio(p["cjk"], p["plain"]) >= rules.min_cjk_ratio) if rules.min_cjk_ratio else ok
 
 
 def quality_reason(text: Column, rules: CharRules = CharRules()) -> Column:
     """Why a text fails, or `ok`."""
+    p = T.char_profile(text)
     return (
-        F.when(text.isNull() | (text == ""), "empty")
-        .when(F.length(text) < rules.min_chars, "short")
-        .when(T.chinese_ratio(text) < rules.min_chinese_ratio, "script")
-        .when(T.unique_char_ratio(text) < rules.min_unique_ratio, "repetitive")
-        .when(T.has_char_run(text, rules.max_run), "run")
+        F.when(p["chars"] == 0, "empty")
+        .when(p["chars"] < rules.min_chars, "short")
+        .when(T.ratio(p["han"], p["chars"]) < rules.min_chinese_ratio, "script")
+        .when(T.ratio(p["distinct"], p["chars"]) < rules.min_unique_ratio, "repetitive")
+        .when(p["run"] > rules.max_run, "run")
         .otherwise("ok")
     )
 
@@ -73,9 +73,23 @@ def min_pair_length(en: Column, zh: Column, target: Column) -> Column:
     return (F.length(en) >= F.least(F.floor(target / 2), F.lit(16))) & (F.length(zh) >= 8)
 
 
+def total_chars(texts: Column) -> Column:
+    """Characters of all texts of an array together; nulls count as empty."""
+    return F.length(F.array_join(texts, ""))
+
+
 def min_total_chars(texts: Column, least: int) -> Column:
     """Scenes need ten characters in all, slides five."""
-    return F.length(F.array_join(texts, "")) >= least
+    return total_chars(texts) >= least
+
+
+# The detector's classes for which an image is dropped.
+BANNED_CLASSES = ("FEMALE_BREAST_EXPOSED", "MALE_GENITALIA_EXPOSED")
+
+
+def drop_image(classes: Column, banned=BANNED_CLASSES) -> Column:
+    """Whether a detector found a banned class in an image; an image without an answer (null) stays."""
+    return F.coalesce(F.exists(classes, lambda c: c.isin(*banned)), F.lit(False))
 
 
 def not_blank(text: Column) -> Column:
@@ -91,6 +105,11 @@ def similar_enough(a: Column, b: Column, least: float = 0.78) -> Column:
     return F.coalesce(cosine(a, b), F.lit(1.0)) >= least
 
 
+def cross_similarity(text_a: Column, text_b: Column, a: Column, b: Column) -> Column:
+    """Cosine of two texts' unit vectors, 0 where either text is blank."""
+    return F.when(not_blank(text_a) & not_blank(text_b), cosine(a, b)).otherwise(F.lit(0.0))
+
+
 def cosine(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 

@@ -6,12 +6,15 @@ other letters and digits, lower-cased.
 
 from __future__ import annotations
 
-import unicodedata
+import re
+from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+
+from glyphmill.functions import kernels
 
 # The character ranges and signs that decide what a unit or a clean character is.
 CJK = "㐀-䶿一-鿿豈-﫿"
@@ -23,9 +26,9 @@ RUN = f"[\\p{{L}}\\p{{N}}&&[^{CJK}]]"
 UNIT = f"(?:[{CJK}]|{RUN}++)"
 
 
-@F.pandas_udf(StringType())
-def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+@F.arrow_udf(StringType())
+def _nfkc(texts: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else kernels.nfkc(t) for t in texts.to_pylist()], pa.string())
 
 
 def nfkc(text: Column) -> Column:
@@ -33,6 +36,26 @@ def nfkc(text: Column) -> Column:
     return F.coalesce(_nfkc(F.when(~text.rlike("^\\p{ASCII}*$"), text)), text)
 
 
+def _numbers(*names: str) -> StructType:
+    return StructType([StructField(name, IntegerType()) for name in names])
+
+
+def _struct(columns: dict) -> pa.StructArray:
+    return pa.StructArray.from_arrays([pa.array(v, pa.int32()) for v in columns.values()], list(columns))
+
+
+@F.arrow_udf(_numbers("units", "distinct", "run", "cjk", "plain"))
+def unit_profile(texts: pa.Array) -> pa.Array:
+    """After NFKC: units, distinct units, longest run of one unit, CJK characters, characters that are no punctuation or space. Null counts as empty."""
+    return _struct(kernels.unit_profile(texts))
+
+
+@F.arrow_udf(_numbers("chars", "han", "distinct", "run"))
+def char_profile(texts: pa.Array) -> pa.Array:
+    """Of the text as it is: characters, Han characters, distinct characters, longest run of one character. Null counts as empty."""
+    return _struct(kernels.char_profile(texts))
+
+
 def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, f"[{SPACE}]+", " "))
 
@@ -50,8 +73,8 @@ def cjk_chars(text: Column) -> Column:
 
 
 def mixed_units(text: Column) -> Column:
-    """The units of a text in order. Case is folded after cutting, as folding may change a run's length."""
-    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"[{CJK}]|{RUN}+"), F.lit(0))
+    """The units of a text in order, after NFKC. Case is folded after cutting, as folding may change a run's length."""
+    found = F.regexp_extract_all(F.coalesce(nfkc(text), F.lit("")), F.lit(f"[{CJK}]|{RUN}+"), F.lit(0))
     return F.transform(found, F.lower)
 
 
@@ -60,9 +83,9 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def cjk_ratio(text: Column) -> Column:
-    """CJK characters among the characters of the text without punctuation and spaces."""
-    plain = normalize_text(text, keep_punctuation=False, compatibility=False)
-    return ratio(F.size(cjk_chars(plain)), F.length(F.replace(plain, F.lit(" "), F.lit(""))))
+    """CJK characters among the characters of the text, after NFKC, without punctuation and spaces."""
+    p = unit_profile(text)
+    return ratio(p["cjk"], p["plain"])
 
 
 def chinese_ratio(text: Column) -> Column:
@@ -99,26 +122,68 @@ def longest_run(items: Column) -> Column:
     return F.aggregate(items, start, step, lambda acc: acc["best"])
 
 
+_PY_UNIT = re.compile(f"[{CJK}]|[^\\W_{CJK}]+")
+
+
+def _cut(text: str | None, most: int) -> str:
+    """The chunks of a text up to the first that passes `most` units; nothing behind that chunk is looked at."""
+    kept, left = [], most
+    for chunk in re.finditer(r"\S+", kernels.nfkc(text)):
+        ends = [m.end() for m in islice(_PY_UNIT.finditer(chunk.group()), left + 1)]
+        if len(ends) > left:
+            if left == most:  # the first chunk with units alone has too many: it is cut behind its last unit
+                kept.append(chunk.group()[: ends[most - 1]])
+            break
+        kept.append(chunk.group())
+        left -= len(ends)
+    return " ".join(kept)
+
+
 def truncate_by_units(text: Column, most: int) -> Column:
-    """The longest prefix of whole white-space chunks with at most `most` units; only a first chunk that alone has more is cut inside."""
-    if most <= 0:
-        return F.lit("")
-    chunks = F.split(normalize_text(text, compatibility=False), " ")
-    start = F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).alias("used"), F.lit(False).alias("done"))
-
-    def step(acc: Column, chunk: Column) -> Column:
-        n = F.size(mixed_units(chunk))
-        fits = acc["used"] + n <= most
-        first = acc["used"] == 0
-        cut = F.regexp_extract(chunk, f"^(?:[^\\p{{L}}\\p{{N}}{CJK}]*{UNIT}){{{most}}}", 0)
-        kept = F.when(fits, F.array_append(acc["kept"], chunk)).when(first, F.array_append(acc["kept"], cut)).otherwise(acc["kept"])
-        return F.struct(
-            F.when(acc["done"], acc["kept"]).otherwise(kept).alias("kept"),
-            F.when(acc["done"], acc["used"]).otherwise(F.when(fits, acc["used"] + n).otherwise(F.lit(most))).alias("used"),
-            (acc["done"] | ~fits).alias("done"),
-        )
-
-    return collapse(F.array_join(F.aggregate(chunks, start, step, lambda acc: acc["kept"]), " "))
+    """After NFKC, the longest prefix of whole white-space chunks with at most `most` units; only a first chunk that alone has more is cut inside."""
+
+    @F.arrow_udf(StringType())
+    def cut(texts: pa.Array) -> pa.Array:
+        return pa.array([_cut(t, most) for t in texts.to_pylist()], pa.string())
+
+    return cut(text) if most > 0 else F.lit("")
+
+
+def truncate_all(texts: Column, most: int) -> Column:
+    """truncate_by_units for every text of an array; a null in it stays."""
+
+    @F.arrow_udf(ArrayType(StringType()))
+    def cut(lists: pa.Array) -> pa.Array:
+        return pa.array([None if ts is None else [None if t is None else _cut(t, most) for t in ts] for ts in lists.to_pylist()], pa.list_(pa.string()))
+
+    return cut(texts) if most > 0 else F.transform(texts, lambda t: F.lit(""))
+
+
+_PY_PUNCTUATION = re.compile(f"[^\\w\\s{CJK}]")
+
+
+def normalize_all(texts: Column, keep_punctuation: bool = True) -> Column:
+    """normalize_text for every text of an array; a null becomes empty."""
+
+    def plain(t: str | None) -> str:
+        t = kernels.nfkc(t)
+        return " ".join((t if keep_punctuation else _PY_PUNCTUATION.sub(" ", t)).split())
+
+    @F.arrow_udf(ArrayType(StringType()))
+    def normalized(lists: pa.Array) -> pa.Array:
+        return pa.array([None if ts is None else [plain(t) for t in ts] for ts in lists.to_pylist()], pa.list_(pa.string()))
+
+    return normalized(texts)
+
+
+def fixed(value: Column, digits: int) -> Column:
+    """A double with so many decimals, rounded from its exact binary value, ties to even (format_string rounds its shortest decimal form half up)."""
+
+    @F.arrow_udf(StringType())
+    def written(values: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else f"{v:.{digits}f}" for v in values.to_pylist()], pa.string())
+
+    return written(value.cast("double"))
 
 
 def clean_text(text: Column) -> Column:
@@ -163,6 +228,25 @@ def divergence(a: Column, b: Column) -> Column:
     return F.when((F.length(a) > 0) & (F.length(b) > 0), 1.0 - ratio(F.size(F.array_intersect(x, y)), F.size(F.array_union(x, y)))).otherwise(F.lit(1.0))
 
 
+def word_scores(found: Column, truth: Column, tolerance: float = 0.8) -> Column:
+    """(accuracy, f1) of recognised words, whose texts are split at white space.
+
+    A word of the truth is met by a word of the other side at an edit distance
+    of at most `tolerance` of the longer one's length; accuracy is the share of
+    the truth's words that are met, precision that of the found words, f1 their
+    harmonic mean. Without words on a side its share is 0.
+    """
+    def words(t: Column) -> Column:
+        return F.filter(F.split(collapse(F.coalesce(t, F.lit(""))), " "), lambda w: w != "")
+
+    def share(these: Column, others: Column) -> Column:
+        met = F.filter(these, lambda w: F.exists(others, lambda o: F.levenshtein(w, o) <= tolerance * F.greatest(F.length(w), F.length(o))))
+        return ratio(F.size(met), F.size(these))
+
+    accuracy, precision = share(words(truth), words(found)), share(words(found), words(truth))
+    return F.struct(accuracy.alias("accuracy"), ratio(2 * accuracy * precision, accuracy + precision).alias("f1"))
+
+
 def character_error_rate(found: Column, truth: Column) -> Column:
     return ratio(F.levenshtein(found, truth), F.length(truth))
 
@@ -172,6 +256,12 @@ def stable_id(prefix: str, *parts: Column) -> Column:
     return F.concat(F.lit(prefix), F.left(F.sha1(F.concat_ws("\n", *parts).cast("binary")), F.lit(16)))
 
 
+def longer_of(a: Column, b: Column) -> Column:
+    """The longer of two texts, the first if they are as long; null counts as empty."""
+    a, b = F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))
+    return F.when(F.length(a) >= F.length(b), a).otherwise(b)
+
+
 def stable_id0(*parts: Column) -> Column:
     """16 hex digits of SHA-1 over the parts, each followed by a zero byte; null counts as the word None."""
     zero = F.unhex(F.lit("00"))

@@ -15,8 +15,8 @@ def read_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 def valid_texts(stream: DataFrame, rules: predicates.UnitRules = predicates.UnitRules(), delay: str = "1 hour") -> DataFrame:
     """Valid texts, copies inside the watermark dropped."""
-    rows = stream.withColumn("units", T.mixed_units(F.col("text"))).where(predicates.valid_long_text(F.col("text"), F.col("units"), rules)).drop("units")
-    return rows.withColumn("key", F.sha2(T.normalize_text(F.col("text"), False, False), 256)).withWatermark("at", delay).dropDuplicatesWithinWatermark(["key"])
+    rows = stream.where(predicates.valid_long_text(F.col("text"), rules))
+    return rows.withColumn("key", F.sha2(T.normalize_text(F.col("text"), False), 256)).withWatermark("at", delay).dropDuplicatesWithinWatermark(["key"])
 
 
 def counts(stream: DataFrame, window: str = "10 minutes", delay: str = "1 hour") -> DataFrame:
