@@ -1,73 +1,162 @@
 """Exact, lexical and semantic deduplication with a first-wins rule.
 
-`ord` is an explicit order column; partition order never decides.
+`ord` is an explicit order column without repeats; partition order never decides.
 """
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from glyphmill.functions import text as T
+from glyphmill.functions import kernels
 from glyphmill.operators.lineage import cut
 
 
 def exact_dedup(df: DataFrame, key: Column, ord: str) -> DataFrame:
-    """The first row of each key. Keys are shuffled as digests, so long texts do not travel twice."""
-    keyed = df.withColumn("_key", F.xxhash64(key)).withColumn("_text", F.sha2(key.cast("binary"), 256))
-    first = F.row_number().over(W.partitionBy("_key", "_text").orderBy(ord))
-    return keyed.withColumn("_n", first).where("_n = 1").drop("_key", "_text", "_n")
+    """The first row of each key. The smallest ord of each key's digest is found with partial aggregation, so a hot key is no task of its own."""
+    keyed = df.withColumn("_key", F.sha2(key.cast("binary"), 256))
+    first = keyed.groupBy("_key").agg(F.min(ord).alias("_first"))
+    first = first.select(F.col("_key").alias("_own"), "_first")
+    return keyed.join(first, (F.col("_key").eqNullSafe(F.col("_own"))) & (F.col(ord) == F.col("_first")), "left_semi").drop("_key")
 
 
-def gram_multiset(units: Column, n: int) -> Column:
-    """(gram, occurrence) tokens of a unit array, so multiset overlap is set overlap; fewer than n units are taken one by one."""
-    grams = F.when(
-        F.size(units) >= n,
-        F.transform(F.sequence(F.lit(1), F.greatest(F.size(units) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(units, i, n), "\x01")),
-    ).otherwise(units)
-    sorted_ = F.array_sort(grams)
-    start = F.struct(F.lit("").alias("last"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("out"))
+#: Counters by which n-grams are ordered: a number of fixed size, whatever the corpus.
+SKETCH_BITS = 20
 
-    def step(acc: Column, g: Column) -> Column:
-        n_ = F.when(g == acc["last"], acc["n"] + 1).otherwise(F.lit(1))
-        return F.struct(g.alias("last"), n_.alias("n"), F.array_append(acc["out"], F.concat(g, F.lit("\x02"), n_.cast("string"))).alias("out"))
 
-    return F.aggregate(sorted_, start, step, lambda acc: acc["out"])
+def gram_sets(df: DataFrame, text: str, ord: str, n: int = 4) -> DataFrame:
+    """(ord, size, high, low, tokens) of every row with a unit: its multiset of n-grams as sorted 64-bit tokens, and their digest."""
 
+    def build(batches):
+        for batch in batches:
+            at = 0
+            for texts in kernels.slices(batch.column("t"), normal=True):
+                tokens, first = kernels.gram_tokens(texts, n)
+                some = np.flatnonzero(np.diff(first))
+                raw = [tokens[first[i] : first[i + 1]].tobytes() for i in some]
+                digest = np.array([np.frombuffer(hashlib.blake2b(x, digest_size=16).digest(), np.int64) for x in raw], np.int64).reshape(-1, 2)
+                ords = batch.column("ord").slice(at, len(texts)).take(pa.array(some))
+                yield pa.RecordBatch.from_arrays([ords, pa.array(np.diff(first)[some]), pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.array(raw, pa.binary())], ["ord", "size", "high", "low", "tokens"])
+                at += len(texts)
 
-def gram_tokens(df: DataFrame, units: str, ord: str, n: int) -> DataFrame:
-    """(ord, size, token): the multiset tokens as 64-bit hashes, counted by one aggregation rather than folds over long arrays."""
-    grams = F.when(F.size(units) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.size(units) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(units, i, n), "\x01"))).otherwise(F.col(units))
-    # dealt out by row while rows are few: counting and ranking inside a row then need no further exchange
-    rows = df.select(F.col(ord).alias("ord"), F.col(units)).repartition("ord")
-    exploded = rows.select("ord", F.explode(grams).alias("gram"))
-    counted = exploded.groupBy("ord", "gram").agg(F.count(F.lit(1)).cast("int").alias("c"))
-    return counted.select("ord", F.explode(F.sequence(F.lit(1), "c")).alias("i"), "gram").select("ord", F.xxhash64("gram", "i").alias("token"))
+    kind = df.schema[ord].dataType.simpleString()
+    return df.select(F.col(ord).alias("ord"), F.col(text).alias("t")).mapInArrow(build, f"ord {kind}, size long, high long, low long, tokens binary")
 
 
-def lexical_edges(df: DataFrame, units: str, ord: str, n: int = 4, tenths: int = 9) -> DataFrame:
-    """Pairs (a, b), a < b, with 10 * intersection >= tenths * union of their n-gram multisets.
+def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, first) of a binary column of 64-bit numbers."""
+    _, at, raw = column.buffers()
+    at = np.frombuffer(at, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(raw, np.uint8)[at[0] : at[-1]].view(np.uint64), (at - at[0]) // 8
 
-    Rarest-first prefixes make the candidates: only tokens that more than one
-    row holds are listed, and of each row only as many as a partner cannot
-    miss. Candidates are verified by counting common tokens.
+
+def _slots(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def _counters(sets: DataFrame) -> np.ndarray:
+    """How many tokens fall on each counter: 2**SKETCH_BITS numbers, whatever the input's size."""
+
+    def count(batches):
+        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                total += np.bincount(_slots(_tokens(batch.column("tokens"))[0]), minlength=len(total))
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["slot", "n"])
+
+    found = sets.select("tokens").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(1 << SKETCH_BITS, np.int64)
+    total[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return total
+
+
+def _prefixes(sets: DataFrame, tenths: int) -> DataFrame:
+    """(token, ord, size): of each set the rarest tokens, as many as a partner must share one of.
+
+    Any one order of the tokens serves; here it is that of their counters, so
+    that frequent n-grams come last.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(_counters(sets))
+
+    def build(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tokens, first = _tokens(batch.column("tokens"))
+            size = np.diff(first)
+            owner = np.repeat(np.arange(len(size)), size)
+            order = np.lexsort((tokens, shared.value[_slots(tokens)], owner))
+            length = size - -(-tenths * size // 10) + 1
+            kept = order[np.arange(len(tokens)) - np.repeat(first[:-1], size) < np.repeat(length, size)]
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[kept].view(np.int64)), batch.column("ord").take(pa.array(owner[kept])), pa.array(size[owner[kept]])], ["token", "ord", "size"])
+
+    return sets.mapInArrow(build, f"token long, ord {sets.schema['ord'].dataType.simpleString()}, size long")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, tenths: int) -> DataFrame:
+    """(a, b, common, union) of the pairs with 10 * common >= tenths * union."""
+    left = sets.select(F.col("ord").alias("a"), F.col("tokens").alias("x"))
+    right = sets.select(F.col("ord").alias("b"), F.col("tokens").alias("y"))
+
+    def compare(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            (x, at), (y, to) = _tokens(batch.column("x")), _tokens(batch.column("y"))
+            pair = np.concatenate((np.repeat(np.arange(batch.num_rows), np.diff(at)), np.repeat(np.arange(batch.num_rows), np.diff(to))))
+            both = np.concatenate((x, y))
+            order = np.lexsort((both, pair))
+            both, pair = both[order], pair[order]
+            common = np.bincount(pair[1:][(both[1:] == both[:-1]) & (pair[1:] == pair[:-1])], minlength=batch.num_rows)
+            union = np.diff(at) + np.diff(to) - common
+            linked = pa.array(10 * common >= tenths * union)
+            yield pa.RecordBatch.from_arrays([c.filter(linked) for c in (batch.column("a"), batch.column("b"), pa.array(common), pa.array(union))], ["a", "b", "common", "union"])
+
+    kind = sets.schema["ord"].dataType.simpleString()
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, f"a {kind}, b {kind}, common long, union long")
+
+
+def _alike(tenths: int) -> Column:
+    return (10 * F.col("sa") >= tenths * F.col("sb")) & (10 * F.col("sb") >= tenths * F.col("sa"))
+
+
+def _list_pairs(postings: DataFrame, tenths: int) -> DataFrame:
+    """Pairs (a, b), a < b, that share a token of their prefixes and whose sizes allow a link."""
+    left = postings.select("token", F.col("ord").alias("a"), F.col("size").alias("sa"))
+    right = postings.select("token", F.col("ord").alias("b"), F.col("size").alias("sb"))
+    return left.join(right, "token").where((F.col("a") < F.col("b")) & _alike(tenths)).select("a", "b").distinct()
+
+
+def _shared(postings: DataFrame) -> DataFrame:
+    """Postings of tokens that more than one row has."""
+    often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
+    return cut(postings.join(often, "token", "left_semi"))
+
+
+def lexical_edges(df: DataFrame, text: str, ord: str, n: int = 4, tenths: int = 9) -> DataFrame:
+    """Pairs (a, b, common, union), a < b, with 10 * common >= tenths * union of their n-gram multisets.
+
+    All pairs are returned, those of copies too. Equal multisets are compared
+    as one, and their rows are paired at the end.
     """
-    tokens = gram_tokens(df, units, ord, n)
-    sizes = tokens.groupBy("ord").agg(F.count(F.lit(1)).alias("size"))
-    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    ranked = tokens.join(often, "token").join(sizes, "ord")
-    ranked = ranked.withColumn("place", F.row_number().over(W.partitionBy("ord").orderBy("df", "token")))
-    ranked = cut(ranked)
-    prefix = ranked.where((F.col("df") > 1) & (F.col("place") <= F.col("size") - F.ceil(F.col("size") * tenths / 10) + 1))
-    a, b = prefix.select("token", F.col("ord").alias("a"), F.col("size").alias("sa")), prefix.select("token", F.col("ord").alias("b"), F.col("size").alias("sb"))
-    pairs = a.join(b, "token").where((F.col("a") < F.col("b")) & (10 * F.col("sa") >= tenths * F.col("sb")) & (10 * F.col("sb") >= tenths * F.col("sa"))).select("a", "b", "sa", "sb").distinct()
-    live = ranked.where("df > 1").select("ord", "token")
-    common = pairs.join(live.withColumnRenamed("ord", "a"), "a").join(live.select(F.col("ord").alias("b"), "token"), ["b", "token"]).groupBy("a", "b", "sa", "sb").agg(F.count(F.lit(1)).alias("common"))
-    return common.where(10 * F.col("common") >= tenths * (F.col("sa") + F.col("sb") - F.col("common"))).select("a", "b", "common", (F.col("sa") + F.col("sb") - F.col("common")).alias("union"))
+    sets = cut(gram_sets(df, text, ord, n))
+    classes = cut(sets.groupBy("high", "low", "size").agg(F.min("ord").alias("rep")))
+    member = sets.select("ord", "high", "low", "size").join(classes, ["high", "low", "size"]).select("ord", "rep", "size")
+    member = cut(member)
+    nodes = sets.join(classes.select(F.col("rep").alias("ord")), "ord", "left_semi")
+    links = _verified(_list_pairs(_shared(_prefixes(nodes, tenths)), tenths), nodes, tenths)
+    one, two = member.select(F.col("ord").alias("m"), F.col("rep").alias("a"), F.col("size").alias("sm")), member.select(F.col("ord").alias("k"), F.col("rep").alias("b"))
+    across = links.join(one.drop("sm"), "a").join(two, "b").select(F.least("m", "k").alias("a"), F.greatest("m", "k").alias("b"), "common", "union")
+    inside = one.join(two, (F.col("a") == F.col("b")) & (F.col("m") < F.col("k"))).select(F.col("m").alias("a"), F.col("k").alias("b"), F.col("sm").alias("common"), F.col("sm").alias("union"))
+    return across.unionByName(inside)
 
 
 def spark_rows(like: DataFrame, ords: list) -> DataFrame:
@@ -114,47 +203,154 @@ def first_kept(nodes: DataFrame, edges: DataFrame, local: int = 1_000_000) -> Da
             return state.where("kept is null or kept").select("ord").join(dropped, "ord", "left_anti")
 
 
-def near_dedup(df: DataFrame, text: str, ord: str, n: int = 4, tenths: int = 9) -> DataFrame:
-    """Rows kept by the greedy first-wins rule on n-gram multisets; rows without a unit go."""
-    rows = df.withColumn("_units", T.mixed_units(T.normalize_text(F.col(text), compatibility=False))).where(F.size("_units") > 0)
-    edges = lexical_edges(rows, "_units", ord, n, tenths)
-    kept = first_kept(rows.select(F.col(ord).alias("ord")), edges)
-    return rows.drop("_units").join(kept.withColumnRenamed("ord", ord), ord, "left_semi")
+def near_dedup(df: DataFrame, text: str, ord: str, n: int = 4, tenths: int = 9, rounds: int = 3) -> DataFrame:
+    """Rows kept by the greedy first-wins rule on n-gram multisets; rows without a unit go.
+
+    Only the first of equal multisets can stay. Then, for a few rounds, every
+    row that comes first in all its lists of shared n-grams is kept: no row
+    before it can be near it. Each is compared with the other rows of its
+    lists, one comparison a list entry, and what it is near to leaves, so a
+    large group of near copies is gone after its first row. The pairs that
+    are left go through first_kept.
+    """
+    sets = cut(gram_sets(df, text, ord, n))
+    nodes = cut(sets.join(sets.groupBy("high", "low", "size").agg(F.min("ord").alias("ord")).select("ord"), "ord", "left_semi"))
+    postings = _shared(_prefixes(nodes, tenths))
+    gone = None
+    for _ in range(rounds):
+        heads = postings.groupBy("token").agg(F.min("ord").alias("head"))
+        places = postings.join(heads, "token")
+        first = cut(places.groupBy("ord").agg(F.min((F.col("ord") == F.col("head")).cast("int")).alias("all_first")).where("all_first = 1").select("ord"))
+        if first.isEmpty():
+            break
+        left = postings.join(first, "ord", "left_semi").select("token", F.col("ord").alias("a"), F.col("size").alias("sa"))
+        pairs = postings.select("token", F.col("ord").alias("b"), F.col("size").alias("sb")).join(left, "token").where((F.col("a") < F.col("b")) & _alike(tenths)).select("a", "b").distinct()
+        dropped = cut(_verified(pairs, nodes, tenths).select(F.col("b").alias("ord")).distinct())
+        gone = dropped if gone is None else gone.unionByName(dropped)
+        postings = _shared(postings.join(first.unionByName(dropped), "ord", "left_anti"))
+    edges = _verified(_list_pairs(postings, tenths), nodes, tenths)
+    ords = nodes.select("ord") if gone is None else nodes.select("ord").join(gone, "ord", "left_anti")
+    kept = first_kept(ords, edges)
+    return df.join(kept.withColumnRenamed("ord", ord), ord, "left_semi")
 
 
-def projection(dims: int, bits: int = 64, seed: int = 20260428) -> list[list[float]]:
-    """The seeded random directions of the semantic hash, rounded so that every engine reads the same numbers."""
-    return np.random.default_rng(seed).standard_normal((bits, dims)).round(6).tolist()
+def projection(dims: int, bits: int = 64, seed: int = 20260428) -> np.ndarray:
+    """The seeded random directions of the semantic hash, one a row, in single precision."""
+    return np.random.RandomState(seed).randn(bits, dims).astype(np.float32)
 
 
-def semantic_hash(vector: Column, matrix: list[list[float]]) -> Column:
-    """A 64-bit integer: bit i is set where the vector lies on the positive side of direction i."""
-    values = F.transform(vector, lambda x: x.cast("double"))
+def semantic_hash(vector: Column, matrix: np.ndarray) -> Column:
+    """A 64-bit integer: bit i is set where the vector lies on the positive side of direction i. Null for a null vector, one of another length or with a null."""
+    turned, weights = np.ascontiguousarray(matrix.astype(np.float64).T), np.uint64(1) << np.arange(len(matrix), dtype=np.uint64)
 
-    def dot(row: list[float]) -> Column:
-        return F.aggregate(F.zip_with(values, F.array(*[F.lit(v) for v in row]), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    @F.arrow_udf(LongType())
+    def coded(vectors: pa.Array) -> pa.Array:
+        out: list[int | None] = [None] * len(vectors)
+        lists = vectors.to_pylist()
+        good = [i for i, v in enumerate(lists) if v is not None and len(v) == len(turned) and None not in v]
+        if good:
+            bits = np.array([lists[i] for i in good], np.float64) @ turned > 0
+            for i, code in zip(good, (bits * weights).sum(axis=1, dtype=np.uint64).view(np.int64).tolist()):
+                out[i] = code
+        return pa.array(out, pa.int64())
 
-    out = F.lit(0).cast("long")
-    for i, row in enumerate(matrix):
-        bit = 1 << i if i < 63 else -(1 << 63)
-        out = out.bitwiseOR(F.when(dot(row) > 0, F.lit(bit).cast("long")).otherwise(F.lit(0).cast("long")))
-    return out
+    return coded(vector)
+
+
+def band_keys(distance: int, n: int, most: int = 128) -> tuple[list[int], list[tuple[int, ...]]]:
+    """(edges of the bands of 64 bits, the groups of bands that are keys).
+
+    With distance + g bands, two codes within the distance agree in g bands at
+    least, so every group of g bands is one key. g is the cheapest number for
+    n random codes, with at most `most` keys.
+    """
+    def cost(g: int) -> float:
+        keys, bits = math.comb(distance + g, g), 64 * g / (distance + g)
+        # a row to deal out costs some hundred comparisons, a bucket some thousand
+        return math.inf if keys > most else keys * (400 * n + n * n / 2**bits + 5000 * min(2**bits, n))
+
+    g = min(range(1, 64 - distance + 1), key=cost) if distance < 64 else 1
+    bands = min(64, distance + g)
+    return [64 * i // bands for i in range(bands + 1)], list(itertools.combinations(range(bands), g))
+
+
+def code_links(codes: DataFrame, distance: int = 6, block: int = 4096) -> DataFrame:
+    """(x, y, distance) of different codes, x < y as signed numbers, within a Hamming distance of each other.
+
+    Codes meet under keys of several bands. The codes of a key are compared in
+    blocks by Arrow functions, which return links only, each under the first
+    key that its codes share; a large key is cut into blocks that meet in
+    pairs, so no task holds it.
+    """
+    n = codes.count()
+    edges, keys = band_keys(distance, n)
+    width = [hi - lo for lo, hi in zip(edges, edges[1:])]
+
+    def key_values(code: np.ndarray) -> np.ndarray:
+        """One column a key."""
+        parts = [(code >> np.uint64(lo)) & np.uint64((1 << w) - 1) for lo, w in zip(edges, width)]
+        out = np.zeros((len(code), len(keys)), np.uint64)
+        for j, group in enumerate(keys):
+            for b in group:
+                out[:, j] = (out[:, j] << np.uint64(width[b])) | parts[b]
+        return out
+
+    def spread(batches):
+        for batch in batches:
+            code = batch.column("code").to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(len(keys), dtype=np.int32), len(code))), pa.array(key_values(code).reshape(-1).view(np.int64)), pa.array(np.repeat(code.view(np.int64), len(keys)))], ["k", "bits", "code"])
+
+    rows = cut(codes.mapInArrow(spread, "k int, bits long, code long"))
+    sizes = rows.groupBy("k", "bits").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    placed = rows.join(sizes, ["k", "bits"]).withColumn("own", F.pmod(F.xxhash64("code"), F.col("blocks")).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("k", "bits", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "code")
+    # many buckets, or pairs of blocks, make one group
+    groups = max(1, -(-n * len(keys) // 100_000))
+    met = met.withColumn("at", F.pmod(F.xxhash64("k", "bits", "i", "j"), F.lit(groups)).cast("int"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        k, bits, i, j, own, code = (table.column(c).to_numpy() for c in ("k", "bits", "i", "j", "own", "code"))
+        order = np.lexsort((own, j, i, bits, k))
+        k, bits, i, j, own, code = (x[order] for x in (k, bits, i, j, own, code))
+        heads = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (bits[1:] != bits[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))))
+        found = []
+        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(k)]):
+            key, one = int(k[a]), i[a] == j[a]
+            left, right = code[a:b][own[a:b] == i[a]], code[a:b][own[a:b] == j[a]]
+            for c in range(0, len(left), 256):
+                apart = np.bitwise_count((left[c : c + 256, None] ^ right[None, :]).view(np.uint64))
+                x, y = np.nonzero((apart <= distance) & (left[c : c + 256, None] < right[None, :])) if one else np.nonzero(apart <= distance)
+                if len(x):
+                    p, q, d = left[c + x], right[y], apart[x, y]
+                    once = ~(key_values(p.view(np.uint64))[:, :key] == key_values(q.view(np.uint64))[:, :key]).any(axis=1) if key else np.ones(len(p), bool)
+                    found.append((np.minimum(p, q)[once], np.maximum(p, q)[once], d[once].astype(np.int32)))
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+        return pa.table(dict(zip(("x", "y", "distance"), columns)))
+
+    return met.groupBy("at").applyInArrow(compare, "x long, y long, distance int")
 
 
 def hash_edges(df: DataFrame, code: str, ord: str, distance: int = 6) -> DataFrame:
-    """Pairs within a Hamming distance: with distance + 1 bands of bits, one band of such a pair is equal."""
-    bands = distance + 1
-    cuts = [64 * i // bands for i in range(bands + 1)]
-    keys = F.array(*[F.struct(F.lit(i).alias("band"), F.shiftrightunsigned(F.col(code), lo).bitwiseAND((1 << (hi - lo)) - 1 if hi - lo < 64 else -1).alias("bits")) for i, (lo, hi) in enumerate(zip(cuts, cuts[1:]))])
-    rows = df.select(F.col(ord).alias("ord"), F.col(code).alias("code"), F.explode(keys).alias("k")).select("ord", "code", "k.band", "k.bits")
-    a, b = rows.select("band", "bits", F.col("ord").alias("a"), F.col("code").alias("ca")), rows.select("band", "bits", F.col("ord").alias("b"), F.col("code").alias("cb"))
-    apart = F.bit_count(F.col("ca").bitwiseXOR(F.col("cb")))
-    return a.join(b, ["band", "bits"]).where((F.col("a") < F.col("b")) & (apart <= distance)).select("a", "b", apart.alias("distance")).distinct()
+    """All pairs (a, b, distance), a < b, of rows whose codes are within a Hamming distance; null codes have none."""
+    rows = cut(df.select(F.col(ord).alias("ord"), F.col(code).alias("code")).where("code is not null"))
+    links = code_links(rows.select("code").distinct(), distance)
+    one, two = rows.select(F.col("ord").alias("m"), F.col("code").alias("x")), rows.select(F.col("ord").alias("k"), F.col("code").alias("y"))
+    across = links.join(one, "x").join(two, "y").select(F.least("m", "k").alias("a"), F.greatest("m", "k").alias("b"), "distance")
+    inside = one.join(two, (F.col("x") == F.col("y")) & (F.col("m") < F.col("k"))).select(F.col("m").alias("a"), F.col("k").alias("b"), F.lit(0).alias("distance"))
+    return across.unionByName(inside)
 
 
 def semantic_dedup(df: DataFrame, vector: str, ord: str, dims: int, distance: int = 6) -> DataFrame:
-    coded = df.withColumn("_code", semantic_hash(F.col(vector), projection(dims)))
-    kept = first_kept(coded.select(F.col(ord).alias("ord")), hash_edges(coded, "_code", ord, distance))
+    """Rows kept by the greedy first-wins rule on the codes of their vectors; rows without a code stay.
+
+    Only the first row of equal codes can stay, so codes are linked, not rows.
+    """
+    coded = cut(df.select(F.col(ord).alias("ord"), semantic_hash(F.col(vector), projection(dims)).alias("code")))
+    first = cut(coded.where("code is not null").groupBy("code").agg(F.min("ord").alias("ord")))
+    links = code_links(first.select("code"), distance)
+    one, two = first.select(F.col("code").alias("x"), F.col("ord").alias("m")), first.select(F.col("code").alias("y"), F.col("ord").alias("k"))
+    edges = links.join(one, "x").join(two, "y").select(F.least("m", "k").alias("a"), F.greatest("m", "k").alias("b"))
+    kept = first_kept(first.select("ord"), edges).unionByName(coded.where("code is null").select("ord"))
     return df.join(kept.withColumnRenamed("ord", ord), ord, "left_semi")
 
 
@@ -163,7 +359,9 @@ def two_sided_dedup(df: DataFrame, run: str, ord: str, zh_code: str, en_code: st
 
     A side's code is recorded when it is looked up and found new, so a pair
     that fails on its second side has recorded its first: the order inside a
-    run matters and each run is walked through by one task.
+    run matters and each run is walked through by one task. A run is the pool
+    of one topic, some hundred pairs by the caller's budget; it is no operator
+    for a whole corpus.
     """
     def walk(pdf):
         pdf = pdf.sort_values(ord)
