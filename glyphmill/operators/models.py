@@ -26,8 +26,13 @@ CONTRACTS = {
     "detect": ("image_path",),
     "render": ("text", "width", "height", "font", "font_size"),
     "pdf_page": ("path", "page"),
-    "describe": ("image_path", "lang"),
+    "pdf_images": ("path", "dpi"),
+    "slides_to_pdf": ("path", "seconds"),
+    "fetch": ("url", "seconds"),
+    "font_file": ("file", "url"),
+    "describe": ("image_path", "prompt"),
     "quality": ("image_path",),
+    "page_image": ("boxes", "font"),
 }
 
 
@@ -69,3 +74,40 @@ def call_once(df: DataFrame, kind: str, model: Model = stub, result: str = "answ
     if cache is not None:
         answers = answers.unionByName(cache.select("_request", result))
     return keyed.join(answers, "_request", "left").drop("_request")
+
+
+def fetched(df: DataFrame, kind: str, model: Model = stub, result: str = "answer", cache: DataFrame | None = None) -> DataFrame:
+    """call_once without the rows whose request failed or came back empty: for fetches, conversions and rasters that a row cannot do without."""
+    return call_once(df, kind, model, result, cache).where(F.coalesce(F.col(result), F.lit("")) != "")
+
+
+def missing_files(registry: DataFrame, files: DataFrame, force: bool = False) -> DataFrame:
+    """Registry entries (file, url) still to be fetched: those whose file is not listed, or all if forced."""
+    return registry if force else registry.join(files.select("file").distinct(), "file", "left_anti")
+
+
+def _answered(df: DataFrame, column: str, kind: str, model: Model, result: str, **constants: str) -> DataFrame:
+    """df with the trimmed answers to a request made of one column and constants, asked once a distinct value."""
+    asked = CONTRACTS[kind][0]
+    keys = df.select(F.col(column).alias(asked)).where(F.col(asked).isNotNull()).distinct()
+    answers = call_model(keys.withColumns({k: F.lit(v) for k, v in constants.items()}), kind, model, result)
+    answers = answers.select(F.sha2(F.col(asked), 256).alias("_asked"), F.trim(result).alias(result))
+    return df.withColumn("_own", F.sha2(F.col(column), 256)).join(answers, F.col("_own") == F.col("_asked"), "left").drop("_own", "_asked")
+
+
+def translated(df: DataFrame, text: str, direction: str, result: str, model: Model = stub) -> DataFrame:
+    """A text's translation, trimmed; null where the text is null or the service failed."""
+    return _answered(df, text, "translate", model, result, direction=direction)
+
+
+def back_translated(df: DataFrame, text: str, result: str = "back", model: Model = stub) -> DataFrame:
+    """An English text translated to Chinese and back, for comparison with itself."""
+    there = translated(df, text, "en2zh", "_there", model)
+    return translated(there, "_there", "zh2en", result, model).drop("_there")
+
+
+def described(df: DataFrame, image: str, requests: dict[str, str], model: Model = stub) -> DataFrame:
+    """One answer column for each request about an image; rows with an empty or missing answer go."""
+    for result, prompt in requests.items():
+        df = _answered(df, image, "describe", model, result, prompt=prompt).where(F.coalesce(F.col(result), F.lit("")) != "")
+    return df

@@ -34,6 +34,20 @@ def rejoin(zh: DataFrame, en: DataFrame) -> DataFrame:
 FONT_STYLES = (("黑体", "sans", "modern_sans"), ("宋体", "serif", "literary_serif"), ("楷体", "script", "calligraphy"), ("行书", "script", "calligraphy"), ("行楷", "script", "calligraphy"), ("艺术体", "display", "display"))
 
 
+def spec_of(registry: list[dict], name: str) -> dict:
+    """The registry entry of a name; an unknown one is an error."""
+    for entry in registry:
+        if entry.get("name") == name:
+            return entry
+    raise KeyError(f"no registry entry is named {name}")
+
+
+def registry_table(spark, registry: list[dict]) -> DataFrame:
+    """(name, type, field, weight) of a corpus registry: one row an entry, so small enough to broadcast. A missing weight is 1."""
+    rows = [(e["name"], e.get("type"), e.get("field"), float(e.get("sampling_weight", 1.0))) for e in registry]
+    return spark.createDataFrame(rows, "name string, type string, field string, weight double")
+
+
 def installed(registry: DataFrame, files: DataFrame) -> DataFrame:
     """Registry entries whose file exists."""
     return registry.join(files.select("file").distinct(), "file", "left_semi")
@@ -67,6 +81,19 @@ def fill_side(existing: Column, translated: Column) -> Column:
     return F.coalesce(F.nullif(existing, F.lit("")), translated)
 
 
+def answered_pairs(answer: Column) -> Column:
+    """The (zh, en) pairs of a JSON answer that may be fenced, those that have both sides; none of an answer that is no list."""
+    bare = F.regexp_replace(F.regexp_replace(answer, "^[\\s`]+|[\\s`]+$", ""), "^json", "")
+    found = F.coalesce(F.try_variant_get(F.try_parse_json(bare), "$", "array<struct<zh:string,en:string>>"), F.array().cast("array<struct<zh:string,en:string>>"))
+    trimmed = F.transform(found, lambda p: F.struct(T.collapse_ends(p["zh"]).alias("zh"), T.collapse_ends(p["en"]).alias("en")))
+    return F.filter(trimmed, lambda p: (F.coalesce(p["zh"], F.lit("")) != "") & (F.coalesce(p["en"], F.lit("")) != ""))
+
+
+def text_pool(answer: Column, provider: Column) -> Column:
+    """The texts of a numbered answer; none for topics whose texts are taken from images."""
+    return F.when(F.coalesce(provider, F.lit("")) == "vlm", F.array().cast("array<string>")).otherwise(T.split_numbered(answer))
+
+
 def source_language(text: Column, least: float = 0.4) -> Column:
     return F.when(T.chinese_ratio(text) >= least, "zh").otherwise("en")
 
@@ -77,9 +104,9 @@ def parallelism(first_cover: Column, second_cover: Column) -> Column:
 
 
 def zip_sections(texts: Column, images: Column) -> Column:
-    """Texts and images paired by position up to the longer list; positions without either are dropped."""
+    """Texts and images paired by position up to the longer list; a position that neither list has gives no section, an empty text does."""
     zipped = F.transform(F.sequence(F.lit(0), F.greatest(F.size(texts), F.size(images), F.lit(1)) - 1), lambda i: F.struct(F.get(texts, i).alias("text"), F.get(images, i).alias("image")))
-    return F.filter(zipped, lambda s: (F.coalesce(s["text"], F.lit("")) != "") | (F.coalesce(s["image"], F.lit("")) != ""))
+    return F.filter(zipped, lambda s: s["text"].isNotNull() | s["image"].isNotNull())
 
 
 def replace_texts(boxes: Column, texts: Column, chars: int = 200) -> Column:

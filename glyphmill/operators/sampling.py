@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from glyphmill.functions.bins import EN_BINS
+from glyphmill.functions.bins import EN_BINS, decide_pair
 from glyphmill.functions.prompts import seeded_unit
+from glyphmill.operators.lineage import running
 
 
 def seeded_key(seed: int, *columns: str):
@@ -34,12 +35,14 @@ def stratified_bins(df: DataFrame, bin: str, id: str, total: int, seed: int, bin
 
 
 def stratified_topics(df: DataFrame, topic: str, id: str, total: int, seed: int) -> DataFrame:
-    """max(1, total div topics) rows of each topic, then `total` of these in seeded order; a missing topic is one stratum."""
+    """max(1, total div topics) rows of each topic, then `total` of these in seeded order; a missing topic is one stratum.
+
+    The share is a literal, so that ranks beyond it are left out before the exchange.
+    """
     keyed = df.withColumn("_topic", F.coalesce(F.col(topic).cast("string"), F.lit("\x00")))
-    strata = keyed.select(F.count_distinct("_topic").alias("_k"))
-    place = F.row_number().over(W.partitionBy("_topic").orderBy(seeded_key(seed, id), id))
-    picked = keyed.withColumn("_place", place).join(F.broadcast(strata)).where(F.col("_place") <= F.greatest(F.lit(1), F.floor(F.lit(total) / F.col("_k"))))
-    return picked.orderBy(seeded_key(seed + 1, id), id).limit(total).drop("_topic", "_place", "_k")
+    strata = keyed.select(F.count_distinct("_topic")).first()[0]
+    picked = per_stratum(keyed, "_topic", id, max(1, total // max(1, strata)), seed)
+    return picked.orderBy(seeded_key(seed + 1, id), id).limit(total).drop("_topic")
 
 
 def first_n(df: DataFrame, ord: str, n: int) -> DataFrame:
@@ -57,15 +60,21 @@ def weighted_mix(df: DataFrame, corpus: str, id: str, weights: dict[str, float],
 
     Weights are relative; corpora without one are left out. A corpus that ends
     early leaves its turns to the others. `total` keeps the first arrivals.
+    Times are summed up in ranges, so a corpus is no single task.
     """
     table = F.create_map(*[F.lit(x) for name, w in weights.items() for x in (name, float(w))])
     rows = df.withColumn("_w", table[F.col(corpus)]).where("_w > 0")
     rows = rows.withColumn("_gap", -F.log(1.0 - seeded_unit(seed, F.col(id))) / F.col("_w"))
-    inside = W.partitionBy(corpus).orderBy(seeded_key(seed + 1, id), id)
-    rows = rows.withColumn("arrival", F.sum("_gap").over(inside.rowsBetween(W.unboundedPreceding, 0))).drop("_w", "_gap")
+    rows = running(rows.withColumn("_key", seeded_key(seed + 1, id)), [corpus], ["_key", id], F.col("_gap"), "arrival").drop("_w", "_gap", "_key")
     return rows.orderBy("arrival", id).limit(total) if total else rows
 
 
+def mixed_pairs(df: DataFrame, corpus: str, id: str, en: str, zh: str, weights: dict[str, float], seed: int, total: int | None = None) -> DataFrame:
+    """weighted_mix of the pairs whose lengths pass at their natural bin; pairs that fail take no turn."""
+    fitting = df.where(decide_pair(F.col(en), F.col(zh))["drop_reason"].isNull())
+    return weighted_mix(fitting, corpus, id, weights, seed, total)
+
+
 def seeded_attributes(df: DataFrame, id: str, seed: int, fonts: list[str], sizes=(24, 56), rotations=(-2, -1, 0, 1, 2), alignments=("left", "center", "right")) -> DataFrame:
     """Font, size, colour, rotation and alignment for each row, one independent draw each."""
     def draw(k: int):
@@ -87,18 +96,46 @@ def preferred_family(df: DataFrame, id: str, seed: int, family: str, share: floa
     return df.withColumn("family", F.when(seeded_unit(seed, F.col(id)) < share, F.lit(family)))
 
 
-#: Evaluation plan: key -> (strategy, rows). The subset that a key reads is the caller's.
-EVAL_PLAN = {"clean": ("bin", 1000), "styled": ("topic", 1000), "scenes": ("topic", 1000), "blend": ("topic", 1000)}
+# Evaluation plan, key -> (source subset, strategy, rows), for single samples and for pairs.
+EVAL_PLAN = {
+    "clean": ("CleanTextSynth-CN", "bin", 1000),
+    "styled": ("StyledTextSynth-CN", "topic", 1000),
+    "scenes": ("TextScenesHQ-CN", "topic", 1000),
+    "blend": ("TextVisionBlend-CN", "topic", 1000),
+}
+PAIR_PLAN = {key: (subset.replace("-CN", "-Parallel"), strategy, n) for key, (subset, strategy, n) in EVAL_PLAN.items()}
 
 
-def eval_split(inputs: dict[str, DataFrame], subsets: dict[str, str], seed: int, plan=EVAL_PLAN, split: str = "eval", subset: str = "source_subset", id: str = "sample_id", bin: str = "bin", topic: str = "topic") -> DataFrame:
-    """The union of each planned input's stratified sample, marked for review; unknown keys are skipped."""
+def eval_split(inputs: dict[str, DataFrame], seed: int, plan=EVAL_PLAN, split: str = "eval", subset: str = "source_subset", id: str = "sample_id", bin: str = "bin", topic: str = "topic") -> DataFrame:
+    """The union of each planned input's stratified sample of its subset's rows, marked for review; unknown keys are skipped."""
     out = None
     for key, df in inputs.items():
         if key not in plan:
             continue
-        strategy, n = plan[key]
-        rows = df.where(F.col(subset) == subsets[key])
+        name, strategy, n = plan[key]
+        rows = df.where(F.col(subset) == name)
         rows = stratified_bins(rows, bin, id, n, seed) if strategy == "bin" else stratified_topics(rows, topic, id, n, seed)
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"no input is one of {', '.join(plan)}")
     return out.withColumns({"eval_split": F.lit(split), "needs_human_review": F.lit(True)})
+
+
+def pair_eval_split(inputs: dict[str, DataFrame], seed: int, plan=PAIR_PLAN, split: str = "eval") -> DataFrame:
+    """eval_split of pairs (pair_id, source_subset, alignment, shared, zh, en): strata are the anchor's bin, a string, and the shared topic or its name."""
+    def strata(df: DataFrame) -> DataFrame:
+        has = df.schema["shared"].dataType.fieldNames() if "shared" in df.columns else []
+        name = F.lit(None).cast("string")
+        if "topic" in has:
+            kind = df.schema["shared"].dataType["topic"].dataType
+            name = F.col("shared.topic.name") if hasattr(kind, "fieldNames") else F.col("shared.topic").cast("string")
+        return df.withColumns({"_bin": F.col("alignment.bin_anchor").try_cast("int"), "_topic": name})
+
+    keyed = {key: strata(df) for key, df in inputs.items() if key in plan}
+    return eval_split(keyed, seed, plan, split, id="pair_id", bin="_bin", topic="_topic").drop("_bin", "_topic")
+
+
+def pair_review(picked: DataFrame) -> DataFrame:
+    """What a reviewer sees of picked pairs: images, texts and prompts of both sides."""
+    sides = [F.col(f"{lang}.{name}").alias(f"{short}_{lang}") for short, name in (("image", "image_path"), ("rendered", "rendered_text"), ("prompt", "prompt")) for lang in ("zh", "en")]
+    return picked.select("pair_id", F.col("source_subset").alias("subset"), *sides)
