@@ -10,54 +10,94 @@ from glyphmill.functions.predicates import UnitRules
 from glyphmill.operators import sampling
 from glyphmill.plans import pipelines
 from glyphmill.sources import readers, writers
-from glyphmill.sources.config import load_config
+from glyphmill.sources.config import load_config, nested
 
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="glyphmill")
     jobs = top.add_subparsers(dest="job", required=True)
-    for name in ("clean-text", "filter-ocr", "pack", "pack-pairs"):
-        job = jobs.add_parser(name)
-        job.add_argument("--input", required=True)
-        job.add_argument("--output", required=True)
-        job.add_argument("--config")
-        job.add_argument("--subset", default="ocr")
-        job.add_argument("--limit", type=int)
-        job.add_argument("--seed", type=int, default=20260428)
-        job.add_argument("--max-units", type=int, default=80)
-        job.add_argument("--format", default="jsonl")
-    pages = jobs.add_parser("pages", help="page texts of spans that were extracted before (JSONL)")
-    pages.add_argument("--input", required=True)
-    pages.add_argument("--output", required=True)
-    pages.add_argument("--max-pages", type=int)
-    split = jobs.add_parser("eval-split", help="stratified evaluation split of sample files")
-    for key in sampling.EVAL_PLAN:
-        split.add_argument(f"--{key}", nargs=2, metavar=("SUBSET", "PATH"))
-    split.add_argument("--output", required=True)
-    split.add_argument("--seed", type=int, default=20260428)
+
+    def job(name: str, about: str) -> argparse.ArgumentParser:
+        one = jobs.add_parser(name, help=about)
+        one.add_argument("--input", required=True)
+        one.add_argument("--output", required=True)
+        one.add_argument("--config")
+        return one
+
+    clean = job("clean-text", "texts cut to units, with prompts and attributes for a renderer")
+    clean.add_argument("--max-units", type=int, default=80)
+    pages = job("interleave", "pages of interleaved documents")
+    pages.add_argument("--width", type=int, default=1024)
+    pages.add_argument("--height", type=int, default=1024)
+    for one in (clean, pages):
+        one.add_argument("--limit", type=int)
+        one.add_argument("--seed", type=int, default=0)
+    ocr = job("filter-ocr", "valid samples of OCR records, without copies")
+    ocr.add_argument("--subset", default="LongWordsSubsetZH")
+    ocr.add_argument("--keep-copies", action="store_true")
+    spans = job("pages", "page texts of spans that were extracted before (JSONL)")
+    spans.add_argument("--max-pages", type=int)
+    for name in ("pack", "pack-pairs"):
+        job(name, "one dataset of samples").add_argument("--format", default="jsonl", choices=("jsonl", "parquet", "webdataset"))
+    for name in ("eval-split", "eval-pairs"):
+        split = jobs.add_parser(name, help="stratified evaluation split of sample files")
+        for key in sampling.EVAL_PLAN:
+            split.add_argument(f"--{key}", nargs="+", metavar="PATH")
+        split.add_argument("--subset", help="source subset of all inputs, in place of the plan's names")
+        split.add_argument("--output", required=True)
+        split.add_argument("--seed", type=int, default=20260428)
     return top
 
 
-def main(argv: list[str] | None = None) -> None:
+def _evaluate(spark: SparkSession, args: argparse.Namespace) -> int:
+    given = {key: getattr(args, key) for key in sampling.EVAL_PLAN if getattr(args, key)}
+    if not given:
+        raise SystemExit("an evaluation split needs at least one of: " + ", ".join(f"--{key}" for key in sampling.EVAL_PLAN))
+    pairs = args.job == "eval-pairs"
+    plan = sampling.PAIR_PLAN if pairs else sampling.EVAL_PLAN
+    plan = {key: (args.subset or name, strategy, n) for key, (name, strategy, n) in plan.items()}
+
+    def read(paths: list[str]):
+        out = None
+        for path in paths:
+            rows = spark.read.json(path) if pairs else readers.samples(spark, path)
+            out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+        return out
+
+    inputs = {key: read(paths) for key, paths in given.items()}
+    if not pairs:
+        return writers.write_jsonl(sampling.eval_split(inputs, args.seed, plan).drop("line"), args.output)
+    picked = sampling.pair_eval_split(inputs, args.seed, plan)
+    writers.write_jsonl(sampling.pair_review(picked), f"{args.output}/review")
+    return writers.write_pairs(picked, args.output)
+
+
+def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"glyphmill-{args.job}").getOrCreate()
-    config = load_config(args.config) if getattr(args, "config", None) else {}
-    if args.job == "clean-text":
-        writers.write_jsonl(pipelines.clean_texts(readers.texts(spark, args.input), args.seed, args.max_units, args.limit), args.output)
+    config = load_config(getattr(args, "config", None))
+    if args.job in ("eval-split", "eval-pairs"):
+        n = _evaluate(spark, args)
+    elif args.job == "clean-text":
+        n = writers.write_jsonl(pipelines.clean_texts(readers.texts(spark, args.input), args.seed, args.max_units, args.limit).drop("line"), args.output)
+    elif args.job == "interleave":
+        rows = readers.documents(spark, args.input)
+        rows = sampling.first_n(rows, "line", args.limit) if args.limit else rows
+        margin, units = nested(config, "interleave.margin", 48), nested(config, "interleave.max_text_units_per_box", 80)
+        n = writers.write_jsonl(pipelines.interleaved_pages(rows, args.seed, args.width, args.height, margin, units), args.output)
     elif args.job == "filter-ocr":
+        names = {"min_units": "min_units", "min_unique_ratio": "min_unique_ratio", "max_consecutive_repeat": "max_run", "min_cjk_ratio": "min_cjk_ratio"}
+        rules = UnitRules(**{ours: config["filter"][theirs] for theirs, ours in names.items() if theirs in nested(config, "filter", {})})
         records = readers.ocr_records(spark, args.input).drop("raw")
-        writers.write_jsonl(pipelines.filter_ocr(records, args.subset, UnitRules(**config.get("filter", {}))), args.output)
+        n = writers.write_jsonl(pipelines.filter_ocr(records, args.subset, rules, deduplicate=not args.keep_copies).drop("line"), args.output)
     elif args.job == "pages":
         spans = "path string, page int, x0 double, y0 double, x1 double, y1 double, text string, font string, size double, color int"
-        writers.write_jsonl(readers.page_texts(spark.read.schema(spans).json(args.input), most_pages=args.max_pages), args.output)
-    elif args.job == "eval-split":
-        given = {key: getattr(args, key) for key in sampling.EVAL_PLAN if getattr(args, key)}
-        if not given:
-            raise SystemExit("eval-split needs at least one of: " + ", ".join(f"--{key}" for key in sampling.EVAL_PLAN))
-        inputs = {key: readers.samples(spark, path) for key, (_, path) in given.items()}
-        writers.write_jsonl(sampling.eval_split(inputs, {key: name for key, (name, _) in given.items()}, args.seed).drop("line"), args.output)
+        n = writers.write_jsonl(readers.page_texts(spark.read.schema(spans).json(args.input), most_pages=args.max_pages), args.output)
     else:
-        writers.pack(spark.read.json(args.input), args.output, args.format, "pair_id" if args.job == "pack-pairs" else "sample_id")
+        rows = spark.read.json(args.input)
+        n = writers.pack_pairs(rows, args.output, args.format) if args.job == "pack-pairs" else writers.pack(rows, args.output, args.format)
+    print(f"{n} rows written to {args.output}")
+    return n
 
 
 if __name__ == "__main__":

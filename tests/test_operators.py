@@ -1,5 +1,7 @@
 import json
+import os
 import random
+import tarfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,17 +52,35 @@ def test_lexical_edges_by_brute_force(spark):
     texts = [" ".join(base[: 60 - i % 3] + ["x"] * (i % 4)) for i in range(12)] + ["one two", "", "one two"]
     sets = [Counter(" ".join(t.split()[i : i + 4]) for i in range(len(t.split()) - 3)) if len(t.split()) >= 4 else Counter(t.split()) for t in texts]
     expected = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if sets[i] and sets[j] and 10 * sum((sets[i] & sets[j]).values()) >= 9 * sum((sets[i] | sets[j]).values())}
-    rows = spark.createDataFrame(list(enumerate(texts)), "ord long, text string").withColumn("u", T.mixed_units(F.col("text")))
-    assert {(r.a, r.b) for r in dedup.lexical_edges(rows, "u", "ord").collect()} == expected
+    rows = spark.createDataFrame(list(enumerate(texts)), "ord long, text string")
+    assert {(r.a, r.b) for r in dedup.lexical_edges(rows, "text", "ord").collect()} == expected
+    kept = []
+    for i, grams in enumerate(sets):
+        if grams and not any((k, i) in expected for k in kept):
+            kept.append(i)
+    for rounds in (0, 1, 3):
+        assert sorted(r.ord for r in dedup.near_dedup(rows, "text", "ord", rounds=rounds).collect()) == kept
+
+
+def test_near_dedup_follows_a_chain(spark):
+    """Each text is near to the next only: every second one stays."""
+    words = [f"w{i}" for i in range(190)]
+    rows = spark.createDataFrame([(i, " ".join(words[4 * i : 4 * i + 100])) for i in range(20)], "ord long, text string")
+    assert sorted(r.ord for r in dedup.near_dedup(rows, "text", "ord").collect()) == list(range(0, 20, 2))
 
 
 def test_hash_edges_and_two_sides(spark):
     rnd = random.Random(7)
     codes = [rnd.getrandbits(64) - 2**63 for _ in range(30)]
-    codes += [c ^ (1 << rnd.randrange(62)) ^ (1 << rnd.randrange(62)) for c in codes[:10]]
+    codes += [c ^ (1 << rnd.randrange(62)) ^ (1 << rnd.randrange(62)) for c in codes[:9]] + [codes[0]]
     expected = {(i, j) for i in range(40) for j in range(i + 1, 40) if ((codes[i] ^ codes[j]) & (2**64 - 1)).bit_count() <= 6}
     rows = spark.createDataFrame(list(enumerate(codes)), "ord long, code long")
     assert {(r.a, r.b) for r in dedup.hash_edges(rows, "code", "ord").collect()} == expected
+    distinct = rows.select("code").distinct()
+    assert dedup.code_links(distinct, block=4).count() == dedup.code_links(distinct).count() == len({frozenset((codes[a], codes[b])) for a, b in expected if codes[a] != codes[b]})
+    for distance, n in ((0, 10), (6, 100), (6, 10**9), (14, 10**4)):
+        edges, keys = dedup.band_keys(distance, n)
+        assert edges[0] == 0 and edges[-1] == 64 and len(keys) <= 128
     # the second row fails on its en side but has recorded its zh side
     sides = spark.createDataFrame([(0, 0, 0, 0), (0, 1, 1023 << 20, 0), (0, 2, 1023 << 20, 1023)], "run int, ord long, zh long, en long")
     assert [r.ord for r in dedup.two_sided_dedup(sides, "run", "ord", "zh", "en").collect()] == [0]
@@ -72,13 +92,18 @@ def test_layouts(spark):
     assert [(b.x0, b.reading_order) for b in rows.select(layout.order_by_corner(F.col("b")).alias("b")).first().b] == [(0.0, 0), (1.0, 1), (5.0, 2)]
     flow = spark.createDataFrame([([("text", "a", 0.0, 0.0), ("image", "", 2000.0, 1000.0), ("text", "b", 0.0, 0.0)],)], "s array<struct<kind:string,text:string,w:double,h:double>>")
     boxes = flow.select(layout.page_flow(F.col("s"), 1000, 1000).alias("b")).first().b
-    assert [round(b.h) for b in boxes] == [220, 350, 220] and boxes[1].y == 288.0
+    assert [round(b.h) for b in boxes] == [220, 350, 220] and boxes[1].y == 288.0 and [b.reading_order for b in boxes] == [0, 1, 2]
+    lines = spark.createDataFrame([("one two three\n\nfour", "江河湖海"), ("abcdefgh ij", None)], "a string, b string")
+    wrapped = lines.select(layout.wrap_lines(F.col("a"), 8, by_words=True).alias("w"), layout.wrap_lines(F.col("b"), 3).alias("c")).collect()
+    assert [(r.w, r.c) for r in wrapped] == [(["one two", "three", "", "four"], ["江河湖", "海"]), (["abcdefgh", "ij"], None)]
     assert spark.range(1).select(layout.fit_font_size(F.lit(10), 100.0, 30.0).alias("s")).first().s == 13
 
 
 def test_prompts(spark):
-    got = spark.range(1).select(prompts.fill_template("{scene}:{text}", F.lit(" {text} "), F.lit("x")).alias("a"), prompts.fill_template("{z}", F.lit("s"), F.lit("t")).alias("b")).first()
-    assert (got.a, got.b) == ("{text}:x", "s t")
+    got = spark.range(1).select(prompts.fill_template("{scene_caption}:{rendered_text}", F.lit(" {rendered_text} "), F.lit("x")).alias("a"), prompts.fill_template("{z}", F.lit("s"), F.lit("t")).alias("b")).first()
+    assert (got.a, got.b) == ("{rendered_text}:x", "s t")
+    with pytest.raises(KeyError):
+        prompts.fill_request("scene_from_seed", topic=F.lit("x"))
 
 
 def test_samples(spark):
@@ -93,7 +118,7 @@ def test_samples(spark):
 
 def test_pairs(spark):
     zipped = spark.range(1).select(pairs.zip_sections(F.array(F.lit("t"), F.lit("")), F.array(F.lit("i"))).alias("z")).first().z
-    assert [(z.text, z.image) for z in zipped] == [("t", "i")]
+    assert [(z.text, z.image) for z in zipped] == [("t", "i"), ("", None)]
     boxes = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit("old").alias("payload")) for k in ("text", "image", "text")])
     got = spark.range(1).select(pairs.replace_texts(boxes, F.array(F.lit("new"))).alias("b")).first().b
     assert [b.payload for b in got] == ["new", "old", ""]
@@ -113,17 +138,23 @@ def test_models_are_asked_once(spark):
 
 def test_filter_ocr_end_to_end(spark, tmp_path):
     lines = [
-        {"image": "a.png", "ocr": [{"text": "智能家居方案展示", "box": [0, 20, 10, 30]}, {"transcription": "新品发布会将于周五举行", "points": [[0, 0], [10, 0], [10, 10], [0, 10]]}], "caption": "展会"},
-        {"path": "b.png", "text_blocks": [{"label": "新品发布会将于周五举行", "bbox": [0, 0, 9, 9]}, {"text": "智能家居方案展示", "bbox": [0, 50, 9, 60]}]},
+        {"image": "a.png", "ocr": [{"text": "林间小路铺满落叶", "box": [0, 20, 10, 30]}, {"transcription": "远处传来一阵阵钟声响", "points": [[0, 0], [10, 0], [10, 10], [0, 10]]}], "caption": "展会"},
+        {"path": "b.png", "text_blocks": [{"label": "远处传来一阵阵钟声响", "bbox": [0, 0, 9, 9]}, {"text": "林间小路铺满落叶", "bbox": [0, 50, 9, 60]}]},
         {"image": "c.png", "annotations": [{"text": "短"}]},
+        {"image": "d.png", "ocr": [{"text": "北方的冬天ＰＣ２０３０"}, {"label": "湖面结了厚厚的冰"}], "source": "x"},
+        {"image": "e.png", "ocr": [{"text": "北方的冬天PC2030"}, {"label": "湖面结了厚厚的冰"}]},
     ]
     path = tmp_path / "in.jsonl"
     path.write_text("\n\n".join(json.dumps(x, ensure_ascii=False) for x in lines), encoding="utf-8")
     records = readers.ocr_records(spark, str(path)).drop("raw")
     got = pipelines.filter_ocr(records, "book").collect()
-    assert [r.image_path for r in got] == ["a.png"]
-    assert got[0].text == "新品发布会将于周五举行\n智能家居方案展示"
-    assert got[0].prompt.startswith("展会。")
+    got = {r.image_path: r for r in got}
+    assert sorted(got) == ["a.png", "d.png"]  # e.png is d.png after NFKC
+    assert got["a.png"].text == "远处传来一阵阵钟声响 林间小路铺满落叶"
+    assert got["a.png"].prompt == "展会。图中包含以下中文文字：远处传来一阵阵钟声响 林间小路铺满落叶"
+    assert got["d.png"].prompt == "生成一张包含清晰中文长文本的真实场景图片，文字内容包括：北方的冬天PC2030 湖面结了厚厚的冰"
+    assert json.loads(got["d.png"].metadata) == {"image": "d.png", "source": "x"}
+    assert got["a.png"].sample_id.startswith("real_zh_") and len(pipelines.filter_ocr(records, "book", deduplicate=False).collect()) == 4
 
 
 def test_readers_and_writers(spark, tmp_path):
@@ -132,15 +163,47 @@ def test_readers_and_writers(spark, tmp_path):
     (tmp_path / "d.json").write_text('{"data": [{"x": 1}, {"x": 2}]}')
     assert readers.json_documents(spark, str(tmp_path / "d.json")).count() == 2
     rows = spark.range(25).withColumn("v", F.lit("字"))
-    writers.write_shards(rows, str(tmp_path / "s"), "id", 10)
-    back = spark.read.json(str(tmp_path / "s"))
-    assert {r.shard: r["count"] for r in back.groupBy("shard").count().collect()} == {0: 10, 1: 10, 2: 5}
-    assert writers.archives(rows, "id").count() >= 1
+    assert writers.write_shards(rows, str(tmp_path / "s"), "id", 10) == 25
+    files = sorted(p for p in os.listdir(tmp_path / "s") if not p.startswith("."))
+    assert files == ["part-00000.jsonl", "part-00001.jsonl", "part-00002.jsonl"]
+    assert [json.loads(x)["id"] for x in (tmp_path / "s" / files[1]).read_text(encoding="utf-8").splitlines()] == list(range(10, 20))
+    assert writers.write_shards(rows.limit(0), str(tmp_path / "none"), "id", 10) == 0 and (tmp_path / "none" / "part-00000.jsonl").read_bytes() == b""
+    writers.write_shards(rows.where("id < 20"), str(tmp_path / "full"), "id", 10)
+    assert (tmp_path / "full" / "part-00002.jsonl").read_bytes() == b""  # the next shard was opened
+    (tmp_path / "pic.png").write_bytes(b"png")
+    samples = spark.createDataFrame([("a", str(tmp_path / "pic.png")), ("b", "/nowhere.png")], "sample_id string, image_path string")
+    assert writers.pack(samples, str(tmp_path / "tar"), "webdataset") == 2
+    with tarfile.open(tmp_path / "tar" / "00000.tar") as tar:
+        assert tar.getnames() == ["a.png", "a.json", "b.json"] and json.load(tar.extractfile("a.json"))["sample_id"] == "a"
+    assert writers.write_jsonl(rows, str(tmp_path / "j")) == 25 and writers.pack(rows, str(tmp_path / "q"), "parquet") == 25
+    with pytest.raises(Exception, match="MALFORMED|malformed|parse"):
+        (tmp_path / "bad.jsonl").write_text("{no json")
+        readers.json_lines(spark, str(tmp_path / "bad.jsonl"), strict=True).collect()
+    (tmp_path / "b").mkdir()
+    for name in "cab":
+        (tmp_path / "b" / f"{name}.jsonl").write_text("".join(f'{{"text": "{name}{i}"}}\n' for i in range(3)))
+    ordered = readers.texts(spark, str(tmp_path / "b") + "/*.jsonl").orderBy("line").collect()
+    assert [r.text for r in ordered] == ["a0", "a1", "a2", "b0", "b1", "b2", "c0", "c1", "c2"]
     with pytest.raises(ValueError):
         writers.pack(rows, str(tmp_path / "p"), "zip")
     (tmp_path / "c.json").write_text('{"a": {"b": null}}')
     loaded = config.load_config(str(tmp_path / "c.json"))
     assert config.nested(loaded, "a.b", 1) is None and config.nested(loaded, "a.c", 1) == 1
+    (tmp_path / "v.json").write_text('{"a": ["$GLYPH_X/${GLYPH_X}", "$GLYPH_NONE"], "corpora": [{"name": "n", "sampling_weight": 2}]}')
+    os.environ["GLYPH_X"] = "x"
+    assert config.load_config(str(tmp_path / "v.json"))["a"] == ["x/x", "$GLYPH_NONE"] and config.load_config(None) == {}
+    registry = config.load_registry(str(tmp_path / "v.json"))
+    assert pairs.registry_table(spark, registry).first().weight == 2.0
+    with pytest.raises(KeyError):
+        pairs.spec_of(registry, "m")
+    (tmp_path / "f").mkdir()
+    for name in ("zz-NotoSerif.ttf", "aa.OTF", "SimHei.ttc", "x.txt"):
+        (tmp_path / "f" / name).write_bytes(b"")
+    fonts = config.find_fonts(str(tmp_path / "f"), str(tmp_path / "f"), str(tmp_path / "missing"))
+    assert [f.rsplit("/", 1)[1] for f in fonts] == ["SimHei.ttc", "zz-NotoSerif.ttf", "aa.OTF"]
+    assert config.random_font([], random.Random(1)) is None and config.random_font(fonts, random.Random(1)) in fonts
+    with pytest.raises(FileNotFoundError):
+        config.require_fonts([])
 
 
 def test_streaming(spark, tmp_path):
@@ -162,10 +225,19 @@ def test_eval_split_and_pages_jobs(spark, tmp_path):
     (tmp_path / "s.jsonl").write_text("\n".join(map(json.dumps, rows)))
     read = {r.sample_id: (r.topic, r.bin) for r in readers.samples(spark, str(tmp_path / "s.jsonl")).collect()}
     assert [read[f"s{i}"] for i in range(4)] == [("sky", 64), ("sky", 64), ("sea", 64), (None, 64)]
-    cli.main(["eval-split", "--scenes", "scenes", str(tmp_path / "s.jsonl"), "--clean", "scenes", str(tmp_path / "s.jsonl"), "--output", str(tmp_path / "split")])
+    cli.main(["eval-split", "--scenes", str(tmp_path / "s.jsonl"), "--clean", str(tmp_path / "s.jsonl"), "--subset", "scenes", "--output", str(tmp_path / "split")])
     got = spark.read.json(str(tmp_path / "split"))
     assert got.where("eval_split = 'eval' and needs_human_review").count() == 14 and got.select("sample_id").distinct().count() == 7
     assert {r.t for r in got.selectExpr("raw.metadata.length_bin as t").collect()} == {64}
+    pair = {"pair_id": "p", "source_subset": "TextScenesHQ-Parallel", "alignment": {"bin_anchor": ""}, "shared": {"topic": "sky"}, "zh": {"image_path": "z", "rendered_text": "r", "prompt": "q"}, "en": {"image_path": "e", "rendered_text": "r", "prompt": "q"}}
+    (tmp_path / "p.jsonl").write_text(json.dumps(pair))
+    assert cli.main(["eval-pairs", "--scenes", str(tmp_path / "p.jsonl"), "--output", str(tmp_path / "pairs")]) == 1
+    assert spark.read.json(str(tmp_path / "pairs" / "zh")).first().lang == "zh" and spark.read.json(str(tmp_path / "pairs" / "review")).first().image_en == "e"
+    document = {"id": "d", "texts": ["第一段文字", "第二段"], "images": [{"path": "a.png", "caption": "湖面", "w": 2000, "h": 500}]}
+    (tmp_path / "d.jsonl").write_text(json.dumps(document))
+    assert cli.main(["interleave", "--input", str(tmp_path / "d.jsonl"), "--output", str(tmp_path / "inter"), "--limit", "1"]) == 1
+    page = spark.read.json(str(tmp_path / "inter")).first()
+    assert page.prompt == "生成一张中文图文混排页面，白色背景，保持以下阅读顺序：\n图片：湖面\n文字：第一段文字\n文字：第二段" and [b.kind for b in page.boxes] == ["image", "text", "text"]
     spans = [{"path": "a", "page": p, "x0": x, "y0": 1.0, "x1": 2.0, "y1": 2.0, "text": t, "font": "f", "size": 9.0, "color": 255} for p, x, t in ((0, 5.0, "b"), (0, 1.0, "a"), (1, 0.0, "c"), (0, 0.0, ""))]
     (tmp_path / "spans.jsonl").write_text("\n".join(map(json.dumps, spans)))
     cli.main(["pages", "--input", str(tmp_path / "spans.jsonl"), "--output", str(tmp_path / "pages"), "--max-pages", "1"])
