@@ -10,7 +10,8 @@ Pairs are sought in buckets: several tables, each keyed by a few signs of
 another rotation of the vectors before centring, enough of them that a pair at
 the threshold meets with the wanted probability whatever the mean. Large buckets are cut into blocks and compared block by
 block, so no group is gathered in one task. A pair that meets in more than one
-table is counted in the first only.
+table is counted in the first only. Equal vectors are one node that counts as
+many times as it occurs, so a group of copies is not compared with itself.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm._bytes import tidied
-from glyphmill.llm._spark import connected_components, forest, keep, shared_dir
+from glyphmill.llm._bytes import tidied, tidied_group
+from glyphmill.llm._spark import BROADCAST_KEYS, connected_components, forest, keep, shared_dir
 
 
 @dataclass(frozen=True)
@@ -83,8 +84,8 @@ def link_embeddings(vectors: DataFrame, params: EmbeddingParams = EmbeddingParam
     component links with nothing, as does one whose number of components
     differs from the most common one; each is a component of its own. Rows
     that repeat a key are counted as vectors of their own for links and share
-    the key's component; a null key stays null. An empty table gives no rows;
-    other columns are ignored.
+    the key's component; a null key stays null. Equal vectors are found by two
+    64-bit hashes. An empty table gives no rows; other columns are ignored.
     """
     spark = vectors.sparkSession
     at = shared_dir(spark, "embeddings")
@@ -101,7 +102,13 @@ def link_embeddings(vectors: DataFrame, params: EmbeddingParams = EmbeddingParam
     turns = [rotation(dims, p.seed + 1 + i) for i in range(-(-bits * tables // dims))]
     planes = np.concatenate(turns, axis=1)[:, : bits * tables]
     turn = rotation(dims, p.seed)
-    good = rows.where((F.size("v") == dims) & F.col("v").isNotNull())
+    every = rows.where((F.size("v") == dims) & F.col("v").isNotNull())
+    hashed = every.select("row", F.xxhash64(F.lit(1), "v").alias("h1"), F.xxhash64(F.lit(2), "v").alias("h2"))
+    groups = keep(hashed.groupBy("h1", "h2").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("c")).where("c > 1"), f"{at}/groups")
+    few = groups.count() <= BROADCAST_KEYS  # one group may hold a third of all rows, which a broadcast never deals out by key
+    copies = keep(hashed.join(F.broadcast(groups) if few else groups, ["h1", "h2"]).select("row", "rep", "c"), f"{at}/copies")
+    classed = keep(rows.select("row", "vec_id").join(copies, "row", "left").select("row", "vec_id", F.coalesce("rep", "row").alias("rep"), F.coalesce("c", F.lit(1)).cast("long").alias("c")), f"{at}/classed")
+    good = keep(every.join(classed.where("row = rep").select("row", "c"), "row").select("row", "v", "c"), f"{at}/nodes")
     unit_sum = good.select(F.transform("v", lambda x: x / F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, y: a + y * y))).alias("u")).select(F.posexplode("u")).groupBy("pos").agg(F.avg("col").alias("m"))
     center = np.zeros(dims)
     for r in unit_sum.collect():  # one number a dimension
@@ -132,13 +139,13 @@ def link_embeddings(vectors: DataFrame, params: EmbeddingParams = EmbeddingParam
     # block i of a bucket meets blocks i..blocks-1: each row goes to every pair of blocks that holds its own
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = pairs.select("t", "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "row")
-    tasks = pairs.join(good.select("row", "vec_id", "v"), "row")
+    tasks = pairs.join(good, "row")
 
     def compare(table: pa.Table) -> pa.Table:
         t, i, j = (table.column(c)[0].as_py() for c in ("t", "i", "j"))
         table = table.combine_chunks()
         x = unit(table.column("v").combine_chunks(), table.num_rows)
-        row, own = table.column("row").to_numpy(), table.column("own").to_numpy()
+        row, own, times = (table.column(c).to_numpy() for c in ("row", "own", "c"))
         a, b = np.flatnonzero(own == i), np.flatnonzero(own == j)
         _, center, turn = shared.value
         coded = codes(x, turn, center)
@@ -158,24 +165,27 @@ def link_embeddings(vectors: DataFrame, params: EmbeddingParams = EmbeddingParam
         if t and len(links):
             seen = keys_of(x)[:, :t]
             links = np.concatenate([part[~(seen[part[:, 0]] == seen[part[:, 1]]).any(axis=1)] for part in np.array_split(links, len(links) // 100_000 + 1)])
-        degree = np.bincount(links.reshape(-1), minlength=len(row))
+        degree = sum(np.bincount(links[:, x], weights=times[links[:, y]], minlength=len(row)) for x, y in ((0, 1), (1, 0))).astype(np.int64)
         root = forest(len(row), links)
         used = np.flatnonzero((degree > 0))
         return pa.table({"row": row[used], "n": degree[used], "peer": row[root[used]]})
 
-    linked = keep(tasks.groupBy("t", "bucket", "i", "j").applyInArrow(compare, "row long, n long, peer long"), f"{at}/links")
-    ids = rows.select("row", "vec_id")
-    degree = linked.groupBy("row").agg(F.sum("n").alias("n_links"))
-    # rows of one key belong together; row numbers carry the components
-    repeats = ids.where("vec_id is not null").groupBy("vec_id").agg(F.min("row").alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    same = ids.join(repeats, "vec_id").select(F.col("row").alias("a"), "b")
+    linked = keep(tasks.groupBy("t", "bucket", "i", "j").applyInArrow(tidied_group(compare), "row long, n long, peer long"), f"{at}/links")
+    degree = linked.groupBy(F.col("row").alias("rep")).agg(F.sum("n").alias("n"))
+    # rows of one key belong together; the first row of equal vectors carries the component
+    repeats = classed.where("vec_id is not null").groupBy("vec_id").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).where("b <> last").select("vec_id", "b")
+    same = classed.join(repeats, "vec_id").select(F.col("rep").alias("a"), "b").distinct()
     components = connected_components(spark, linked.select(F.col("row").alias("a"), F.col("peer").alias("b")).unionByName(same))
-    member = components.join(ids, components.id == ids.row).select("row", "component", "vec_id")
-    smallest = member.groupBy("component").agg(F.min("vec_id").alias("component_id"))
-    of_row = member.join(smallest, "component").select("row", "component_id")
-    return ids.join(degree, "row", "left").join(of_row, "row", "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"), F.coalesce(F.col("vec_id") == F.coalesce("component_id", "vec_id"), F.lit(True)).alias("kept")
-    )
+    lows = classed.groupBy("rep").agg(F.min("vec_id").alias("low"), F.first("c").alias("times"))
+    placed = lows.join(components, lows.rep == components.id, "left").select("rep", "low", "times", F.coalesce("component", "rep").alias("component"))
+    placed = keep(placed.join(degree, "rep", "left"), f"{at}/placed")
+    smallest = placed.groupBy("component").agg(F.min("low").alias("component_id"))
+    found = placed.join(smallest, "component").select("rep", "component_id", "times", F.coalesce("n", F.lit(0)).alias("n"))
+    found = keep(found, f"{at}/found")
+    several = found.where("times > 1").drop("times")
+    out = classed.where("c = 1").join(found.where("times = 1").drop("times"), "rep").unionByName(classed.where("c > 1").join(F.broadcast(several) if few else several, "rep"))
+    own = F.coalesce("component_id", "vec_id")
+    return out.select("vec_id", (F.col("n") + F.col("c") - 1).cast("long").alias("n_links"), own.alias("component_id"), F.coalesce(F.col("vec_id") == own, F.lit(True)).alias("kept"))
 
 
 def op7_rotation_codes(spark, sf_dir: str) -> DataFrame:

@@ -225,7 +225,7 @@ def test_leaks(spark):
 def test_embeddings(spark):
     rnd = np.random.default_rng(8)
     base = rnd.standard_normal((150, 32))
-    x = np.concatenate([base, base[:60] + 0.05 * rnd.standard_normal((60, 32)), np.repeat(base[:1], 40, axis=0) + 0.03 * rnd.standard_normal((40, 32))]).astype(np.float32)
+    x = np.concatenate([base, base[:60] + 0.05 * rnd.standard_normal((60, 32)), np.repeat(base[:1], 40, axis=0) + 0.03 * rnd.standard_normal((40, 32)), np.repeat(base[5:7], [60, 3], axis=0)]).astype(np.float32)
     u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
     near = (u @ u.T >= 0.9) & ~np.eye(len(u), dtype=bool)
     vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
