@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm._bytes import grams, hash_words, mix, slices, split_words, tidied, tidied_group, utf8
+from glyphmill.llm._bytes import bucket_bits, bucket_runs, grams, hash_words, mix, slices, split_words, tidied, tidied_group, utf8
 from glyphmill.llm._spark import BROADCAST_KEYS, connected_components, forest, join_lists, keep, match_keys, settled, shared_dir
 
 
@@ -122,20 +122,6 @@ def _count_entries(sets: list[np.ndarray], step: int) -> tuple[np.ndarray, np.nd
     return all_[heads], np.where(many > 1, _LOCAL | many.astype(np.uint32), owner[heads])
 
 
-def bucket_bits(entries: int, per_bucket: int) -> int:
-    """log2 of the number of buckets that so many entries are dealt to."""
-    return max(0, math.ceil(math.log2(max(1, entries) / per_bucket)))
-
-
-def bucket_runs(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets, cuts): which buckets, by their highest bits, sorted hashes fall in, and where the next bucket's begin."""
-    if not len(hashes):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
-    cuts = np.flatnonzero(np.diff(bucket)) + 1
-    return bucket[np.concatenate(([0], cuts))], cuts
-
-
 def _chunks(batches, limit: int):
     held, size = [], 0
     for batch in batches:

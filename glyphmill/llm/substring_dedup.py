@@ -1,12 +1,15 @@
 """Removal of repeated passages by relative Lempel-Ziv parsing over words.
 
 Documents are put in key order and cut into reference blocks. Every block is
-indexed: its 20-word windows are hashed to 128 bits, and the index is dealt
-out by hash, so that one exchange matches each block against all the blocks
-before it. A document is then parsed greedily: a factor runs on while each of
-its windows also starts earlier, in an earlier block or in its own, and where
-a factor ends the windows that cross its boundary are looked up one by one.
-The union of the factors is what is removed, judged on the input.
+indexed: its 20-word windows are hashed to 128 bits and kept with their place,
+and the index is dealt out by hash, so that one exchange matches each block
+against all the blocks before it and returns where each window starts first. A
+document is then parsed greedily: a factor is a match at one place of one
+reference block (or earlier in the own one), and runs on as long as the next
+window's place is the next word there. Where a factor ends, the windows that
+cross its boundary have been looked up one by one, and one that is repeated
+begins the next factor, which may overlap this one. The union of the factors
+is what is removed, judged on the input.
 
 To keep the exchange small, a first exchange deals out anchors only: the
 smallest 8-word hash inside each window. Equal windows have equal anchors, so
@@ -25,7 +28,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.llm._bytes import grams, hash_words, mix, split_words, tidied, utf8
+from glyphmill.llm._bytes import bucket_bits, bucket_runs, grams, hash_words, mix, split_words, tidied, tidied_group, utf8
 from glyphmill.llm._spark import keep, open_folder, shared_dir
 
 
@@ -39,6 +42,9 @@ class SubstringParams:
     block_bytes: int = 6 << 20
     #: Index entries that a matching task gets, about.
     entries_per_bucket: int = 1 << 20
+    #: Partitions of an exchange and folders of looked-up entries, at most; more buckets and blocks share them.
+    max_partitions: int = 1 << 15
+    max_folders: int = 1 << 12
 
 
 def _sliding_min(x: np.ndarray, k: int) -> np.ndarray:
@@ -74,26 +80,32 @@ class Block:
         np.add.at(steps, self.first[:-1][has] + counts[has], -1)
         return steps
 
-    def first_copies(self, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of the windows at `among`, (those that are the first of their content in this block, sorted by hash; mask of the others)."""
+    def heads(self, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(windows, head): the windows at `among` sorted by hash and place, and of each the first of its content."""
         order = among[np.lexsort((among, self.low[among], self.high[among]))]
         new = np.ones(len(order), bool)
         new[1:] = (self.high[order][1:] != self.high[order][:-1]) | (self.low[order][1:] != self.low[order][:-1])
-        return order[new], order[~new]
+        return order, order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
 
+    def places(self, windows: np.ndarray) -> np.ndarray:
+        """Where windows start: the block's number and the word in it, as one integer."""
+        return np.uint64(self.table.column("block")[0].as_py()) << np.uint64(32) | self.at[windows].astype(np.uint64)
 
-def _deal(batches, prepare, buckets: int, p: SubstringParams):
-    """Rows (bucket, block, hashes) of each block's sorted 64- or 128-bit entries, one row a bucket."""
+
+#: A window that starts nowhere before.
+NOWHERE = np.uint64(2**64 - 1)
+
+
+def _deal(batches, prepare, bits: int):
+    """Rows (bucket, block, entries) of each block's entries, sorted by their first column, one row a bucket."""
     for table in _blocks(batches):
         number = table.column("block")[0].as_py()
-        entries = prepare(table, number)  # (n, 1 or 2) sorted by the first column
+        entries = prepare(table, number)
         if not len(entries):
             continue
-        edges = np.searchsorted(entries[:, 0], np.array([b * ((1 << 64) // buckets) for b in range(1, buckets)], np.uint64))
-        edges = np.concatenate(([0], edges, [len(entries)]))
-        full = np.flatnonzero(np.diff(edges))
+        full, cuts = bucket_runs(entries[:, 0], bits)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(full, pa.int64()), pa.array(np.full(len(full), number), pa.int64()), pa.array([entries[edges[b] : edges[b + 1]].tobytes() for b in full], pa.binary())],
+            [pa.array(full, pa.int64()), pa.array(np.full(len(full), number), pa.int64()), pa.array([x.tobytes() for x in np.split(entries, cuts)], pa.binary())],
             ["bucket", "block", "entries"],
         )
 
@@ -116,19 +128,26 @@ def _blocks(batches):
 
 
 def _match(width: int, later_only: bool):
-    """For a bucket's rows: to each block the entries that other (later_only: smaller) blocks hold too."""
+    """For a bucket's rows: to each block the entries that other blocks hold too.
+
+    later_only: those that a smaller block holds, with the place there (the
+    last column) in place of the block's own.
+    """
+    keys = width - 1 if later_only else width
 
     def match(table: pa.Table) -> pa.Table:
         blocks = table.column("block").to_numpy()
         parts = [np.frombuffer(raw.as_py(), np.uint64).reshape(-1, width) for raw in table.column("entries")]
         entries = np.concatenate(parts)
         owner = np.repeat(blocks, [len(x) for x in parts])
-        order = np.lexsort((owner, *(entries[:, i] for i in reversed(range(width)))))
+        order = np.lexsort((owner, *(entries[:, i] for i in reversed(range(keys)))))
         entries, owner = entries[order], owner[order]
         same = np.zeros(len(entries), bool)
-        same[1:] = (entries[1:] == entries[:-1]).all(axis=1)
+        same[1:] = (entries[1:, :keys] == entries[:-1, :keys]).all(axis=1)
         shared = same.copy()
-        if not later_only:
+        if later_only:
+            entries[:, -1] = entries[np.maximum.accumulate(np.where(same, 0, np.arange(len(entries)))), -1]
+        else:
             shared[:-1] |= same[1:]
         entries, owner = entries[shared], owner[shared]
         order = np.argsort(owner, kind="stable")
@@ -139,57 +158,77 @@ def _match(width: int, later_only: bool):
     return match
 
 
-def _side(found: DataFrame, path: str, blocks: int) -> str:
-    """Write (block, entries) with one folder a block, for look-up by the tasks that parse that block."""
-    found.repartition(max(1, min(blocks, 4096)), "block").write.partitionBy("block").parquet(path)
-    return path
-
+class Side:
+    """A written table (block, entries) in a bounded number of folders, in which the tasks that parse a block look it up."""
 
-def _look_up(path: str, block: int, width: int) -> np.ndarray:
-    """The entries that were found for a block, sorted by their first column."""
-    files, root = open_folder(path)
-    listed = files.get_file_info(pafs.FileSelector(f"{root}/block={block}", allow_not_found=True))
-    parts = [np.frombuffer(raw.as_py(), np.uint64).reshape(-1, width) for info in listed if info.path.endswith(".parquet") for raw in pq.ParquetFile(files.open_input_file(info.path)).read(["entries"]).column("entries")]
-    entries = np.concatenate(parts) if parts else np.zeros((0, width), np.uint64)
-    return entries[np.argsort(entries[:, 0], kind="stable")]
+    def __init__(self, path: str, blocks: int, width: int, p: SubstringParams):
+        self.path, self.blocks, self.width, self.folders = path, blocks, width, max(1, min(blocks, p.max_folders))
 
+    def write(self, found: DataFrame) -> Side:
+        # neighbouring blocks share a folder; rows of a block lie together, in row groups of a few megabytes
+        rows = found.withColumn("slot", F.floor(F.col("block") * self.folders / self.blocks).cast("int"))
+        rows.repartition(self.folders, "slot").sortWithinPartitions("slot", "block").write.partitionBy("slot").option("parquet.block.size", str(4 << 20)).parquet(self.path)
+        return self
 
-def _contains(entries: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
-    """Whether each (high, low) is an entry. Entries are sorted by high; equal highs are scanned."""
-    found = np.zeros(len(high), bool)
+    def entries(self, block: int) -> np.ndarray:
+        """The entries that were found for a block, sorted by their first column."""
+        files, root = open_folder(self.path)
+        listed = files.get_file_info(pafs.FileSelector(f"{root}/slot={block * self.folders // self.blocks}", allow_not_found=True))
+        parts = []
+        for info in listed:
+            if not info.path.endswith(".parquet"):
+                continue
+            with files.open_input_file(info.path) as raw:
+                file = pq.ParquetFile(raw)
+                column = file.schema_arrow.get_field_index("block")
+                for g in range(file.num_row_groups):
+                    seen = file.metadata.row_group(g).column(column).statistics
+                    if seen is None or not seen.has_min_max or seen.min <= block <= seen.max:
+                        group = file.read_row_group(g, ["block", "entries"])
+                        own = np.flatnonzero(group.column("block").to_numpy() == block)
+                        parts += [np.frombuffer(x.as_py(), np.uint64).reshape(-1, self.width) for x in group.column("entries").take(pa.array(own))]
+        entries = np.concatenate(parts) if parts else np.zeros((0, self.width), np.uint64)
+        return entries[np.argsort(entries[:, 0], kind="stable")]
+
+
+def _find(entries: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """The place that the entry of each (high, low) gives, or NOWHERE. Entries are sorted by high; equal highs are scanned."""
+    found = np.full(len(high), NOWHERE)
     if not len(entries):
         return found
     at, stop = np.searchsorted(entries[:, 0], high), np.searchsorted(entries[:, 0], high, side="right")
     open_ = np.flatnonzero(at < stop)
     while len(open_):
         hit = entries[at[open_], 1] == low[open_]
-        found[open_[hit]] = True
+        found[open_[hit]] = entries[at[open_[hit]], 2]
         open_ = open_[~hit]
         at[open_] += 1
         open_ = open_[at[open_] < stop[open_]]
     return found
 
 
-def parse_factors(repeated: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
-    """(first word, words) of each factor, from the sorted starts of windows and whether each also starts earlier.
+def parse_factors(source: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, words, place) of each factor, from the sorted starts of windows and where each starts before.
 
-    A factor takes in consecutive repeated windows; the windows across its
-    end are judged by themselves, and one that is repeated begins the next
-    factor, which may overlap this one.
+    A factor goes on while the next word's window starts at the next word of
+    the same place, so it is one match; the next repeated window begins the
+    next factor, even inside the words of this one.
     """
-    starts = at[repeated]
+    repeated = np.flatnonzero(source != NOWHERE)
+    starts, places = at[repeated], source[repeated]
     if not len(starts):
-        return np.zeros((0, 2), np.int64)
-    begin = np.concatenate(([True], np.diff(starts) != 1))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    begin = np.concatenate(([True], (np.diff(starts) != 1) | (np.diff(places) != 1)))
     heads = np.flatnonzero(begin)
     tails = np.append(heads[1:], len(starts)) - 1
-    return np.stack((starts[heads], starts[tails] - starts[heads] + window), axis=1)
+    return starts[heads], starts[tails] - starts[heads] + window, places[heads]
 
 
 def find_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(), key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, spans, kept_text) of every row.
 
-    spans are the factors of a text as (first word, words); kept_text is the
+    spans are the factors of a text: first word, words, and where the match
+    lies, as a block of the input in key order and a word in it. kept_text is the
     text without the words of its factors: each run of removed words goes with
     the white space after it, and the rest stays as it was. kept_sha256 is
     that of the kept words joined by one space. A null text has no words and
@@ -203,7 +242,6 @@ def find_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(), k
     at = shared_dir(spark, "substring")
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     blocks = max(1, -(-size // p.block_bytes))
-    buckets = max(1, -(-size // (6 * 7 * p.entries_per_bucket)))  # a word has about six bytes, an anchor serves about seven windows
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), *([F.struct(*carry).alias("carried")] if carry else []))
     rows = rows.repartitionByRange(blocks, "k").sortWithinPartitions("k", "t").withColumn("block", F.spark_partition_id().cast("long"))
     # one row group a file: a block is read by one task, in order
@@ -212,12 +250,16 @@ def find_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(), k
     def anchors(table, number):
         return np.unique(Block(table, p, windows=False).anchor).reshape(-1, 1)
 
-    dealt = store.select("block", "t").mapInArrow(tidied(lambda it: _deal(it, anchors, buckets, p)), "bucket long, block long, entries binary")
-    shared = dealt.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_match(1, False), "block long, entries binary")
-    anchor_path = _side(shared, f"{at}/anchors", blocks)
+    def exchange(prepare, entries: int, width: int, later_only: bool) -> DataFrame:
+        bits = bucket_bits(entries, p.entries_per_bucket)
+        dealt = store.select("block", "t").mapInArrow(tidied(lambda it: _deal(it, prepare, bits)), "bucket long, block long, entries binary")
+        return dealt.repartition(min(1 << bits, p.max_partitions), "bucket").groupBy("bucket").applyInArrow(tidied_group(_match(width, later_only)), "block long, entries binary")
+
+    # a word has about six bytes, an anchor serves about seven windows
+    shared = Side(f"{at}/anchors", blocks, 1, p).write(exchange(anchors, size // (6 * 7), 1, False))
 
     def candidates(block: Block, number: int) -> np.ndarray:
-        known = _look_up(anchor_path, number, 1)[:, 0]
+        known = shared.entries(number)[:, 0]
         if not len(known):
             return np.zeros(0, np.int64)
         place = np.minimum(np.searchsorted(known, block.anchor), len(known) - 1)
@@ -225,38 +267,36 @@ def find_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(), k
 
     def windows(table, number):
         block = Block(table, p)
-        heads, _ = block.first_copies(candidates(block, number))
-        return np.stack((block.high[heads], block.low[heads]), axis=1)
+        order, head = block.heads(candidates(block, number))
+        own = order[order == head]
+        return np.stack((block.high[own], block.low[own], block.places(own)), axis=1)
 
-    more = max(1, -(-size // (6 * 2 * p.entries_per_bucket)))
-    dealt = store.select("block", "t").mapInArrow(tidied(lambda it: _deal(it, windows, more, p)), "bucket long, block long, entries binary")
-    earlier = dealt.repartition(more, "bucket").groupBy("bucket").applyInArrow(_match(2, True), "block long, entries binary")
-    window_path = _side(earlier, f"{at}/windows", blocks)
+    earlier = Side(f"{at}/windows", blocks, 3, p).write(exchange(windows, size // (6 * 2), 3, True))
 
     def parse(batches):
         for table in _blocks(batches):
-            number = table.column("block")[0].as_py()
             block = Block(table, p)
-            # in this block: all copies of a window but the first; then what earlier blocks hold
-            _, again = block.first_copies(np.arange(len(block.at)))
-            repeated = _contains(_look_up(window_path, number, 2), block.high, block.low)
-            repeated[again] = True
-            yield from _results(block, repeated, p)
-
-    kind = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<first:int,words:int>>, kept_text string"
+            order, head = block.heads(np.arange(len(block.at)))
+            # where the content of a window stands in earlier blocks, else in this one before
+            before = _find(earlier.entries(table.column("block")[0].as_py()), block.high[head], block.low[head])
+            source = np.full(len(block.at), NOWHERE)
+            source[order] = np.where(before != NOWHERE, before, np.where(order != head, block.places(head), NOWHERE))
+            yield from _results(block, source, p)
+
+    kind = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<first:int,words:int,block:long,word:int>>, kept_text string"
     return store.mapInArrow(tidied(parse), kind + (f", carried {store.schema['carried'].dataType.simpleString()}" if carry else ""))
 
 
-def _results(block: Block, repeated: np.ndarray, p: SubstringParams):
+def _results(block: Block, source: np.ndarray, p: SubstringParams):
     words = len(block.start)
+    start, length, place = parse_factors(source, block.at, p.window)
     gone = np.zeros(words + 1, np.int64)
-    starts = block.at[repeated]
-    np.add.at(gone, starts, 1)
-    np.add.at(gone, np.minimum(starts + p.window, words), -1)
+    np.add.at(gone, start, 1)
+    np.add.at(gone, start + length, -1)
     gone = np.cumsum(gone)[:words] > 0
     removed = np.concatenate(([0], np.cumsum(gone)))
     texts, keys = block.table.column("t"), block.table.column("k").combine_chunks()
-    edges = np.searchsorted(block.at, block.first)
+    edges = np.searchsorted(start, block.first)  # a factor begins at a window, and windows lie inside a document
     n = np.diff(block.first)
     n_removed = removed[block.first[1:]] - removed[block.first[:-1]]
     sha, spans, kept_text = [], [], []
@@ -270,10 +310,10 @@ def _results(block: Block, repeated: np.ndarray, p: SubstringParams):
         else:
             stay = a + np.flatnonzero(~gone[a:b])
             w = slice(edges[d], edges[d + 1])
-            spans.append([{"first": int(f - a), "words": int(m)} for f, m in parse_factors(repeated[w], block.at[w], p.window)])
+            spans.append([{"first": f - a, "words": m, "block": x >> 32, "word": x & 0xFFFFFFFF} for f, m, x in zip(start[w].tolist(), length[w].tolist(), place[w].tolist())])
             kept_text.append(_without(block, gone, a, b, column, d))
         sha.append(hashlib.sha256(_joined(block, stay)).hexdigest())
-    columns = {"doc_id": keys, "n_words": pa.array(n), "n_removed": pa.array(n_removed), "kept_sha256": pa.array(sha), "spans": pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32())]))), "kept_text": pa.array(kept_text, pa.string())}
+    columns = {"doc_id": keys, "n_words": pa.array(n), "n_removed": pa.array(n_removed), "kept_sha256": pa.array(sha), "spans": pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32()), ("block", pa.int64()), ("word", pa.int32())]))), "kept_text": pa.array(kept_text, pa.string())}
     if "carried" in block.table.column_names:
         columns["carried"] = block.table.column("carried").combine_chunks()
     yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))

@@ -103,6 +103,21 @@ def test_substring(docs, texts, block):
     got = substring_dedup.find_repeats(docs, substring_dedup.SubstringParams(block_bytes=block)).collect()
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256, WORD.findall(r.kept_text)) for r in got} == expected
     assert sum(e[1] for e in expected.values()) > 0
+    # each factor is one match: its words stand at the place that it names, which is before it
+    order = [w for t in texts for w in WORD.findall(t)]
+    first, at = {}, 0
+    for i, t in enumerate(texts):
+        first[i] = at
+        at += len(WORD.findall(t))
+    if block == 10**6:  # one block: places are words of the whole input
+        factors = [(r.doc_id, f) for r in got for f in r.spans]
+        for d, f in factors:
+            begin = first[d] + f.first
+            assert f.block == 0 and f.words >= 20 and f.word < begin and order[begin : begin + f.words] == order[f.word : f.word + f.words]
+        assert len(factors) > 20
+    for r in got:
+        covered = {w for f in r.spans for w in range(f.first, f.first + f.words)}
+        assert len(covered) == r.n_removed
 
 
 def test_jump_hash(spark):
