@@ -38,6 +38,7 @@ REQUESTS = {
     "unify": "把文字“{rendered_text}”自然地写进下面的场景描写里，写成一段中文。场景：{scene_caption}",
     "correct": "改正下面识别出的文字里的错字，改动尽量少，顺序不变：\n{ocr}",
     "background": "用80字以内的中文描写图像的背景与主体，不要重复图中的文字。",
+    "background_en": "Describe background and main scene of the image in at most 80 English words, without repeating text in it.",
     "slide_zh": "把幻灯片里的全部文字和图形写成一段连贯的中文，文字不得遗漏。",
     "slide_en": "Describe all text and figures of the slide in one coherent English paragraph; leave no text out.",
 }

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from glyphmill.functions.predicates import UnitRules
 from glyphmill.operators import sampling
-from glyphmill.plans import pipelines
+from glyphmill.plans import builders, pipelines
 from glyphmill.sources import readers, writers
 from glyphmill.sources.config import load_config, nested
 
@@ -37,6 +37,11 @@ def parser() -> argparse.ArgumentParser:
     ocr.add_argument("--keep-copies", action="store_true")
     spans = job("pages", "page texts of spans that were extracted before (JSONL)")
     spans.add_argument("--max-pages", type=int)
+    build = job("build", "samples or pairs of a subset that needs no service, of prepared records")
+    build.add_argument("kind", choices=("words", "papers", "slides"))
+    build.add_argument("--pairs", action="store_true", help="bilingual pairs (slides only: the others need a translation service, see plans.builders)")
+    build.add_argument("--source", default="records")
+    build.add_argument("--seed", type=int, default=20260428)
     for name in ("pack", "pack-pairs"):
         job(name, "one dataset of samples").add_argument("--format", default="jsonl", choices=("jsonl", "parquet", "webdataset"))
     for name in ("eval-split", "eval-pairs"):
@@ -72,12 +77,31 @@ def _evaluate(spark: SparkSession, args: argparse.Namespace) -> int:
     return writers.write_pairs(picked, args.output)
 
 
+SPANS = "path string, page int, ord long, x0 double, y0 double, x1 double, y1 double, text string, font string, size double, color int"
+ELEMENTS = "path string, page int, ord long, kind string, x0 double, y0 double, x1 double, y1 double, text string, font string, size double, caption string"
+
+
+def _build(spark: SparkSession, args: argparse.Namespace) -> int:
+    if args.pairs and args.kind != "slides":
+        raise SystemExit(f"pairs of {args.kind} need a translation service: call glyphmill.plans.builders")
+    if args.kind == "words":
+        rows = builders.long_words(readers.ocr_line_records(spark, args.input), args.source, args.seed)
+    elif args.kind == "papers":
+        rows = builders.papers(readers.paper_pages(spark.read.schema(SPANS).json(args.input)))
+    else:
+        pages = readers.slide_pages(spark.read.schema(ELEMENTS).json(args.input))
+        rows = builders.slide_pairs(pages) if args.pairs else builders.slides(pages)
+    return writers.write_pairs(rows, args.output) if args.pairs else writers.write_jsonl(rows, args.output)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"glyphmill-{args.job}").getOrCreate()
     config = load_config(getattr(args, "config", None))
     if args.job in ("eval-split", "eval-pairs"):
         n = _evaluate(spark, args)
+    elif args.job == "build":
+        n = _build(spark, args)
     elif args.job == "clean-text":
         n = writers.write_jsonl(pipelines.clean_texts(readers.texts(spark, args.input), args.seed, args.max_units, args.limit).drop("line"), args.output)
     elif args.job == "interleave":

@@ -238,6 +238,11 @@ def test_eval_split_and_pages_jobs(spark, tmp_path):
     assert cli.main(["interleave", "--input", str(tmp_path / "d.jsonl"), "--output", str(tmp_path / "inter"), "--limit", "1"]) == 1
     page = spark.read.json(str(tmp_path / "inter")).first()
     assert page.prompt == "生成一张中文图文混排页面，白色背景，保持以下阅读顺序：\n图片：湖面\n文字：第一段文字\n文字：第二段" and [b.kind for b in page.boxes] == ["image", "text", "text"]
+    (tmp_path / "e.jsonl").write_text(json.dumps({"path": "s", "page": 0, "ord": 0, "kind": "text", "x0": 0, "y0": 0, "x1": 1, "y1": 1, "text": "t", "font": "f", "size": 9}))
+    assert cli.main(["build", "slides", "--pairs", "--input", str(tmp_path / "e.jsonl"), "--output", str(tmp_path / "slides")]) == 1
+    assert spark.read.json(str(tmp_path / "slides" / "en")).first().prompt.endswith("- text (f 9.0pt @[0.0, 0.0, 1.0, 1.0]): t")
+    with pytest.raises(SystemExit):
+        cli.main(["build", "papers", "--pairs", "--input", "x", "--output", "y"])
     spans = [{"path": "a", "page": p, "x0": x, "y0": 1.0, "x1": 2.0, "y1": 2.0, "text": t, "font": "f", "size": 9.0, "color": 255} for p, x, t in ((0, 5.0, "b"), (0, 1.0, "a"), (1, 0.0, "c"), (0, 0.0, ""))]
     (tmp_path / "spans.jsonl").write_text("\n".join(map(json.dumps, spans)))
     cli.main(["pages", "--input", str(tmp_path / "spans.jsonl"), "--output", str(tmp_path / "pages"), "--max-pages", "1"])
