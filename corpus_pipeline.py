@@ -18,7 +18,12 @@ from glyphmill.llm.substring_dedup import find_repeats
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it is fitted on the labels of these documents."""
+    """Documents that the quality classifier accepts; it is fitted on the labels of these documents.
+
+    A document without text or words is judged by the bias alone, so all such
+    stay or go together, as do repeated rows; a null id is judged like any
+    other; without labels all documents stay; an empty table stays empty.
+    """
     return keep_good(docs, train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
@@ -26,7 +31,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document, that with the smallest id, of each group linked by five-word shingles at a similarity of 0.8.
 
     Documents without words link with nothing and stay, as do those with a
-    null id; rows that repeat an id stay or go together.
+    null id; rows that repeat an id stay or go together; an empty table stays
+    empty; long texts are compared whole.
     """
     groups = jaccard_components(docs, JaccardParams(shingle=5, percent=80))
     copies = keep(groups.where("doc_id <> component_id").select("doc_id").distinct(), f"{shared_dir(spark, 'copies')}/ids")
@@ -34,7 +40,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the 20-word passages that an earlier one holds too; a document of which nothing is left goes."""
+    """Documents without the 20-word passages that an earlier one holds too; a document of which nothing is left goes.
+
+    Documents without words stay as they are, a null text stays null; null
+    ids come first in the order, and of repeated rows the first keeps its
+    words; an empty table stays empty. n_chars is that of what is left.
+    """
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
     found = find_repeats(docs, carry=others).where("n_words = 0 or n_removed < n_words")
     columns = {"doc_id": F.col("doc_id"), "text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
@@ -42,14 +53,24 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item within the edit budget."""
+    """Documents that hold no benchmark item within the edit budget.
+
+    Null and empty texts hold none and stay, as do rows with a null id; rows
+    that repeat an id stay or go together; without benchmark items all
+    documents stay; an empty table stays empty.
+    """
     leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     ids = keep(leaks.select("doc_id").distinct(), f"{shared_dir(spark, 'leaks')}/ids")
     return match_keys(docs, ids, "doc_id", "left_anti").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in windows of 1024 ids, filled by lexical neighbours."""
+    """Pieces of all documents in windows of 1024 ids, filled by lexical neighbours.
+
+    A null or empty text is its end id alone, repeated rows are packed each,
+    null ids stay null, long texts are cut at window ends; an empty table
+    gives no rows.
+    """
     return pack_documents(docs)
 
 
