@@ -100,11 +100,20 @@ def unit_edges(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return kind, start, end, np.searchsorted(start, offsets)
 
 
+def _value(codes: np.ndarray) -> np.ndarray:
+    return mix(codes.astype(np.uint64) + np.uint64(_BASE))
+
+
 def unit_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, factor) of every unit in lower case: that of two units written together is hash0 + factor0 * hash1."""
-    if not len(start):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    size = end - start
+    lead = codes[start]
+    single = (end - start == 1) & (lead != 0x130) & (lead != 0x3A3)
+    h, factor = np.empty(len(start), np.uint64), np.full(len(start), _BASE, np.uint64)
+    h[single] = _value(_lower()[lead[single]])
+    words = np.flatnonzero(~single)
+    if not len(words):
+        return h, factor
+    start, size = start[words], (end - start)[words]
     before = np.concatenate(([0], np.cumsum(size)))
     inside = np.arange(before[-1]) - np.repeat(before[:-1], size)
     chosen = codes[np.repeat(start, size) + inside]
@@ -124,8 +133,8 @@ def unit_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[
     powers = np.full(int(size.max()) + 1, _BASE, np.uint64)
     powers[0] = 1
     powers = np.multiply.accumulate(powers)
-    value = mix(low.astype(np.uint64) + np.uint64(_BASE))
-    return np.add.reduceat(value * powers[inside], before[:-1]), powers[size]
+    h[words], factor[words] = np.add.reduceat(_value(low) * powers[inside], before[:-1]), powers[size]
+    return h, factor
 
 
 def longest_runs(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -140,14 +149,17 @@ def longest_runs(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def distinct(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """How many different values each text has."""
-    texts = len(first) - 1
+    """How many different values each text has. Each text's values are sorted by themselves, which stays in the cache."""
     if not len(values):
-        return np.zeros(texts, np.int64)
-    _, number = np.unique(values, return_inverse=True)
-    key = np.repeat(np.arange(texts, dtype=np.int64), np.diff(first)) * (int(number.max()) + 1) + number
-    key.sort()
-    return np.bincount(key[np.concatenate(([True], key[1:] != key[:-1]))] // (int(number.max()) + 1), minlength=texts)
+        return np.zeros(len(first) - 1, np.int64)
+    values = values.copy()
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+        if b - a > 1:
+            values[a:b].sort()
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    new[first[:-1][first[:-1] < len(values)]] = True
+    return per_text(new, first)
 
 
 def per_text(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -172,11 +184,7 @@ def char_profile(column: pa.Array) -> dict[str, np.ndarray]:
     parts = []
     for texts in slices(column):
         codes, offsets = code_points(texts)
-        owner = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(offsets))
-        key = owner << 21 | codes
-        key.sort()
-        different = np.bincount(key[np.concatenate(([True], key[1:] != key[:-1]))] >> 21, minlength=len(texts)) if len(key) else np.zeros(len(texts), np.int64)
-        parts.append((np.diff(offsets), per_text((codes >= 0x4E00) & (codes <= 0x9FFF), offsets), different, longest_runs(codes, offsets)))
+        parts.append((np.diff(offsets), per_text((codes >= 0x4E00) & (codes <= 0x9FFF), offsets), distinct(codes, offsets), longest_runs(codes, offsets)))
     names = ("chars", "han", "distinct", "run")
     return {name: np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i, name in enumerate(names)}
 

@@ -21,10 +21,9 @@ from glyphmill.operators.lineage import cut
 
 def exact_dedup(df: DataFrame, key: Column, ord: str) -> DataFrame:
     """The first row of each key. The smallest ord of each key's digest is found with partial aggregation, so a hot key is no task of its own."""
-    keyed = df.withColumn("_key", F.sha2(key.cast("binary"), 256))
-    first = keyed.groupBy("_key").agg(F.min(ord).alias("_first"))
-    first = first.select(F.col("_key").alias("_own"), "_first")
-    return keyed.join(first, (F.col("_key").eqNullSafe(F.col("_own"))) & (F.col(ord) == F.col("_first")), "left_semi").drop("_key")
+    digests = df.select(F.col(ord).alias("_first"), F.sha2(key.cast("binary"), 256).alias("_key"))
+    first = cut(digests.groupBy("_key").agg(F.min("_first").alias("_first")).select("_first"))
+    return df.join(first, F.col(ord) == F.col("_first"), "left_semi")
 
 
 #: Counters by which n-grams are ordered: a number of fixed size, whatever the corpus.

@@ -31,6 +31,12 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt out evenly where it has fewer parts than the cluster has cores, as a scan of few row groups; else df itself."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def running(df: DataFrame, group: list[str], order: list[str], value: Column, name: str) -> DataFrame:
     """df with the sum of `value` up to each row, inside its group and in order.
 

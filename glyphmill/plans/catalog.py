@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.functions import text as T
+from glyphmill.operators.lineage import spread
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -33,8 +34,13 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def wide_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for queries that spend their time in expressions over texts."""
+    return spread(docs(spark, sf_dir))
+
+
 def zh_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).withColumn("zh", F.translate(F.lower("text"), FROM, TO))
+    return wide_docs(spark, sf_dir).withColumn("zh", F.translate(F.lower("text"), FROM, TO))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

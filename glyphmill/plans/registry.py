@@ -9,7 +9,7 @@ from glyphmill.functions import text as T
 from glyphmill.operators import dedup, models, pairs, sampling, stats
 from glyphmill.plans import pipelines, sample_queries, scan_queries
 from glyphmill.plans.catalog import (
-    BARE, BIN, CAP, CJK, CLEAN, COLLAPSED, DECIDED_PAIRS, FROM, ORACLES, PAIRS, QUERIES, SEED, STRIPPED, TO, UNIT, ZH, docs, gram_edges, greedy, pair_rows, query, table, units, widened, zh_docs,
+    BARE, BIN, CAP, CJK, CLEAN, COLLAPSED, DECIDED_PAIRS, FROM, ORACLES, PAIRS, QUERIES, SEED, STRIPPED, TO, UNIT, ZH, docs, gram_edges, greedy, pair_rows, query, table, units, wide_docs, widened, zh_docs,
 )
 from glyphmill.sources import readers, writers
 
@@ -50,7 +50,7 @@ def wide_texts(spark, sf_dir):
 
 @query(r"SELECT doc_id, md5(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'))) AS kept, md5(trim(regexp_replace(regexp_replace(coalesce(text, ''), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g'))) AS bare FROM documents")
 def normalized_text(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", F.md5(T.normalize_text(F.col("text"))).alias("kept"), F.md5(T.normalize_text(F.col("text"), keep_punctuation=False)).alias("bare"))
+    return wide_docs(spark, sf_dir).select("doc_id", F.md5(T.normalize_text(F.col("text"))).alias("kept"), F.md5(T.normalize_text(F.col("text"), keep_punctuation=False)).alias("bare"))
 
 
 @query(f"""SELECT doc_id,
@@ -86,7 +86,7 @@ def text_quality(spark, sf_dir):
 @query(f"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY {BARE.format('text')} ORDER BY doc_id) AS n FROM documents) WHERE n = 1")
 def exact_dedup(spark, sf_dir):
     key = T.normalize_text(F.col("text"), keep_punctuation=False)
-    return dedup.exact_dedup(docs(spark, sf_dir).select("doc_id", "text"), key, "doc_id").select("doc_id")
+    return dedup.exact_dedup(wide_docs(spark, sf_dir).select("doc_id", "text"), key, "doc_id").select("doc_id")
 
 
 @query(f"SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY {BARE.format(ZH)} ORDER BY doc_id) AS n FROM documents) WHERE n = 1")
@@ -102,18 +102,18 @@ _GRAMS = f"""WITH RECURSIVE u AS (SELECT doc_id, list_transform(regexp_extract_a
 
 @query(f'{_GRAMS} SELECT a, b, common, "union" FROM pairs')
 def near_dup_edges(spark, sf_dir):
-    return dedup.lexical_edges(docs(spark, sf_dir).select("doc_id", "text"), "text", "doc_id")
+    return dedup.lexical_edges(wide_docs(spark, sf_dir).select("doc_id", "text"), "text", "doc_id")
 
 
 @query(f"{_GRAMS}, {greedy('s', 'pairs')} SELECT id AS doc_id FROM chosen")
 def near_dedup(spark, sf_dir):
-    return dedup.near_dedup(docs(spark, sf_dir).select("doc_id", "text"), "text", "doc_id").select("doc_id")
+    return dedup.near_dedup(wide_docs(spark, sf_dir).select("doc_id", "text"), "text", "doc_id").select("doc_id")
 
 
 @query(f"{_GRAMS}, {greedy('s', 'pairs')} SELECT id AS doc_id FROM chosen")
 def wide_near_dedup(spark, sf_dir):
     """As near_dedup, with every text a second time in full-width letters."""
-    rows = docs(spark, sf_dir).select("doc_id", "text")
+    rows = wide_docs(spark, sf_dir).select("doc_id", "text")
     both = rows.unionByName(rows.select((F.col("doc_id") + 1_000_000_000).alias("doc_id"), widened(F.col("text")).alias("text")))
     return dedup.near_dedup(both, "text", "doc_id").select("doc_id")
 
@@ -121,7 +121,7 @@ def wide_near_dedup(spark, sf_dir):
 @query(r"""SELECT doc_id, count(*) AS grams, max(c) AS most FROM (SELECT doc_id, x, count(*) AS c FROM (SELECT doc_id, unnest(list_transform(range(1, len(u) - 2), lambda i: list_aggregate(u[i:i+3], 'string_agg', ''))) AS x
  FROM (SELECT doc_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: lower(x)) AS u FROM documents)) GROUP BY ALL) GROUP BY doc_id""")
 def gram_counts(spark, sf_dir):
-    rows = docs(spark, sf_dir).select("doc_id", T.mixed_units(F.col("text")).alias("u")).where(F.size("u") >= 4)
+    rows = wide_docs(spark, sf_dir).select("doc_id", T.mixed_units(F.col("text")).alias("u")).where(F.size("u") >= 4)
     grams = rows.select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("u") - 3), lambda i: F.array_join(F.slice("u", i, 4), ""))).alias("x"))
     return grams.groupBy("doc_id", "x").agg(F.count(F.lit(1)).alias("c")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("grams"), F.max("c").alias("most"))
 
@@ -314,7 +314,7 @@ def long_words_lines(spark, sf_dir):
 @query(f"""SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS cut FROM (SELECT doc_id, w, i, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS used FROM (SELECT doc_id, w, i, len(regexp_extract_all(w, '[\\p{{L}}\\p{{N}}]+')) AS n FROM
  (SELECT doc_id, unnest(a) AS w, generate_subscripts(a, 1) AS i FROM (SELECT doc_id, string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ') AS a FROM documents)))) WHERE used <= 40 GROUP BY doc_id""")
 def truncated_units(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", T.truncate_by_units(widened(F.col("text")), 40).alias("cut"))
+    return wide_docs(spark, sf_dir).select("doc_id", T.truncate_by_units(widened(F.col("text")), 40).alias("cut"))
 
 
 @query("""SELECT a.doc_id, round(CASE WHEN a.text = '' OR b.text = '' THEN 1.0 ELSE 1.0 - len(list_intersect(string_split(a.text, ''), string_split(b.text, '')))::DOUBLE / len(list_distinct(list_concat(string_split(a.text, ''), string_split(b.text, '')))) END, 6) AS divergence
@@ -444,7 +444,7 @@ def unpacked_colors(spark, sf_dir):
 
 @query(r"""SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '\n?\s*\d+\.\s?'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS parts FROM (SELECT doc_id, replace(text, 'a', chr(10) || '7. ') AS text FROM documents)""")
 def numbered_parts(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", T.split_numbered(F.replace("text", F.lit("a"), F.lit("\n7. "))).alias("parts"))
+    return wide_docs(spark, sf_dir).select("doc_id", T.split_numbered(F.replace("text", F.lit("a"), F.lit("\n7. "))).alias("parts"))
 
 
 @query("""WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS t, range(0, doc_id % 5) AS p FROM documents), r AS (SELECT doc_id, t, p, unnest(range(1, greatest(len(t), len(p), 1) + 1)) AS i FROM l)
@@ -525,7 +525,7 @@ def interleaved_prompts(spark, sf_dir):
 
 @query(r"""SELECT doc_id, flatten(list_transform(CASE WHEN text = '' THEN []::VARCHAR[] ELSE string_split(regexp_replace(text, '\n$', ''), chr(10)) END, lambda p: CASE WHEN regexp_full_match(p, '\s*') THEN [''] ELSE list_transform(range(0, ceil(len(p) / 12.0)::INT), lambda i: substr(p, i * 12 + 1, 12)) END)) AS lines FROM documents""")
 def wrapped_lines(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", layout.wrap_lines(F.col("text"), 12).alias("lines"))
+    return wide_docs(spark, sf_dir).select("doc_id", layout.wrap_lines(F.col("text"), 12).alias("lines"))
 
 
 @query("""SELECT doc_id, coalesce(max(s) FILTER (WHERE ceil(n_chars / greatest(1.0::DOUBLE, floor(600.0::DOUBLE / s))) * floor(s * 1.15::DOUBLE) <= 400), 12)::INT AS size FROM documents, range(12, 201) t(s) GROUP BY doc_id""")
