@@ -105,20 +105,20 @@ def hash_words(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool
     return mix(out)
 
 
+def _level(levels: dict[int, np.ndarray], m: int) -> np.ndarray:
+    """The hashes of runs of m, from those of its halves; levels[1] are the values. No closure: one that calls itself would keep the arrays until the next collection."""
+    if m not in levels:
+        a, b = _level(levels, m // 2), _level(levels, m - m // 2)
+        n = len(levels[1]) - m + 1
+        levels[m] = mix(a[:n] * np.uint64(_GOLDEN) + b[m // 2 : m // 2 + n] + np.uint64(m))
+    return levels[m]
+
+
 def grams(h: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     """Hash of every run of k consecutive values (len(h) - k + 1 of them), built by doubling."""
     if len(h) < k:
         return np.zeros(0, np.uint64)
-    levels = {1: mix(h + np.uint64((seed * 0x632BE59BD9B4E019) % 2**64)) if seed else h}
-
-    def build(m: int) -> np.ndarray:
-        if m not in levels:
-            a, b = build(m // 2), build(m - m // 2)
-            n = len(h) - m + 1
-            levels[m] = mix(a[:n] * np.uint64(_GOLDEN) + b[m // 2 : m // 2 + n] + np.uint64(m))
-        return levels[m]
-
-    return build(k)
+    return _level({1: mix(h + np.uint64((seed * 0x632BE59BD9B4E019) % 2**64)) if seed else h}, k)
 
 
 def repeat_index(first: np.ndarray) -> np.ndarray:
