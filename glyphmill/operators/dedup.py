@@ -202,7 +202,7 @@ def first_kept(nodes: DataFrame, edges: DataFrame, local: int = 1_000_000) -> Da
             return state.where("kept is null or kept").select("ord").join(dropped, "ord", "left_anti")
 
 
-def near_dedup(df: DataFrame, text: str, ord: str, n: int = 4, tenths: int = 9, rounds: int = 3) -> DataFrame:
+def near_dedup(df: DataFrame, text: str, ord: str, n: int = 4, tenths: int = 9, rounds: int = 2) -> DataFrame:
     """Rows kept by the greedy first-wins rule on n-gram multisets; rows without a unit go.
 
     Only the first of equal multisets can stay. Then, for a few rounds, every

@@ -1,14 +1,16 @@
 import json
 import os
 import random
+import statistics
 import tarfile
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from glyphmill.functions import layout, prompts
 from glyphmill.functions import text as T
-from glyphmill.operators import dedup, models, pairs, sampling
+from glyphmill.operators import dedup, lineage, models, pairs, sampling, stats
 from glyphmill.plans import pipelines
 from glyphmill.sources import config, readers, writers
 from glyphmill.streaming import valid_text
@@ -45,8 +47,6 @@ def test_ocr_near_copies_are_judged_whole(spark, tmp_path):
 
 
 def test_lexical_edges_by_brute_force(spark):
-    from collections import Counter
-
     rnd = random.Random(5)
     base = [rnd.choice("abcdefgh") * 2 for _ in range(60)]
     texts = [" ".join(base[: 60 - i % 3] + ["x"] * (i % 4)) for i in range(12)] + ["one two", "", "one two"]
@@ -206,6 +206,46 @@ def test_readers_and_writers(spark, tmp_path):
         config.require_fonts([])
 
 
+def test_topics(spark):
+    rows = [(i, (["ice", "snow", "frost"] if i % 2 else ["sun", "sand", "heat"]) * 4) for i in range(30)]
+    model, placed = stats.topics(spark.createDataFrame(rows, "id long, units array<string>"), "units", k=2, vocabulary=10, iterations=15)
+    best = {r.id: max(range(2), key=lambda t: r.topicDistribution[t]) for r in placed.collect()}
+    assert len({best[i] for i in range(0, 30, 2)}) == len({best[i] for i in range(1, 30, 2)}) == 1 and best[0] != best[1]
+
+
+def test_clean_texts_job(spark, tmp_path):
+    from glyphmill.plans import cli
+
+    (tmp_path / "t.txt").write_text("第一行 ＰＣ\n\n  第二行文字  \n第三行\n", encoding="utf-8")
+    assert cli.main(["clean-text", "--input", str(tmp_path / "t.txt"), "--output", str(tmp_path / "out"), "--max-units", "3", "--limit", "2"]) == 2
+    got = {r.text: r for r in spark.read.json(str(tmp_path / "out")).collect()}
+    assert sorted(got) == ["第一行", "第二行"] and all(r.prompt.endswith(t) and r.sample_id.startswith("clean_zh_") and 24 <= r.font_size <= 56 for t, r in got.items())
+
+
+def test_model_calls_drop_and_cache(spark):
+    rows = spark.createDataFrame([("a", None), ("b", "x"), (None, "y")], "url string, other string")
+    got = models.fetched(rows, "fetch", lambda requests: [None if r["url"] == "a" else r["url"] for r in requests])
+    assert [(r.url, r.answer) for r in got.collect()] == [("b", "b")]
+    both = models.described(rows.withColumn("image", F.col("url")), "image", {"p": "one", "q": "two"}, lambda requests: [f" {r['prompt']} " for r in requests])
+    assert sorted((r.url, r.p, r.q) for r in both.collect()) == [("a", "one", "two"), ("b", "one", "two")]
+    assert models.missing_files(rows.select(F.col("url").alias("file"), F.col("other").alias("url")), spark.createDataFrame([("a",)], "file string"), force=True).count() == 3
+
+
+def test_running_sums_and_medians(spark):
+    rnd = random.Random(6)
+    rows = [(rnd.choice(["a", "b", None]), i, rnd.randint(0, 9), rnd.choice([None, rnd.random()])) for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, i long, n long, x double")
+    total, expected = Counter(), {}
+    for g, i, n, _ in rows:
+        total[g] += n
+        expected[i] = total[g]
+    assert {r.i: r.s for r in lineage.running(df, ["g"], ["i"], F.col("n"), "s").collect()} == expected
+    got = {r.g: (r.median_n, r.median_x) for r in stats.medians(df, "g", "n", "x").collect()}
+    for g in ("a", "b", None):
+        values = [[v[k] for v in rows if v[0] == g and v[k] is not None] for k in (2, 3)]
+        assert got[g] == tuple(statistics.median(v) for v in values)
+
+
 def test_streaming(spark, tmp_path):
     (tmp_path / "in").mkdir()
     text = "one two three four five six seven eight nine ten eleven"
