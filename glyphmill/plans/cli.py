@@ -33,7 +33,7 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument("--limit", type=int)
         one.add_argument("--seed", type=int, default=0)
     ocr = job("filter-ocr", "valid samples of OCR records, without copies")
-    ocr.add_argument("--subset", default="LongWordsSubsetZH")
+    ocr.add_argument("--subset", default=pipelines.OCR_SUBSET)
     ocr.add_argument("--keep-copies", action="store_true")
     spans = job("pages", "page texts of spans that were extracted before (JSONL)")
     spans.add_argument("--max-pages", type=int)

@@ -9,6 +9,8 @@ from glyphmill.functions import bins, layout, predicates, prompts
 from glyphmill.functions import text as T
 from glyphmill.operators import dedup, sampling
 
+# Subset names that samples of these jobs carry.
+OCR_SUBSET, PAGE_SUBSET = "LongWordsSubsetZH", "TextVisionBlendZH"
 
 def ocr_samples(records: DataFrame, subset: str, rules: predicates.UnitRules = predicates.UnitRules(), split: str = "train") -> DataFrame:
     """Valid samples of OCR records (line, sample_id, image_path, caption, blocks).
@@ -31,7 +33,7 @@ def ocr_samples(records: DataFrame, subset: str, rules: predicates.UnitRules = p
     }).drop("_plain")
 
 
-def filter_ocr(records: DataFrame, subset: str = "LongWordsSubsetZH", rules: predicates.UnitRules = predicates.UnitRules(), deduplicate: bool = True, near: bool = True) -> DataFrame:
+def filter_ocr(records: DataFrame, subset: str = OCR_SUBSET, rules: predicates.UnitRules = predicates.UnitRules(), deduplicate: bool = True, near: bool = True) -> DataFrame:
     """Valid samples without exact copies (same text without punctuation) and, if wanted, without near copies; the first line wins."""
     samples = ocr_samples(records, subset, rules)
     if not deduplicate:
@@ -48,7 +50,7 @@ def clean_texts(texts: DataFrame, seed: int, most_units: int = 80, limit: int |
     return sampling.seeded_attributes(rows, "sample_id", seed, ["default"])
 
 
-def interleaved_pages(documents: DataFrame, seed: int, width: int = 1024, height: int = 1024, margin: int = 48, most_units: int = 80, subset: str = "TextVisionBlendZH") -> DataFrame:
+def interleaved_pages(documents: DataFrame, seed: int, width: int = 1024, height: int = 1024, margin: int = 48, most_units: int = 80, subset: str = PAGE_SUBSET) -> DataFrame:
     """Pages of documents (id, sections): images and texts in their order until one overflows, with the prompt that lists them.
 
     A section's text is normalised and cut to units; an image is placed where
