@@ -266,6 +266,25 @@ def test_embeddings_round_a_hot_mean(spark):
     assert 0.98 <= sum(r.n_links for r in got) / near.sum() <= 1
 
 
+@pytest.mark.parametrize("n", [6_000, 50_000, 1_000_000])
+@pytest.mark.parametrize("share", [0.0, 0.5, 0.7])
+def test_buckets_meet_at_any_mean(n, share):
+    """Default tables for n vectors: pairs just above the threshold, with a common component of that share of the squared length."""
+    p, dims, m = embedding_dedup.EmbeddingParams(), 64, 5000
+    bits, tables = embedding_dedup.plan_tables(n, p)
+    planes = np.concatenate([embedding_dedup.rotation(dims, p.seed + 1 + i) for i in range(-(-bits * tables // dims))], axis=1)[:, : bits * tables]
+    rnd = np.random.default_rng(3)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    a = unit(np.eye(dims)[0] * share**0.5 + (1 - share) ** 0.5 * unit(rnd.standard_normal((m, dims))))
+    away = rnd.standard_normal((m, dims))
+    b = 0.905 * a + (1 - 0.905**2) ** 0.5 * unit(away - (away * a).sum(axis=1, keepdims=True) * a)
+    met = (((a @ planes >= 0) == (b @ planes >= 0)).reshape(m, tables, bits).all(axis=2)).any(axis=1)
+    assert met.mean() >= 0.993
+
+
 def test_codes_estimate_without_bias():
     rnd = np.random.default_rng(9)
     dims = 64
