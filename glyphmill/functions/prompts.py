@@ -28,6 +28,11 @@ SLIDE = {"zh": "请按照以下结构化要素生成一页幻灯片：\n", "en":
 SLIDE_MONO = "请按照以下结构化要素生成一页中文幻灯片：\n"
 PAGE_ELEMENTS = "请生成一个交错图文页面，包含以下元素：\n"
 NO_IMAGE_CAPTION = "（图像，无字幕）"
+CLEAN_FONT = {"zh": ("白底图像，使用", "字体写有："), "en": ("A clean white image rendered in ", " typeface, displaying: ")}
+PAPER_PAGE = ("中文论文第 ", " 页，按字体和位置呈现的文字内容：\n")
+PAPER_TRANSLATION = ("Page ", " of an academic paper rendered with the original font and position information. The rendered text on the image is in Chinese; the following English translation is provided for reference:\n")
+EN_TEXT = {"words": " The image visibly displays: ", "scenes": " The image displays: ", "styled": " The image must clearly render: "}
+BLEND_PAIR = {"zh": "请生成一个交错图文页面，包含以下中文文字与对应图像。", "en": "Generate an interleaved page that contains the following English text blocks and matching images."}
 
 #: Requests to language models, with named placeholders; wordings of our own, to be replaced freely.
 REQUESTS = {
@@ -93,7 +98,7 @@ def clean_prompt(text: Column, font: Column | None = None, lang: str = "zh") ->
     """The prompt of a text on a blank page, with the zh font's family or the en font's name if a font is given."""
     if font is None:
         return F.concat(F.lit(CLEAN_BUILDER), text)
-    before, after = ("白底图像，使用", "字体写有：") if lang == "zh" else ("A clean white image rendered in ", " typeface, displaying: ")
+    before, after = CLEAN_FONT[lang]
     return F.concat(F.lit(before), font, F.lit(after), text)
 
 
@@ -150,11 +155,11 @@ def span_lines(spans: Column) -> Column:
 
 def page_prompt(page: Column, spans: Column) -> Column:
     """The prompt of a paper's page, whose number counts from 0: its spans with font and size."""
-    return F.concat(F.lit("中文论文第 "), (page + 1).cast("string"), F.lit(" 页，按字体和位置呈现的文字内容：\n"), span_lines(spans))
+    return F.concat(F.lit(PAPER_PAGE[0]), (page + 1).cast("string"), F.lit(PAPER_PAGE[1]), span_lines(spans))
 
 
 def translated_page_prompt(page: Column, translation: Column) -> Column:
-    return F.concat(F.lit("Page "), (page + 1).cast("string"), F.lit(" of an academic paper rendered with the original font and position information. The rendered text on the image is in Chinese; the following English translation is provided for reference:\n"), translation)
+    return F.concat(F.lit(PAPER_TRANSLATION[0]), (page + 1).cast("string"), F.lit(PAPER_TRANSLATION[1]), translation)
 
 
 def interleaved_prompt(blocks: Column, header: str = INTERLEAVED, default_caption: str = NO_CAPTION) -> Column:

@@ -119,7 +119,7 @@ def long_words_pairs(records: DataFrame, source: str, service: models.Model = mo
     rows, sides = _routed(_words(records, None, rules), "joined", {"zh": F.col("ocr_text_zh"), "en": F.col("ocr_text_en")}, service)
     scenes = {lang: F.coalesce(f"caption_{lang}", F.lit(SUBSETS["words"][3 + i])) for i, lang in enumerate(LANGUAGES)}
     id = T.stable_id0(F.lit(source), F.col("image_path"), F.left("joined", F.lit(48)))
-    asked = {"zh": prompts.fill_request("unify", scene_caption=scenes["zh"], rendered_text=sides["zh"]), "en": F.concat(scenes["en"], F.lit(" The image visibly displays: "), sides["en"])}
+    asked = {"zh": prompts.fill_request("unify", scene_caption=scenes["zh"], rendered_text=sides["zh"]), "en": F.concat(scenes["en"], F.lit(prompts.EN_TEXT["words"]), sides["en"])}
     rows = _asked(rows, "_prompt_zh", asked["zh"], service)
     return paired(rows, "words", id, sides, {"zh": F.col("_prompt_zh"), "en": asked["en"]}, "same_image", "dataset_pair_or_translate", F.lit(source), scenes, suffix=f"-{source}")
 
@@ -209,7 +209,7 @@ def scene_pairs(records: DataFrame, similarity: Column, service: models.Model =
     rows, sides = _routed(_scene_records(records, least), "raw", {}, service)
     rows = models.described(rows, "image_path", {"_scene_zh": prompts.REQUESTS["background"], "_scene_en": prompts.REQUESTS["background_en"]}, service)
     captions = {lang: F.col(f"_scene_{lang}") for lang in LANGUAGES}
-    asked = {"zh": prompts.fill_template(prompts.TEMPLATES[0], captions["zh"], sides["zh"]), "en": F.concat(captions["en"], F.lit(" The image displays: "), sides["en"])}
+    asked = {"zh": prompts.fill_template(prompts.TEMPLATES[0], captions["zh"], sides["zh"]), "en": F.concat(captions["en"], F.lit(prompts.EN_TEXT["scenes"]), sides["en"])}
     return paired(rows, "scenes", T.stable_id0(F.col("topic"), F.col("image_path")), sides, asked, "same_image", "vlm_dual+translate", F.col("image_path"), captions, similarity=similarity, shared=F.struct("topic"), review=predicates.needs_review(similarity=similarity))
 
 
@@ -226,7 +226,7 @@ def styled_pairs(attempts: DataFrame, per_topic: int, seed: int, similarity: Col
     good = F.col("box").isNotNull() & predicates.passes_text_quality(F.col("zh"), rules) & (F.coalesce(similarity, F.lit(1.0)) >= 0.78)
     rows = sampling.budget(attempts.withColumn("_good", good).withColumn("_alike", similarity), "topic", "ord", F.col("_good"), per_topic, 4)
     id = T.stable_id0(F.lit("StyledText"), F.col("topic"), F.left("scene_en", F.lit(48)), F.left("en", F.lit(48)))
-    asked = {"zh": prompts.caption(F.col("scene_zh"), F.col("zh"), seed, id), "en": F.concat(F.col("scene_en"), F.lit(" The image must clearly render: "), F.col("en"))}
+    asked = {"zh": prompts.caption(F.col("scene_zh"), F.col("zh"), seed, id), "en": F.concat(F.col("scene_en"), F.lit(prompts.EN_TEXT["styled"]), F.col("en"))}
     return paired(rows, "styled", id, {lang: F.col(lang) for lang in LANGUAGES}, asked, "shared_layout", "llm_translate", F.lit("model"), {lang: F.col(f"scene_{lang}") for lang in LANGUAGES}, similarity=F.col("_alike"), shared=F.struct("topic"))
 
 
@@ -263,5 +263,5 @@ def blend_pairs(sources: DataFrame, seed: int) -> DataFrame:
     boxes = {"zh": F.when(wit, article("zh")).otherwise(grid), "en": F.when(wit, article("en")).otherwise(pairs.replace_texts(grid, F.coalesce("texts_en", F.array().cast("array<string>"))))}
     paged = sources.select("id", *[layout.annotations(b).alias(f"boxes_{lang}") for lang, b in boxes.items()])
     texts = {lang: F.array_join(F.transform(F.filter(f"boxes_{lang}", lambda b: b["kind"] == "text"), lambda b: b["payload"]), "\n") for lang in LANGUAGES}
-    asked = {"zh": F.lit("请生成一个交错图文页面，包含以下中文文字与对应图像。"), "en": F.lit("Generate an interleaved page that contains the following English text blocks and matching images.")}
+    asked = {lang: F.lit(prompts.BLEND_PAIR[lang]) for lang in LANGUAGES}
     return paired(paged, "blend", T.stable_id0(F.lit("blend"), F.col("id")), texts, asked, "shared_layout", "metadata_pair", F.col("id"), shared=F.struct("boxes_zh", "boxes_en"))
