@@ -140,12 +140,14 @@ def page_flow(items: Column, width: int, height: int, margin: int = 48, gap: int
 
     def step(acc: Column, s: Column) -> Column:
         scale = F.least(F.lit(1.0), F.lit(inner) / s["w"], F.lit(height * 0.35) / s["h"])
-        room = F.lit(float(height - margin)) - acc["y"]
+        bottom = F.lit(float(height - margin))
+        room = bottom - acc["y"]
         image = s["kind"] == "image"
         h = F.when(image, s["h"] * scale).otherwise(F.greatest(F.lit(80.0), F.least(F.lit(220.0), room)))
         w = F.when(image, s["w"] * scale).otherwise(F.lit(inner))
         moved = F.lit(0.0) if key is None else F.when(image, seeded_unit(seed, key, F.size(acc["boxes"])) * F.greatest(F.lit(1.0), F.lit(inner) - w)).otherwise(F.lit(0.0))
-        stop = acc["full"] | (h > room)
+        # an item's end is compared, not its height with the room: scaled heights are a last place off, which the sum rounds away
+        stop = acc["full"] | (acc["y"] + h > bottom)
         placed = F.struct(s["kind"].alias("kind"), (F.lit(float(margin)) + moved).alias("x"), acc["y"].alias("y"), w.alias("w"), h.alias("h"), s["text"].alias("payload"), F.size(acc["boxes"]).alias("reading_order"))
         return F.struct(F.when(stop, acc["y"]).otherwise(acc["y"] + h + gap).alias("y"), stop.alias("full"), F.when(stop, acc["boxes"]).otherwise(F.array_append(acc["boxes"], placed)).cast(box).alias("boxes"))
 

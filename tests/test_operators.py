@@ -69,6 +69,16 @@ def test_near_dedup_follows_a_chain(spark):
     assert sorted(r.ord for r in dedup.near_dedup(rows, "text", "ord").collect()) == list(range(0, 20, 2))
 
 
+def test_an_image_that_ends_at_the_margin_is_placed(spark, tmp_path):
+    """34 and 210 high, the second scaled from 283 to a last place more than 210: with the text between them they end at the margin."""
+    from glyphmill.plans import registry
+
+    spark.createDataFrame([(33, "x", 282), (33 + 1200, "x", 283)], "doc_id long, text string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.boxes, r.image_end) for r in registry.page_flows(spark, str(tmp_path)).collect()}
+    assert 210.0 / 283 * 283 > 210
+    assert got == {33: (3, 552.0), 1233: (3, 552.0)}
+
+
 def test_hash_edges_and_two_sides(spark):
     rnd = random.Random(7)
     codes = [rnd.getrandbits(64) - 2**63 for _ in range(30)]
