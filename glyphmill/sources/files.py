@@ -35,3 +35,11 @@ def get(path: str | None) -> bytes | None:
             return stream.read()
     except (OSError, pa.ArrowInvalid):
         return None
+
+
+def pieces(path: str, size: int = 1 << 20):
+    """A file's bytes, as they are, in pieces."""
+    files, at = folder(path)
+    with files.open_input_stream(at, compression=None) as stream:
+        while piece := stream.read(size):
+            yield piece

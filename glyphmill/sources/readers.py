@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.functions import text as T
 from glyphmill.operators.pairs import spec_of
+from glyphmill.sources import files
 
 
 def first_of(*columns: Column) -> Column:
@@ -61,6 +65,21 @@ def text_files(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt").select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")).orderBy("path")
 
 
+def text_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, md5) of every .txt file below a folder, in no order: workers read a file in pieces, so it may be larger than a row or a worker's memory."""
+
+    def digest(batches):
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                found = hashlib.md5(usedforsecurity=False)
+                for piece in files.pieces(path):
+                    found.update(piece)
+                yield pa.RecordBatch.from_pydict({"path": [path], "md5": [found.hexdigest()]})
+
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(folder)
+    return listed.select("path").mapInArrow(digest, "path string, md5 string")
+
+
 def corpus(df: DataFrame, text: str, most: int | None = None, order: str | None = None) -> DataFrame:
     """A corpus's non-empty texts; `most` counts rows, in the given order, before empty ones are dropped."""
     if most is not None:

@@ -79,6 +79,20 @@ def test_an_image_that_ends_at_the_margin_is_placed(spark, tmp_path):
     assert got == {33: (3, 552.0), 1233: (3, 552.0)}
 
 
+def test_text_folder_orders_languages_and_rows(spark, tmp_path):
+    """Rows that come in another order, languages that begin alike, a missing one, null texts."""
+    import duckdb
+
+    from glyphmill.plans import registry
+
+    rows = [(i, ["zh", "zh-Hans", None, "en", "only null"][i % 5], None if i % 5 == 4 or i == 20 else f"text {i}") for i in reversed(range(60))]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    expected = sorted(con.execute(registry.ORACLES["text_folder"]).fetchall())
+    assert sorted((r.place, r.text) for r in registry.QUERIES["text_folder"](spark, str(tmp_path)).collect()) == expected and len(expected) == 5
+
+
 def test_hash_edges_and_two_sides(spark):
     rnd = random.Random(7)
     codes = [rnd.getrandbits(64) - 2**63 for _ in range(30)]
