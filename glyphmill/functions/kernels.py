@@ -13,8 +13,8 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 
-#: Code points of texts that are looked at together; a longer text is a slice of its own.
-SLICE = 1 << 21
+#: Code points of texts that are looked at together, a dozen numbers each in every worker; a longer text is a slice of its own.
+SLICE = 1 << 18
 _OTHER, _CJK, _WORD, _LOW_LINE, _SPACE = range(5)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Base of the polynomial hashes, odd.

@@ -79,6 +79,32 @@ def test_an_image_that_ends_at_the_margin_is_placed(spark, tmp_path):
     assert got == {33: (3, 552.0), 1233: (3, 552.0)}
 
 
+def test_frequent_grams_make_no_candidates(spark, monkeypatch):
+    """Unrelated texts of few words share most n-grams; only near copies are compared whole, and all of them are found."""
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choice("abcd") for _ in range(rnd.randrange(200, 900))) for _ in range(120)]
+    for text in texts[:20]:
+        words = text.split()
+        for _ in range(rnd.randrange(1, 9)):
+            words[rnd.randrange(len(words))] = rnd.choice("abcd")
+        texts.append(" ".join(words[rnd.randrange(4) :]))
+    sets = [Counter(tuple(t.split()[i : i + 4]) for i in range(len(t.split()) - 3)) for t in texts]
+    expected = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if 10 * sum((sets[i] & sets[j]).values()) >= 9 * sum((sets[i] | sets[j]).values())}
+    compared, verified = [], dedup._verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(dedup, "_verified", counted)
+    rows = spark.createDataFrame(list(enumerate(texts)), "ord long, text string")
+    assert {(r.a, r.b) for r in dedup.lexical_edges(rows, "text", "ord").collect()} == expected and len(expected) > 10
+    assert sum(compared) <= 100  # of 9,730
+    compared.clear()
+    assert {r.ord for r in dedup.near_dedup(rows, "text", "ord").collect()} == set(range(len(texts))) - {b for _, b in expected}
+    assert sum(compared) <= 100  # of 9,730
+
+
 def test_text_folder_orders_languages_and_rows(spark, tmp_path):
     """Rows that come in another order, languages that begin alike, a missing one, null texts."""
     import duckdb
