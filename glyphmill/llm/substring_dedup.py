@@ -58,35 +58,70 @@ def _sliding_min(x: np.ndarray, k: int) -> np.ndarray:
     return np.minimum(x[:n], x[k - width : k - width + n])
 
 
+def _small(x: np.ndarray, below: int) -> np.ndarray:
+    """Numbers under `below` in 32 bits if they fit."""
+    return x.astype(np.int32) if below < 1 << 31 else x
+
+
+#: Windows hashed at once, and UTF-8 bytes of text in a batch of results, about: what is beside a block's own arrays stays that small.
+_PIECE = 1 << 16
+_RESULT_BYTES = 1 << 20
+
+
 class Block:
     """One reference block: its rows, words, windows and anchors. Window w starts at word at[w]."""
 
-    def __init__(self, table: pa.Table, p: SubstringParams, windows: bool = True):
+    def __init__(self, table: pa.Table, p: SubstringParams, windows: bool = True, anchors: bool = True):
         self.table, self.p = table, p
-        self.data, offsets = utf8(table.column("t"))
-        self.start, self.end, self.first = split_words(self.data, offsets)
-        h = hash_words(self.data, self.start, self.end)
+        self.data, self.offsets = utf8(table.column("t"))
+        start, end, self.first = split_words(self.data, self.offsets)
+        h = hash_words(self.data, start, end)
+        self.start, self.end = _small(start, len(self.data)), _small(end, len(self.data))
+        del start, end
         counts = np.maximum(0, np.diff(self.first) - p.window + 1)
-        self.at = np.flatnonzero(np.add.accumulate(self._steps(len(h), counts)) > 0) if len(h) else np.zeros(0, np.int64)
-        low = _sliding_min(grams(h, p.anchor, 3), p.window - p.anchor + 1)
-        self.anchor = mix(low[self.at])  # minima are small numbers; mixed, they spread over the buckets
+        self.at = _small(np.flatnonzero(np.add.accumulate(self._steps(len(h), counts), dtype=np.int8)), len(h))
+        if anchors:
+            # minima are small numbers; mixed, they spread over the buckets
+            self.anchor = self._hashed(lambda x: mix(_sliding_min(grams(x, p.anchor, 3), p.window - p.anchor + 1)), h)
         if windows:
-            self.high, self.low = grams(h, p.window, 1)[self.at], grams(h, p.window, 2)[self.at]
+            self.high, self.low = (self._hashed(lambda x, seed=seed: grams(x, p.window, seed), h) for seed in (1, 2))
 
     def _steps(self, words: int, counts: np.ndarray) -> np.ndarray:
-        steps = np.zeros(words + 1, np.int64)
+        steps = np.zeros(words + 1, np.int8)  # a text's last window starts before the next text
         has = counts > 0
-        np.add.at(steps, self.first[:-1][has], 1)
-        np.add.at(steps, self.first[:-1][has] + counts[has], -1)
+        steps[self.first[:-1][has]] = 1
+        steps[self.first[:-1][has] + counts[has]] = -1
         return steps
 
+    def _hashed(self, function, h: np.ndarray) -> np.ndarray:
+        """What function gives for each window, from the hashes of its words; a piece of the windows at a time."""
+        out = np.empty(len(self.at), np.uint64)
+        for i in range(0, len(out), _PIECE):
+            own = self.at[i : i + _PIECE]
+            out[i : i + _PIECE] = function(h[own[0] : int(own[-1]) + self.p.window])[own - own[0]]
+        return out
+
     def heads(self, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(windows, head): the windows at `among` sorted by hash and place, and of each the first of its content."""
-        order = among[np.lexsort((among, self.low[among], self.high[among]))]
+        """(windows, head): the windows at `among`, which ascend, sorted by hash and place, and of each the first of its content."""
+        high, low = self.high[among], self.low[among]
+        order = np.lexsort((low, high))
+        high, low = high[order], low[order]
         new = np.ones(len(order), bool)
-        new[1:] = (self.high[order][1:] != self.high[order][:-1]) | (self.low[order][1:] != self.low[order][:-1])
+        new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+        order = among[order]
         return order, order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
 
+    def twins(self, among: np.ndarray) -> np.ndarray:
+        """Those of the windows at `among` that share the first half of their hash with another one of them."""
+        high = self.high[among]
+        order = np.argsort(high)
+        high = high[order]
+        same = high[1:] == high[:-1]
+        twin = np.zeros(len(order), bool)
+        twin[order[1:][same]] = True
+        twin[order[:-1][same]] = True
+        return among[twin]
+
     def places(self, windows: np.ndarray) -> np.ndarray:
         """Where windows start: the block's number and the word in it, as one integer."""
         return np.uint64(self.table.column("block")[0].as_py()) << np.uint64(32) | self.at[windows].astype(np.uint64)
@@ -207,6 +242,19 @@ def _find(entries: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
     return found
 
 
+def _sources(block: Block, entries: np.ndarray) -> np.ndarray:
+    """Where each window's content stands first: in earlier blocks, by their entries, else in this one before it, or NOWHERE."""
+    source = np.full(len(block.at), NOWHERE)
+    for i in range(0, len(source), _PIECE):
+        own = slice(i, i + _PIECE)
+        source[own] = _find(entries, block.high[own], block.low[own])
+    order, head = block.heads(block.twins(np.flatnonzero(source == NOWHERE)))
+    again = order != head
+    source[order[again]] = block.places(head[again])
+    del block.high, block.low  # the texts need them no more
+    return source
+
+
 def parse_factors(source: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first word, words, place) of each factor, from the sorted starts of windows and where each starts before.
 
@@ -267,7 +315,9 @@ def find_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(), k
 
     def windows(table, number):
         block = Block(table, p)
-        order, head = block.heads(candidates(block, number))
+        among = candidates(block, number)
+        del block.anchor
+        order, head = block.heads(among)
         own = order[order == head]
         return np.stack((block.high[own], block.low[own], block.places(own)), axis=1)
 
@@ -275,13 +325,8 @@ def find_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(), k
 
     def parse(batches):
         for table in _blocks(batches):
-            block = Block(table, p)
-            order, head = block.heads(np.arange(len(block.at)))
-            # where the content of a window stands in earlier blocks, else in this one before
-            before = _find(earlier.entries(table.column("block")[0].as_py()), block.high[head], block.low[head])
-            source = np.full(len(block.at), NOWHERE)
-            source[order] = np.where(before != NOWHERE, before, np.where(order != head, block.places(head), NOWHERE))
-            yield from _results(block, source, p)
+            block = Block(table, p, anchors=False)
+            yield from _results(block, _sources(block, earlier.entries(table.column("block")[0].as_py())), p)
 
     kind = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<first:int,words:int,block:long,word:int>>, kept_text string"
     return store.mapInArrow(tidied(parse), kind + (f", carried {store.schema['carried'].dataType.simpleString()}" if carry else ""))
@@ -290,33 +335,31 @@ def find_repeats(docs: DataFrame, params: SubstringParams = SubstringParams(), k
 def _results(block: Block, source: np.ndarray, p: SubstringParams):
     words = len(block.start)
     start, length, place = parse_factors(source, block.at, p.window)
-    gone = np.zeros(words + 1, np.int64)
+    gone = np.zeros(words + 1, np.int32)
     np.add.at(gone, start, 1)
     np.add.at(gone, start + length, -1)
-    gone = np.cumsum(gone)[:words] > 0
-    removed = np.concatenate(([0], np.cumsum(gone)))
-    texts, keys = block.table.column("t"), block.table.column("k").combine_chunks()
+    gone = np.cumsum(gone, dtype=np.int32)[:words] > 0
     edges = np.searchsorted(start, block.first)  # a factor begins at a window, and windows lie inside a document
     n = np.diff(block.first)
-    n_removed = removed[block.first[1:]] - removed[block.first[:-1]]
-    sha, spans, kept_text = [], [], []
-    column = texts.combine_chunks()
-    for d in range(len(n)):
-        a, b = int(block.first[d]), int(block.first[d + 1])
-        if not n_removed[d]:
-            stay = np.arange(a, b)
-            spans.append([])
-            kept_text.append(column[d].as_py())
-        else:
+    cuts = np.flatnonzero(np.diff(block.offsets[:-1] // _RESULT_BYTES)) + 1
+    for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(n)]):
+        table = block.table.slice(low, high - low).combine_chunks()
+        column = table.column("t")
+        sha, n_removed, kept_text = [], [], []
+        for d in range(low, high):
+            a, b = int(block.first[d]), int(block.first[d + 1])
             stay = a + np.flatnonzero(~gone[a:b])
-            w = slice(edges[d], edges[d + 1])
-            spans.append([{"first": f - a, "words": m, "block": x >> 32, "word": x & 0xFFFFFFFF} for f, m, x in zip(start[w].tolist(), length[w].tolist(), place[w].tolist())])
-            kept_text.append(_without(block, gone, a, b, column, d))
-        sha.append(hashlib.sha256(_joined(block, stay)).hexdigest())
-    columns = {"doc_id": keys, "n_words": pa.array(n), "n_removed": pa.array(n_removed), "kept_sha256": pa.array(sha), "spans": pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32()), ("block", pa.int64()), ("word", pa.int32())]))), "kept_text": pa.array(kept_text, pa.string())}
-    if "carried" in block.table.column_names:
-        columns["carried"] = block.table.column("carried").combine_chunks()
-    yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            n_removed.append(b - a - len(stay))
+            kept_text.append(_without(block, gone, a, b, column, d - low) if n_removed[-1] else column[d - low].as_py())
+            sha.append(hashlib.sha256(_joined(block, stay)).hexdigest())
+        w = slice(edges[low], edges[high])
+        first = start[w] - np.repeat(block.first[low:high], np.diff(edges[low : high + 1]))
+        factors = pa.StructArray.from_arrays([pa.array(first, pa.int32()), pa.array(length[w], pa.int32()), pa.array((place[w] >> np.uint64(32)).astype(np.int64)), pa.array((place[w] & np.uint64(0xFFFFFFFF)).astype(np.int32))], ["first", "words", "block", "word"])
+        spans = pa.ListArray.from_arrays(pa.array(edges[low : high + 1] - edges[low], pa.int32()), factors)
+        columns = {"doc_id": table.column("k"), "n_words": pa.array(n[low:high]), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(sha), "spans": spans, "kept_text": pa.array(kept_text, pa.string())}
+        if "carried" in table.column_names:
+            columns["carried"] = table.column("carried")
+        yield pa.RecordBatch.from_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in columns.values()], list(columns))
 
 
 def _joined(block: Block, words: np.ndarray) -> bytes:

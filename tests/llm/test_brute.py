@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -120,6 +121,30 @@ def test_substring(docs, texts, block):
         assert len(covered) == r.n_removed
 
 
+def test_blocks_are_parsed_in_little_memory():
+    rnd = np.random.default_rng(3)
+    vocabulary = np.array([f"w{x:04d}" for x in range(5000)])
+    texts = [" ".join(rnd.choice(vocabulary, 1000)) for _ in range(400)]
+    texts[300] = texts[20]
+    table, p = pa.table({"k": range(400), "t": texts, "block": [0] * 400}), substring_dedup.SubstringParams()
+    words = 400_000
+    list(substring_dedup._results(substring_dedup.Block(table, p), np.full(400 * 981, substring_dedup.NOWHERE), p))  # what is made once
+    tracemalloc.start()
+    block = substring_dedup.Block(table, p)
+    assert tracemalloc.get_traced_memory()[1] < 70 * words
+    tracemalloc.stop()
+    source = np.full(len(block.at), substring_dedup.NOWHERE)
+    source[300 * 981 : 301 * 981] = block.places(np.arange(20 * 981, 21 * 981))
+    rows, most = [], 0
+    for batch in substring_dedup._results(block, source, p):
+        most = max(most, batch.column("kept_text").nbytes)
+        rows += batch.to_pylist()
+    assert most < 1.5 * (1 << 20)
+    assert [r["doc_id"] for r in rows] == list(range(400)) and [r["n_removed"] for r in rows] == [1000 * (i == 300) for i in range(400)]
+    assert rows[300]["spans"] == [{"first": 0, "words": 1000, "block": 0, "word": 20000}] and rows[300]["kept_text"] == ""
+    assert all(r["kept_text"] == t and not r["spans"] for i, (r, t) in enumerate(zip(rows, texts)) if i != 300)
+
+
 def test_jump_hash(spark):
     def jump(key, n):
         b, j = -1, 0
